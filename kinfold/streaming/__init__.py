@@ -1,0 +1 @@
+"""Left empty on purpose: no streaming query is in scope (see README, "What is not here")."""
