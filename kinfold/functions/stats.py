@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -26,45 +26,57 @@ def lgamma(z: Column) -> Column:
     return series - F.log(shift)
 
 
-def log_choose(n: Column, k: Column) -> Column:
-    return lgamma(n + 1.0) - lgamma(k + 1.0) - lgamma(n - k + 1.0)
-
-
-def hypergeom_upper(x: Column, draws: Column, white: Column, black: Column) -> Column:
-    """P(X >= x) white balls among ``draws`` from an urn of ``white`` + ``black`` balls.
+def with_hypergeom_upper(df: DataFrame, x: Column, draws: Column, white: Column, black: Column, out: str) -> DataFrame:
+    """Add P(X >= x) white balls among ``draws`` from an urn of ``white`` + ``black`` balls.
 
     Urn sizes and draws are rounded half to even and x is floored. When x cannot be missed
     the result is exactly 1. The sum starts with one log-gamma term and goes on by the ratio
     of neighbouring terms. Terms further than 30 standard deviations from the mean are below
     double precision, so the summed range stays short however large the family is.
+
+    Intermediate values are columns of their own, so that the plan does not repeat them.
     """
-    w = F.bround(white).cast("double")
-    b = F.bround(black).cast("double")
-    n = F.bround(draws).cast("double")
-    k0 = F.floor(x + 1e-7).cast("double")
+    w, b, n, k0 = (F.col(f"_u.{c}") for c in "wbnk")
+    urn = F.struct(
+        F.bround(white).cast("double").alias("w"),
+        F.bround(black).cast("double").alias("b"),
+        F.bround(draws).cast("double").alias("n"),
+        F.floor(x + 1e-7).cast("double").alias("k"),
+    )
     certain = F.greatest(F.lit(0.0), n - b)
     last = F.least(n, w)
     mean = n * w / F.greatest(w + b, F.lit(1.0))
     reach = 30.0 * F.sqrt(F.greatest(mean, F.lit(1.0))) + 40.0
-    start = F.greatest(k0, F.floor(mean - reach).cast("double"), certain)
-    stop = F.least(last, F.ceil(F.greatest(start, mean) + reach).cast("double"))
-    first_term = F.exp(log_choose(w, start) + log_choose(b, n - start) - log_choose(w + b, n))
-    steps = F.sequence(F.lit(0).cast("long"), F.greatest(stop - start, F.lit(0.0)).cast("long"))
+    start, top = F.col("_start"), F.col("_stop")
+    gammas = F.transform(
+        F.array(w, start, w - start, b, n - start, b - n + start, w + b, n, w + b - n), lambda z: lgamma(z + 1.0)
+    )
+    signs = [1, -1, -1, 1, -1, -1, -1, 1, 1]
+    log_term = F.aggregate(
+        F.zip_with("_gammas", F.array(*[F.lit(float(s)) for s in signs]), lambda g, s: g * s),
+        F.lit(0.0),
+        lambda total, term: total + term,
+    )
 
     def add(acc: Column, step: Column) -> Column:
         k = start + step
         ratio = (w - k) * (n - k) / ((k + 1.0) * (b - n + k + 1.0))
-        return F.struct(
-            (acc["total"] + acc["term"]).alias("total"),
-            (acc["term"] * ratio).alias("term"),
-        )
+        return F.struct((acc["total"] + acc["term"]).alias("total"), (acc["term"] * ratio).alias("term"))
 
-    zero = F.struct(F.lit(0.0).alias("total"), first_term.alias("term"))
-    total = F.aggregate(steps, zero, add, lambda acc: acc["total"])
+    zero = F.struct(F.lit(0.0).alias("total"), F.exp("_log_term").alias("term"))
+    total = F.aggregate(F.sequence(F.lit(0).cast("long"), (top - start).cast("long")), zero, add, lambda acc: acc["total"])
+    open_case = (k0 > certain) & (k0 <= last)
     return (
-        F.when(k0 <= certain, F.lit(1.0))
-        .when(k0 > last, F.lit(0.0))
-        .otherwise(F.least(total, F.lit(1.0)))
+        df.withColumn("_u", urn)
+        .withColumn("_start", F.when(open_case, F.greatest(k0, F.floor(mean - reach).cast("double"))))
+        .withColumn("_stop", F.when(open_case, F.least(last, F.ceil(F.greatest(start, mean) + reach).cast("double"))))
+        .withColumn("_gammas", F.when(start.isNotNull(), gammas))
+        .withColumn("_log_term", log_term)
+        .withColumn(
+            out,
+            F.when(k0 <= certain, F.lit(1.0)).when(k0 > last, F.lit(0.0)).otherwise(F.least(total, F.lit(1.0))),
+        )
+        .drop("_u", "_start", "_stop", "_gammas", "_log_term")
     )
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinfold.functions.order import top_n
-from kinfold.functions.stats import hypergeom_upper
+from kinfold.functions.stats import with_hypergeom_upper
 from kinfold.operators.expression import SINGLETON
 from kinfold.sources.config import Hypothesis
 
@@ -33,7 +33,7 @@ def clean_terms(annotation: DataFrame) -> DataFrame:
 
 def _terms(column: str = "terms") -> Column:
     return F.filter(
-        F.transform(F.split(column, ","), F.trim), lambda t: (t != "") & (t != MISSING)
+        F.transform(F.split(column, ","), lambda t: F.trim(t)), lambda t: (t != "") & (t != MISSING)
     )
 
 
@@ -149,19 +149,13 @@ def term_enrichment(
         F.coalesce(F.sum("hit"), F.lit(0)).alias("significant"),
         F.coalesce(F.sum("expressed"), F.lit(0)).alias("n_expressed"),
     )
-    p = hypergeom_upper(
+    tested = with_hypergeom_upper(
+        per_term.filter(F.col("n_expressed") > 0).join(size, "species"),
         F.col("significant").cast("double"), F.col("annotated").cast("double"),
-        F.col("n_hits").cast("double"), (F.col("n_universe") - F.col("n_hits")).cast("double"),
-    )
-    return (
-        per_term.filter(F.col("n_expressed") > 0)
-        .join(size, "species")
-        .select(
-            "species", "term", "annotated", "significant",
-            (F.col("annotated") * F.col("n_hits") / F.col("n_universe")).alias("expected"),
-            p.alias("p_value"),
-        )
+        F.col("n_hits").cast("double"), (F.col("n_universe") - F.col("n_hits")).cast("double"), "p_value",
     )
+    expected = F.col("annotated") * F.col("n_hits") / F.col("n_universe")
+    return tested.select("species", "term", "annotated", "significant", expected.alias("expected"), "p_value")
 
 
 def top_terms(enrichment: DataFrame, n: int = TOP_TERMS) -> DataFrame:

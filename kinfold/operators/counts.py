@@ -80,7 +80,7 @@ def count_rows(counts: DataFrame, samples: Sequence[str]) -> DataFrame:
 def size_factors(rows: DataFrame, samples: Sequence[str]) -> DataFrame:
     """Median of count over geometric mean, from genes counted in every sample."""
     complete = rows.filter(~F.exists("counts", lambda c: c <= 0))
-    logs = F.transform("counts", F.log)
+    logs = F.transform("counts", lambda c: F.log(c))
     mean = F.aggregate(logs, F.lit(0.0), lambda a, x: a + x) / len(samples)
     names = F.array(*[F.lit(s) for s in samples])
     ratios = F.zip_with(names, logs, lambda s, x: F.struct(s.alias("sample"), x.alias("log_count")))

@@ -24,7 +24,7 @@ def sig_column(species: str) -> str:
 
 
 def _genes_in(cell: Column) -> Column:
-    return F.filter(F.transform(F.split(cell, ","), F.trim), lambda gene: gene != "")
+    return F.filter(F.transform(F.split(cell, ","), lambda gene: F.trim(gene)), lambda gene: gene != "")
 
 
 def species_columns(wide: DataFrame) -> list[str]:
@@ -135,3 +135,50 @@ def species_pair_overlap(counts: DataFrame, species: Sequence[str]) -> DataFrame
         .groupBy("species_a", "species_b")
         .agg(F.count(F.lit(1)).alias("n_families"))
     )
+
+
+def species_pair_orthology(counts: DataFrame, species: Sequence[str]) -> DataFrame:
+    """Genes of a species with orthologues in another one, by the kind of relation.
+
+    Inside a family every gene of one species is an orthologue of every gene of the other, so
+    the kinds follow from the two counts and no pair of genes is ever built.
+    """
+    pairs = [
+        F.struct(
+            F.lit(a).alias("species_a"), F.lit(b).alias("species_b"),
+            F.col(total_column(a)).alias("in_a"), F.col(total_column(b)).alias("in_b"),
+        )
+        for a in species
+        for b in species
+        if a != b
+    ]
+    both = counts.select(F.inline(F.array(*pairs))).filter("in_a > 0 and in_b > 0")
+
+    def genes(one_in_a: bool, one_in_b: bool) -> Column:
+        fits = ((F.col("in_a") == 1) == one_in_a) & ((F.col("in_b") == 1) == one_in_b)
+        return F.sum(F.when(fits, F.col("in_a")).otherwise(0))
+
+    return both.groupBy("species_a", "species_b").agg(
+        F.sum("in_a").alias("n"),
+        genes(True, True).alias("one_one"),
+        genes(True, False).alias("one_many"),
+        genes(False, True).alias("many_one"),
+        genes(False, False).alias("many_many"),
+    )
+
+
+def pair_orthology(pairs: DataFrame) -> DataFrame:
+    """The same summary from explicit orthologue pairs (species_a, gene_a, species_b, gene_b)."""
+    edge = ["species_a", "species_b"]
+    distinct = pairs.select(*edge, "gene_a", "gene_b").distinct()
+    out_degree = distinct.groupBy(*edge, "gene_a").agg(F.count(F.lit(1)).alias("n_b"))
+    in_degree = distinct.groupBy(*edge, "gene_b").agg(F.count(F.lit(1)).alias("n_a"))
+    most = distinct.join(in_degree, [*edge, "gene_b"]).groupBy(*edge, "gene_a").agg(F.max("n_a").alias("n_a"))
+    genes = out_degree.join(most, [*edge, "gene_a"])
+    return genes.groupBy(*edge).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if((F.col("n_b") == 1) & (F.col("n_a") == 1)).alias("one_one"),
+        F.count_if((F.col("n_b") > 1) & (F.col("n_a") == 1)).alias("one_many"),
+        F.count_if((F.col("n_b") == 1) & (F.col("n_a") > 1)).alias("many_one"),
+        F.count_if((F.col("n_b") > 1) & (F.col("n_a") > 1)).alias("many_many"),
+    )

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.functions.stats import fisher_combine, hypergeom_upper
+from kinfold.functions.stats import fisher_combine, with_hypergeom_upper
 from kinfold.operators.expansion import RUN, flag_expansion
 from kinfold.operators.expression import (
     de_with_hog,
@@ -96,12 +96,11 @@ def urn_totals(hog_de: DataFrame, hypotheses: Sequence[Hypothesis], expressed: S
 def overrep_p(level: DataFrame, totals: DataFrame) -> DataFrame:
     """Chance of at least as many significant genes on the expanded side; 1 becomes null."""
     x = F.col("norm_sum_expanded_sigDE")
-    p = hypergeom_upper(x, x + F.col("norm_sum_compared_sigDE"), F.col("sum_white"), F.col("sum_black"))
-    return (
-        level.join(F.broadcast(totals), "hypothesis", "left")  # one row per hypothesis
-        .withColumn("oaes_hyper", F.nullif(p, F.lit(1.0)))
-        .drop("sum_white", "sum_black")
+    urns = level.join(F.broadcast(totals), "hypothesis", "left")  # one row per hypothesis
+    scored = with_hypergeom_upper(
+        urns, x, x + F.col("norm_sum_compared_sigDE"), F.col("sum_white"), F.col("sum_black"), "oaes_hyper"
     )
+    return scored.withColumn("oaes_hyper", F.nullif("oaes_hyper", F.lit(1.0))).drop("sum_white", "sum_black")
 
 
 def default_family_pvalues(hogs: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ events give alignments. Everything grows with the tables.
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,15 +44,28 @@ def _cents(key: str) -> Column:
     return F.round(F.col(key) * 100).cast("long")
 
 
+@lru_cache(maxsize=8)
+def _domain(application: str, spark: SparkSession, folder: str) -> Domain:
+    return Domain(spark, folder)
+
+
+def domain(spark: SparkSession, folder: str) -> Domain:
+    """The domain of a folder; a session looks up files and schemas once."""
+    return _domain(spark.sparkContext.applicationId, spark, folder.rstrip("/"))
+
+
 class Domain:
     """Lazy domain tables of one data folder."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
-        self.folder = folder.rstrip("/")
+        self.folder = folder
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     @cached_property
     def genes(self) -> DataFrame:

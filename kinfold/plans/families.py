@@ -33,7 +33,7 @@ SELECT 2, hog, (h2_af OR h2_eu) AND af >= 1 AND eu >= 1, (h2_af OR h2_eu) AND af
 SELECT 3, hog, h3_me AND af >= 2, (h3_am OR h3_as OR h3_me) AND af >= 2 FROM passes UNION ALL
 SELECT 4, hog, h4_me AND asi >= 2 AND me >= 1, h4_me AND asi >= 2 AND me >= 1 FROM passes""", "passes")
 fragment("hog_de", """
-SELECT de.*, gene AS de_gene, coalesce(hog, 'singleton') AS hog,
+SELECT gene, species, padj, coalesce(hog, 'singleton') AS hog,
        CASE WHEN padj < 0.1 THEN 'yes' ELSE 'no' END AS significant
 FROM (SELECT gene, hog FROM hog_genes) FULL JOIN de USING (gene)""", "hog_genes", "de")
 fragment("sig", """

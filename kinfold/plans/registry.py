@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinfold.plans.domain import Domain
+from kinfold.plans.domain import Domain, domain
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -39,7 +39,7 @@ def query(name: str, sql: str | None = None, needs: tuple[str, ...] | str = ()):
     """Register a query on a Domain; without SQL it is checked by tests on small fixtures."""
 
     def register(build: Callable[[Domain], DataFrame]):
-        QUERIES[name] = lambda spark, folder: build(Domain(spark, folder))
+        QUERIES[name] = lambda spark, folder: build(domain(spark, folder))
         if sql is not None:
             ORACLES[name] = with_fragments(sql, (needs,) if isinstance(needs, str) else tuple(needs))
         return build

@@ -15,7 +15,7 @@ FEATURE_SCHEMA = (
 
 def attributes(text: Column) -> Column:
     """``key "value";`` and ``key=value;`` lists as a map; the first of a repeated key counts."""
-    items = F.filter(F.transform(F.split(text, ";"), F.trim), lambda item: item != "")
+    items = F.filter(F.transform(F.split(text, ";"), lambda item: F.trim(item)), lambda item: item != "")
     entries = F.transform(
         items,
         lambda item: F.struct(
