@@ -123,6 +123,26 @@ def gene_dispersion(normalised: DataFrame, samples: Sequence[str]) -> DataFrame:
     )
 
 
+def _fitted_mean(counts: Column, factors: Column) -> Column:
+    """Negative binomial mean of a group: fixed-point steps on the likelihood equation."""
+    alpha = F.col("dispersion")
+    pairs = F.zip_with(counts, factors, lambda c, f: F.struct(c.alias("c"), f.alias("f")))
+    start = F.greatest(_total(counts) / _total(factors), F.lit(MIN_MEAN))
+
+    def step(mu: Column, _: Column) -> Column:
+        up = F.aggregate(pairs, F.lit(0.0), lambda a, p: a + p["c"] / (1.0 + alpha * mu * p["f"]))
+        down = F.aggregate(pairs, F.lit(0.0), lambda a, p: a + p["f"] / (1.0 + alpha * mu * p["f"]))
+        return F.greatest(up / down, F.lit(MIN_MEAN))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(FIT_STEPS)), start, step)
+
+
+def _information(mu: Column, factors: Column) -> Column:
+    """Expected information about the log mean of a group."""
+    alpha = F.col("dispersion")
+    return _total(F.transform(factors, lambda f: mu * f / (1.0 + alpha * mu * f)))
+
+
 def de_test(dispersed: DataFrame, samples: Sequence[str], condition: Mapping[str, str]) -> DataFrame:
     """Two-group negative binomial Wald test per gene; the alphabetically first group is the base.
 
@@ -137,25 +157,11 @@ def de_test(dispersed: DataFrame, samples: Sequence[str], condition: Mapping[str
         at = [i for i, s in enumerate(samples) if condition[s] == level]
         return F.array(*[F.get(column, F.lit(i)) for i in at])
 
-    alpha = F.col("dispersion")
     df = dispersed
     for side, level in zip(("base", "other"), levels):
-        df = df.withColumns({f"{side}_counts": pick("counts", level), f"{side}_factors": pick("factors", level)})
-        start = F.greatest(_total(F.col(f"{side}_counts")) / _total(F.col(f"{side}_factors")), F.lit(MIN_MEAN))
-        pairs = F.zip_with(
-            f"{side}_counts", f"{side}_factors", lambda c, f: F.struct(c.alias("c"), f.alias("f"))
-        )
-
-        def step(mu: Column, _: Column, pairs: Column = pairs) -> Column:
-            up = F.aggregate(pairs, F.lit(0.0), lambda a, p: a + p["c"] / (1.0 + alpha * mu * p["f"]))
-            down = F.aggregate(pairs, F.lit(0.0), lambda a, p: a + p["f"] / (1.0 + alpha * mu * p["f"]))
-            return F.greatest(up / down, F.lit(MIN_MEAN))
-
-        steps = F.sequence(F.lit(1), F.lit(FIT_STEPS))
-        df = df.withColumn(f"{side}_mean", F.aggregate(steps, start, step))
-        mu = F.col(f"{side}_mean")
-        weights = F.transform(f"{side}_factors", lambda f, mu=mu: mu * f / (1.0 + alpha * mu * f))
-        df = df.withColumn(f"{side}_information", _total(weights))
+        counts, factors = pick("counts", level), pick("factors", level)
+        df = df.withColumn(f"{side}_mean", _fitted_mean(counts, factors))
+        df = df.withColumn(f"{side}_information", _information(F.col(f"{side}_mean"), factors))
     log_two = F.log(F.lit(2.0))
     change = F.log2(F.col("other_mean") / F.col("base_mean"))
     error = F.sqrt(1.0 / F.col("base_information") + 1.0 / F.col("other_information")) / log_two

@@ -28,23 +28,25 @@ def read_quality_trim(
     reads: DataFrame, window: int = WINDOW, quality: int = MIN_QUALITY, min_length: int = MIN_LENGTH
 ) -> DataFrame:
     """Cut before the first window whose mean quality is too low; drop reads left too short."""
-    scored = reads.withColumn("_q", qualities(F.col("qual")))
 
-    def window_sum(i: Column) -> Column:
-        total = F.get("_q", i)
-        for k in range(1, window):
-            total = total + F.get("_q", i + k)
-        return total
+    def kept_length(q: Column) -> Column:
+        def too_low(i: Column) -> Column:
+            total = F.get(q, i)
+            for k in range(1, window):
+                total = total + F.get(q, i + k)
+            return F.coalesce(total < quality * window, F.lit(False))
 
-    starts = F.sequence(F.lit(0), F.greatest(F.size("_q") - window, F.lit(0)))
-    bad = F.array_position(F.transform(starts, lambda i: F.coalesce(window_sum(i) < quality * window, F.lit(False))), True)
-    keep = F.when(bad > 0, bad - 1).otherwise(F.size("_q")).cast("int")
+        starts = F.sequence(F.lit(0), F.greatest(F.size(q) - window, F.lit(0)))
+        bad = F.array_position(F.transform(starts, too_low), True)
+        return F.when(bad > 0, bad - 1).otherwise(F.size(q)).cast("int")
+
+    # A generator hands on one row or none, so that qualities are split once per read.
+    lengths = F.transform(F.array(qualities(F.col("qual"))), lambda q: F.struct(kept_length(q).alias("_keep")))
     return (
-        scored.withColumn("_keep", keep)
-        .filter(F.col("_keep") >= min_length)
+        reads.select("*", F.inline(F.filter(lengths, lambda s: s["_keep"] >= min_length)))
         .withColumn("seq", F.substring(F.col("seq"), F.lit(1), F.col("_keep")))
         .withColumn("qual", F.substring(F.col("qual"), F.lit(1), F.col("_keep")))
-        .drop("_q", "_keep")
+        .drop("_keep")
     )
 
 
