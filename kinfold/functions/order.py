@@ -26,6 +26,16 @@ def value_bucket(value: Column) -> Column:
     return F.when(v == 0, F.lit(0).cast("long")).when(v > 0, place).otherwise(-place)
 
 
+def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add costly columns that later expressions and filters use many times.
+
+    They pass through a one-row generator. The optimizer copies a plain column's expression
+    into every filter above it; it never does so with a generated one.
+    """
+    values = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return df.select("*", F.inline(F.array(values)))
+
+
 def top_n(df: DataFrame, by: Sequence[str], order: Sequence[Column], n: int, rank: str = "rank") -> DataFrame:
     """First n rows per group; Spark cuts each input partition to n before the shuffle."""
     window = Window.partitionBy(*by).orderBy(*order)

@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kinfold.functions.order import computed_once
+
 
 def lgamma(z: Column) -> Column:
     """ln Gamma(z) for z > 0: Stirling's series at z + 8, shifted back by the recurrence."""
@@ -34,7 +36,7 @@ def with_hypergeom_upper(df: DataFrame, x: Column, draws: Column, white: Column,
     of neighbouring terms. Terms further than 30 standard deviations from the mean are below
     double precision, so the summed range stays short however large the family is.
 
-    Intermediate values are columns of their own, so that the plan does not repeat them.
+    Intermediate values are computed once, so that the plan does not repeat them.
     """
     w, b, n, k0 = (F.col(f"_u.{c}") for c in "wbnk")
     urn = F.struct(
@@ -66,18 +68,17 @@ def with_hypergeom_upper(df: DataFrame, x: Column, draws: Column, white: Column,
     zero = F.struct(F.lit(0.0).alias("total"), F.exp("_log_term").alias("term"))
     total = F.aggregate(F.sequence(F.lit(0).cast("long"), (top - start).cast("long")), zero, add, lambda acc: acc["total"])
     open_case = (k0 > certain) & (k0 <= last)
-    return (
-        df.withColumn("_u", urn)
-        .withColumn("_start", F.when(open_case, F.greatest(k0, F.floor(mean - reach).cast("double"))))
-        .withColumn("_stop", F.when(open_case, F.least(last, F.ceil(F.greatest(start, mean) + reach).cast("double"))))
-        .withColumn("_gammas", F.when(start.isNotNull(), gammas))
-        .withColumn("_log_term", log_term)
-        .withColumn(
-            out,
-            F.when(k0 <= certain, F.lit(1.0)).when(k0 > last, F.lit(0.0)).otherwise(F.least(total, F.lit(1.0))),
-        )
-        .drop("_u", "_start", "_stop", "_gammas", "_log_term")
+    p = F.when(k0 <= certain, F.lit(1.0)).when(k0 > last, F.lit(0.0)).otherwise(F.least(total, F.lit(1.0)))
+    ranged = computed_once(
+        computed_once(df, _u=urn), _start=F.when(open_case, F.greatest(k0, F.floor(mean - reach).cast("double")))
+    )
+    stopped = computed_once(
+        ranged,
+        _stop=F.when(open_case, F.least(last, F.ceil(F.greatest(start, mean) + reach).cast("double"))),
+        _gammas=F.when(start.isNotNull(), gammas),
     )
+    summed = computed_once(computed_once(stopped, _log_term=log_term), **{out: p})
+    return summed.drop("_u", "_start", "_stop", "_gammas", "_log_term")
 
 
 def fisher_combine(p1: Column, p2: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kinfold.functions.order import exact_median, running_count
+from kinfold.functions.order import computed_once, exact_median, running_count
 from kinfold.functions.stats import two_sided_normal
 
 # Floor of the dispersion and of a fitted mean.
@@ -157,21 +157,17 @@ def de_test(dispersed: DataFrame, samples: Sequence[str], condition: Mapping[str
         at = [i for i, s in enumerate(samples) if condition[s] == level]
         return F.array(*[F.get(column, F.lit(i)) for i in at])
 
-    df = dispersed
-    for side, level in zip(("base", "other"), levels):
-        counts, factors = pick("counts", level), pick("factors", level)
-        df = df.withColumn(f"{side}_mean", _fitted_mean(counts, factors))
-        df = df.withColumn(f"{side}_information", _information(F.col(f"{side}_mean"), factors))
-    log_two = F.log(F.lit(2.0))
+    base, other = ((pick("counts", level), pick("factors", level)) for level in levels)
+    fitted = computed_once(dispersed, base_mean=_fitted_mean(*base), other_mean=_fitted_mean(*other))
     change = F.log2(F.col("other_mean") / F.col("base_mean"))
-    error = F.sqrt(1.0 / F.col("base_information") + 1.0 / F.col("other_information")) / log_two
+    error = F.sqrt(
+        1.0 / _information(F.col("base_mean"), base[1]) + 1.0 / _information(F.col("other_mean"), other[1])
+    ) / F.log(F.lit(2.0))
     counted = F.col("baseMean") > 0
-    return (
-        df.withColumn("log2FoldChange", F.when(counted, change))
-        .withColumn("lfcSE", F.when(counted, error))
-        .withColumn("stat", F.col("log2FoldChange") / F.col("lfcSE"))
-        .withColumn("pvalue", two_sided_normal(F.col("stat")))
-        .select("gene", "baseMean", "log2FoldChange", "lfcSE", "stat", "pvalue")
+    effects = computed_once(fitted, log2FoldChange=F.when(counted, change), lfcSE=F.when(counted, error))
+    tested = computed_once(effects, stat=F.col("log2FoldChange") / F.col("lfcSE"))
+    return computed_once(tested, pvalue=two_sided_normal(F.col("stat"))).select(
+        "gene", "baseMean", "log2FoldChange", "lfcSE", "stat", "pvalue"
     )
 
 
