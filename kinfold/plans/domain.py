@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import cached_property, lru_cache
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kinfold.sources.config import Hypothesis
@@ -233,26 +233,39 @@ class Domain:
 
     @cached_property
     def trees(self) -> DataFrame:
-        """One Newick text per family: finished or not, then species, then gene.
+        return self.trees_by_status("F")
+
+    def trees_by_status(self, status: str) -> DataFrame:
+        """One Newick text per family: with this status or not, then species, then gene.
 
         Families with genes on one side only have no binary root and no tree.
         """
-        length = _cents("price").cast("string")
-        side = (F.col("status") == "F").alias("finished")
         leaves = self.genes.filter(F.col("priority") != "4-NOT SPECIFIED").select(
-            "hog", side, "species", "gene", "price", F.concat("gene", F.lit(":"), length).alias("leaf")
+            "hog", (F.col("status") == status).alias("side"), "species",
+            _cents("price").alias("length"),
+            F.concat("gene", F.lit(":"), _cents("price").cast("string")).alias("leaf"),
         )
 
         def clade(df: DataFrame, by: list[str], child: str, out: str) -> DataFrame:
-            stem = F.max(_cents("price")).cast("string")
             inside = F.array_join(F.sort_array(F.collect_list(child)), ",")
+            stem = F.max("length").cast("string")
             return df.groupBy(*by).agg(
-                F.max("price").alias("price"), F.concat(F.lit("("), inside, F.lit("):"), stem).alias(out)
+                F.max("length").alias("length"), F.concat(F.lit("("), inside, F.lit("):"), stem).alias(out)
             )
 
-        species = clade(leaves, ["hog", "finished", "species"], "leaf", "species_clade")
-        sides = clade(species, ["hog", "finished"], "species_clade", "side_clade")
+        species = clade(leaves, ["hog", "side", "species"], "leaf", "species_clade")
+        sides = clade(species, ["hog", "side"], "species_clade", "side_clade")
         return sides.groupBy("hog").agg(
             F.concat(F.lit("("), F.array_join(F.sort_array(F.collect_list("side_clade")), ","), F.lit(");")).alias("newick"),
             F.count(F.lit(1)).alias("n"),
         ).filter("n = 2").select(F.col("hog").alias("tree_id"), "newick")
+
+    @cached_property
+    def edges(self) -> DataFrame:
+        """Neighbouring genes of one species in a family, weighted by their prices."""
+        after = Window.partitionBy("hog", "species").orderBy("key")
+        rows = self.genes.filter(F.col("priority") != "4-NOT SPECIFIED")
+        return rows.select(
+            F.col("gene").alias("a"), F.lead("gene").over(after).alias("b"),
+            (F.sqrt(F.col("price") * F.lead("price").over(after)) / 1000).alias("weight"),
+        ).filter(F.col("b").isNotNull())

@@ -113,7 +113,7 @@ def parse_newick(trees: DataFrame, dialect: int = 0) -> DataFrame:
 def write_newick(nodes: DataFrame, dialect: int = 5) -> DataFrame:
     """Node table -> (tree_id, newick); characters the format reserves become "_".
 
-    A tree is one text record, so its nodes meet in one group.
+    A tree is one text record, so its nodes meet in one group. The root gets no label.
     """
     parts = DIALECTS[dialect]
     illegal = ILLEGAL
@@ -126,7 +126,7 @@ def write_newick(nodes: DataFrame, dialect: int = 5) -> DataFrame:
             head = re.sub(illegal, "_", row.name_ or "")
         elif kind == "support":
             head = f"{row.support:f}"
-        return head + (f":{row.dist:g}" if length_kind else "")
+        return head + (f":{row.dist:.15g}" if length_kind else "")
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("node_id").rename(columns={"name": "name_"})
@@ -134,11 +134,12 @@ def write_newick(nodes: DataFrame, dialect: int = 5) -> DataFrame:
         root = ""
         for row in reversed(list(pdf.itertuples())):  # children come before their parent
             below = text[row.node_id]
+            is_root = pd.isna(row.parent_id)
             if row.is_leaf:
                 own = label(*parts[:2], row)
             else:
-                own = "(" + ",".join(reversed(below)) + ")" + label(*parts[2:], row)
-            if pd.isna(row.parent_id):
+                own = "(" + ",".join(reversed(below)) + ")" + ("" if is_root else label(*parts[2:], row))
+            if is_root:
                 root = own + ";"
             else:
                 text[int(row.parent_id)].append(own)
