@@ -37,18 +37,20 @@ def mcl_cluster(
     loops = both.groupBy("target").agg(F.max("flow").alias("flow")).select(
         F.col("target").alias("source"), "target", "flow"
     )
-    flow = cut_lineage(_columns_sum_to_one(both.unionByName(loops)))
+    flow = _columns_sum_to_one(cut_lineage(both.unionByName(loops)))
     for _ in range(max_rounds):
         first = flow.select("source", F.col("target").alias("via"), F.col("flow").alias("flow_in"))
         then = flow.select(F.col("source").alias("via"), "target", F.col("flow").alias("flow_out"))
-        grown = first.join(then, "via").groupBy("source", "target").agg(
-            F.pow(F.sum(F.col("flow_in") * F.col("flow_out")), F.lit(inflation)).alias("flow")
+        grown = cut_lineage(
+            first.join(then, "via").groupBy("source", "target").agg(
+                F.pow(F.sum(F.col("flow_in") * F.col("flow_out")), F.lit(inflation)).alias("flow")
+            )
         )
         totals = grown.groupBy("target").agg(F.sum("flow").alias("total"), F.max("flow").alias("most"))
         kept = grown.join(totals, "target").filter(
             (F.col("flow") >= min_flow * F.col("total")) | (F.col("flow") == F.col("most"))
         )
-        flow = cut_lineage(_columns_sum_to_one(kept.select("source", "target", "flow")))
+        flow = _columns_sum_to_one(kept.select("source", "target", "flow"))
         unrest = (
             flow.groupBy("target").agg((F.max("flow") - F.sum(F.col("flow") * F.col("flow"))).alias("unrest"))
             .agg(F.max("unrest")).first()[0]
@@ -67,8 +69,8 @@ def components(edges: DataFrame) -> DataFrame:
         edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     )
     labels = both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("cluster"))
-    labels = cut_lineage(labels)
     while True:
+        labels = cut_lineage(labels)
         known = labels.select(F.col("node").alias("b"), F.col("cluster").alias("near"))
         around = both.join(known, "b").groupBy(F.col("a").alias("node")).agg(F.min("near").alias("near"))
         jump = labels.select(F.col("node").alias("cluster"), F.col("cluster").alias("further"))

@@ -117,17 +117,21 @@ def leaf_extremes(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def farthest_from_leaf(nodes: DataFrame, pairs: DataFrame, start: DataFrame) -> DataFrame:
-    """Farthest leaf from one chosen node per tree (tree_id, node_id).
+    """Farthest other leaf from one chosen node per tree (tree_id, node_id).
 
-    From each ancestor of the start, the farthest leaf below it bounds the way over that
-    ancestor; the best over all ancestors is the true maximum.
+    The way leads up to some ancestor and down again through a child that is not on the way
+    up; the best over all such children is the answer.
     """
-    extremes = leaf_extremes(nodes, pairs).select(
-        "tree_id", F.col("node_id").alias("ancestor_id"), "farthest_leaf", "farthest_distance"
+    extremes = leaf_extremes(nodes, pairs).select(*KEY, "farthest_leaf", "farthest_distance")
+    down = nodes.join(extremes, KEY).select(
+        "tree_id", F.col("node_id").alias("child_id"), F.col("parent_id").alias("ancestor_id"), "farthest_leaf",
+        (F.coalesce("dist", F.lit(0.0)) + F.col("farthest_distance")).alias("down"),
     )
-    over = start.select(*KEY).join(pairs, KEY).join(extremes, ["tree_id", "ancestor_id"])
-    length = F.col("distance") + F.col("farthest_distance")
-    best = F.struct(length, -F.col("hops"))
+    up = start.select(*KEY).join(pairs, KEY)
+    on_the_way = up.select(*KEY, F.col("ancestor_id").alias("child_id"))
+    over = up.join(down, ["tree_id", "ancestor_id"]).join(on_the_way, [*KEY, "child_id"], "left_anti")
+    length = F.col("distance") + F.col("down")
+    best = F.struct(length, -F.col("hops"), -F.col("farthest_leaf"))
     return over.groupBy(*KEY).agg(
         F.max_by("farthest_leaf", best).alias("farthest_leaf"), F.max(length).alias("distance")
     )

@@ -198,4 +198,4 @@ def _(d: Domain) -> DataFrame:
 
 @query("mcl_cluster")
 def _(d: Domain) -> DataFrame:
-    return clustering.mcl_cluster(d.edges)
+    return clustering.mcl_cluster(d.edges, max_rounds=6)
