@@ -106,7 +106,7 @@ def with_factors(rows: DataFrame, factors: DataFrame, samples: Sequence[str]) ->
 
 
 def gene_dispersion(normalised: DataFrame, samples: Sequence[str]) -> DataFrame:
-    """Gene-wise moment estimate of the dispersion, not shrunken."""
+    """Gene-wise moment estimate of the dispersion over all samples, not shrunken."""
     n = len(samples)
     mean = _total(F.col("normalised")) / n
     variance = F.aggregate(
@@ -143,6 +143,28 @@ def _information(mu: Column, factors: Column) -> Column:
     return _total(F.transform(factors, lambda f: mu * f / (1.0 + alpha * mu * f)))
 
 
+def group_dispersion(normalised: DataFrame, samples: Sequence[str], condition: Mapping[str, str]) -> DataFrame:
+    """Gene-wise dispersion around the group means, for tests between the groups.
+
+    The excess of squared residuals over the means, relative to the squared means, per degree
+    of freedom; a difference between the groups does not count as spread.
+    """
+    groups = sorted({condition[s] for s in samples})
+
+    def values(level: str) -> Column:
+        return F.array(*[F.get("normalised", F.lit(i)) for i, s in enumerate(samples) if condition[s] == level])
+
+    excess = F.lit(0.0)
+    for level in groups:
+        size = sum(condition[s] == level for s in samples)
+        mean = F.greatest(_total(values(level)) / size, F.lit(1.0))
+        squares = _total(F.transform(values(level), lambda x: (x - mean) * (x - mean)))
+        excess = excess + (squares - size * mean) / (mean * mean)
+    return normalised.withColumn("baseMean", _total(F.col("normalised")) / len(samples)).withColumn(
+        "dispersion", F.greatest(excess / (len(samples) - len(groups)), F.lit(MIN_DISPERSION))
+    )
+
+
 def de_test(dispersed: DataFrame, samples: Sequence[str], condition: Mapping[str, str]) -> DataFrame:
     """Two-group negative binomial Wald test per gene; the alphabetically first group is the base.
 

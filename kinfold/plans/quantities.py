@@ -92,7 +92,7 @@ def _(d: Domain) -> DataFrame:
 
 @query("de_test")
 def _(d: Domain) -> DataFrame:
-    rows = counts.gene_dispersion(rows_with_factors(d), SAMPLES)
+    rows = counts.group_dispersion(rows_with_factors(d), SAMPLES, CONDITION)
     tested = counts.de_test(rows, SAMPLES, CONDITION).withColumn("species", F.lit("one"))
     return counts.bh_adjust(tested)
 
