@@ -56,16 +56,21 @@ def _hit_key(*more: Column) -> Column:
 def hits_touching(named: DataFrame, members: DataFrame) -> DataFrame:
     """Hits whose query or subject belongs to a family: one row per (hypothesis, hog, hit).
 
-    ``members`` has hypothesis, hog and gene. Two equi-joins replace the OR condition; the
-    second drops what the first already found, so nothing needs to be de-duplicated.
+    ``members`` has hypothesis, hog and gene. Both ends of a hit meet the members in one
+    equi-join instead of an OR condition. A hit found by its subject is dropped when its query
+    is in the same family too, so nothing needs to be de-duplicated.
     """
     keys = members.select(*GROUP, "gene").distinct()
-    columns = [*GROUP, *named.columns]
-    by_query = named.join(keys, F.col("qseqid_name") == F.col("gene")).select(*columns)
-    by_subject = named.join(keys, F.col("sseqid_name") == F.col("gene")).select(*columns)
-    queried = keys.withColumnRenamed("gene", "qseqid_name")
-    only_subject = by_subject.join(queried, [*GROUP, "qseqid_name"], "left_anti").select(*columns)
-    return by_query.unionByName(only_subject)
+    ends = F.array(
+        F.struct(F.lit(0).alias("side"), F.col("qseqid_name").alias("gene")),
+        F.struct(F.lit(1).alias("side"), F.col("sseqid_name").alias("gene")),
+    )
+    matched = named.select("*", F.inline(ends)).filter(F.col("gene").isNotNull()).join(keys, "gene")
+    queried = keys.select(*GROUP, F.col("gene").alias("qseqid_name"), F.lit(True).alias("query_inside"))
+    once = matched.join(queried, [*GROUP, "qseqid_name"], "left").filter(
+        (F.col("side") == 0) | F.col("query_inside").isNull()
+    )
+    return once.select(*GROUP, *named.columns)
 
 
 def rank_hits(touching: DataFrame) -> DataFrame:
@@ -142,8 +147,8 @@ def cumulative_gene_sets(closest: DataFrame, hog_genes: DataFrame) -> DataFrame:
     Families bring the genes of every species, singletons only themselves. The last set is
     the last rank that exists, so a family with fewer neighbours has fewer sets.
     """
-    last = closest.groupBy(*GROUP).agg(F.max("rank").alias("last"))
-    spread = closest.join(last, GROUP)
+    # at most n + 1 rows per family
+    spread = closest.withColumn("last", F.max("rank").over(Window.partitionBy(*GROUP)))
     pool = hog_genes.select(F.col("hog").alias("target_hog"), F.col("gene").alias("member"))
     families = spread.filter(F.col("target_hog").isNotNull()).join(pool, "target_hog")
     genes = families.select(*GROUP, "rank", "last", F.col("member").alias("gene")).unionByName(

@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kinfold.functions.order import computed_once
+
 # Trimming settings and the quality offset.
 WINDOW = 4
 MIN_QUALITY = 20
@@ -27,23 +29,30 @@ def qualities(qual: Column) -> Column:
 def read_quality_trim(
     reads: DataFrame, window: int = WINDOW, quality: int = MIN_QUALITY, min_length: int = MIN_LENGTH
 ) -> DataFrame:
-    """Cut before the first window whose mean quality is too low; drop reads left too short."""
+    """Cut before the first window whose mean quality is too low; drop reads left too short.
+
+    Window sums are cumulative sums over the quality codes, in Arrow batches.
+    """
+    lowest = quality * window
+    offset = QUALITY_OFFSET
+
+    @F.pandas_udf("int")
+    def kept_length(quals: pd.Series) -> pd.Series:
+        import numpy as np
 
-    def kept_length(q: Column) -> Column:
-        def too_low(i: Column) -> Column:
-            total = F.get(q, i)
-            for k in range(1, window):
-                total = total + F.get(q, i + k)
-            return F.coalesce(total < quality * window, F.lit(False))
+        def find(text: str) -> int:
+            codes = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.int64) - offset
+            if len(codes) < window:
+                return len(codes)
+            sums = np.cumsum(np.concatenate(([0], codes)))
+            low = sums[window:] - sums[:-window] < lowest
+            return int(low.argmax()) if low.any() else len(codes)
 
-        starts = F.sequence(F.lit(0), F.greatest(F.size(q) - window, F.lit(0)))
-        bad = F.array_position(F.transform(starts, too_low), True)
-        return F.when(bad > 0, bad - 1).otherwise(F.size(q)).cast("int")
+        return quals.map(find)
 
-    # A generator hands on one row or none, so that qualities are split once per read.
-    lengths = F.transform(F.array(qualities(F.col("qual"))), lambda q: F.struct(kept_length(q).alias("_keep")))
     return (
-        reads.select("*", F.inline(F.filter(lengths, lambda s: s["_keep"] >= min_length)))
+        computed_once(reads, _keep=kept_length("qual"))
+        .filter(F.col("_keep") >= min_length)
         .withColumn("seq", F.substring(F.col("seq"), F.lit(1), F.col("_keep")))
         .withColumn("qual", F.substring(F.col("qual"), F.lit(1), F.col("_keep")))
         .drop("_keep")

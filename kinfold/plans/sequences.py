@@ -10,9 +10,11 @@ from kinfold.operators import isoforms, reads
 from kinfold.plans.domain import Domain
 from kinfold.plans.registry import big, fragment, query, r6
 
-fragment("reads", """
+# Codes 10 and 32-126 count modulo 42, all other characters by their code minus 33.
+SCORE = "CASE WHEN ascii(c) = 10 OR ascii(c) BETWEEN 32 AND 126 THEN ascii(c) % 42 ELSE ascii(c) - 33 END"
+fragment("reads", f"""
 SELECT lang AS sample, CAST(doc_id AS VARCHAR) AS read_id, text AS seq,
-  list_transform(string_split(text, ''), lambda c: ascii(c) % 42) AS q FROM documents""")
+  list_transform(string_split(text, ''), lambda c: {SCORE}) AS q FROM documents""")
 fragment("trimmed", """
 SELECT sample, read_id, seq, q, coalesce(list_position(list_transform(range(1, len(q) - 2),
   lambda i: q[i] + q[i + 1] + q[i + 2] + q[i + 3] < 80), true) - 1, len(q)) AS keep FROM reads""", "reads")
@@ -129,9 +131,9 @@ def _(d: Domain) -> DataFrame:
     return clipped.select("sample", "read_id", big(F.length("seq"), "n"), F.md5("seq").alias("digest"))
 
 
-@query("pair_survival", """
+@query("pair_survival", f"""
 WITH t AS (SELECT conv_id || '_' || (turn // 2) AS read_id, turn % 2 + 1 AS mate,
-    list_transform(string_split(text, ''), lambda c: ascii(c) % 42) AS q FROM conversations),
+    list_transform(string_split(text, ''), lambda c: {SCORE}) AS q FROM conversations),
 k AS (SELECT *, coalesce(list_position(list_transform(range(1, len(q) - 2),
   lambda i: q[i] + q[i + 1] + q[i + 2] + q[i + 3] < 40), true) - 1, len(q)) AS keep FROM t)
 SELECT read_id, mate, CASE WHEN count(*) OVER (PARTITION BY read_id) = 2 THEN 'paired' ELSE 'unpaired' END AS fate
