@@ -99,8 +99,8 @@ def _total(values: Column) -> Column:
 def with_factors(rows: DataFrame, factors: DataFrame, samples: Sequence[str]) -> DataFrame:
     """Attach the factors in design order, and counts divided by them."""
     cells = [F.max(F.when(F.col("sample") == s, F.col("size_factor"))) for s in samples]
-    one_row = factors.agg(F.array(*cells).alias("factors"))  # one row by construction
-    return rows.join(F.broadcast(one_row)).withColumn(
+    in_order = factors.agg(F.array(*cells).alias("factors")).scalar()
+    return rows.withColumn("factors", in_order).withColumn(
         "normalised", F.zip_with("counts", "factors", lambda c, f: c / f)
     )
 

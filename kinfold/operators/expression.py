@@ -31,9 +31,16 @@ def add_unmeasured_species(de: DataFrame, annotation: DataFrame) -> DataFrame:
 
 
 def de_with_hog(de: DataFrame, hog_genes: DataFrame) -> DataFrame:
-    """Full outer join on the gene name alone; rows without a family become singletons."""
+    """Full outer join on the gene name alone; rows without a family become singletons.
+
+    Written as a left join plus the genes that have no result, because adaptive execution can
+    split a very frequent gene name in a left join but not in a full outer one.
+    """
     members = hog_genes.select("gene", "hog")
-    return de.join(members, "gene", "full_outer").withColumn("hog", F.coalesce("hog", F.lit(SINGLETON)))
+    measured = de.join(members, "gene", "left")
+    unmeasured = members.join(de.select("gene").distinct(), "gene", "left_anti")
+    both = measured.unionByName(unmeasured, allowMissingColumns=True)
+    return both.withColumn("hog", F.coalesce("hog", F.lit(SINGLETON)))
 
 
 def significance_flag(de: DataFrame, fdr: float) -> DataFrame:
