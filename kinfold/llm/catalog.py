@@ -1,4 +1,4 @@
 """Imports every module that registers a dealt operator."""
 
-from kinfold.llm import packing, quality, simhash, tiling, toxicity  # noqa: F401
+from kinfold.llm import langid, packing, quality, simhash, tiling, toxicity  # noqa: F401
 from kinfold.llm.registry import ORACLES, QUERIES  # noqa: F401
