@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from kinfold.functions.order import computed_once
 from kinfold.llm.registry import query, table
+from kinfold.llm.store import written
 
 WHITE = "[\\x20\\x09-\\x0D]+"
 
@@ -197,9 +198,8 @@ def judged(stats: DataFrame, cutoffs: dict[str, dict[str, float]], p: RuleParams
 def op7_quality_rules(spark, folder):
     p = RuleParams()
     docs = table(spark, folder, "documents").select("doc_id", "lang", "text")
-    labels = table(spark, folder, "labels")
-    labelled = docs.join(labels.filter("quality = 1").select("doc_id").distinct(), "doc_id", "left_semi")
-    cutoffs = calibrate(statistics(labelled, p), labels, p)
-    return judged(statistics(docs, p), cutoffs, p).select(
+    # The statistics are small beside the texts and serve both the calibration and the verdicts.
+    stats = written(statistics(docs, p), "rule-statistics")
+    return judged(stats, calibrate(stats, table(spark, folder, "labels"), p), p).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rejected_by"
     )
