@@ -263,7 +263,9 @@ def linked(prints: DataFrame, block: int = BLOCK) -> DataFrame:
                 place, key = keys_of(p[at : at + (1 << 13)])
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(p[at : at + (1 << 13)][place].view(np.int64))], names=["key", "print"])
 
-    keyed = within(prints.select("print"), spread, "key long, print long")
+    # A fingerprint becomes about a hundred keys, so the few bytes of the input say little about a task's work.
+    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = within(prints.select("print").repartition(tasks, "print"), spread, "key long, print long")
     found = written(
         within(keyed.repartition("key").sortWithinPartitions("key"), _link(block), "key long, u long, v long"), "links"
     )
