@@ -1,4 +1,4 @@
 """Imports every module that registers a dealt operator."""
 
-from kinfold.llm import katz, langid, packing, quality, rules, simhash, tiling, toxicity  # noqa: F401
+from kinfold.llm import katz, langid, packing, quality, rules, simhash, tiling, toxicity, urls  # noqa: F401
 from kinfold.llm.registry import ORACLES, QUERIES  # noqa: F401
