@@ -102,11 +102,28 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...
     return out
 
 
+def lower_bound(counts: dict[int, int], capacity: int) -> int:
+    """Sequences that any packing needs: for each k, what pieces of at least k must waste beside the large ones."""
+    n = np.zeros(capacity + 1, np.int64)
+    n[list(counts)] = list(counts.values())
+    many, size = np.append(n[::-1].cumsum()[::-1], 0), np.append((n * np.arange(capacity + 1))[::-1].cumsum()[::-1], 0)
+    best = -(-int(size[0]) // capacity)
+    half = capacity // 2 + 1
+    for k in range(1, half):
+        alone = int(many[capacity - k + 1])
+        large, large_size = int(many[half]) - alone, int(size[half] - size[capacity - k + 1])
+        small_size = int(size[k] - size[half])
+        best = max(best, alone + large + max(0, -(-(small_size - (large * capacity - large_size)) // capacity)))
+    return best
+
+
 def bin_completion(counts: dict[int, int], p: PackingParams) -> list[tuple[tuple[int, ...], int]]:
     """(filling, times) of a packing with as few sequences as the search finds."""
     counts = {n: c for n, c in counts.items() if c}
+    if not counts:
+        return []
     total = sum(n * c for n, c in counts.items())
-    least = -(-total // p.capacity)
+    least = lower_bound(counts, p.capacity)
     best = best_fit(counts, p.capacity)
     used = sum(t for _, t in best)
     stack = [(counts, [], 0, total)]
