@@ -81,7 +81,7 @@ class HtmlParams:
     sample_chars: int = 1 << 16  # longer pages are not fitted on; they are extracted whole like any other
     lean: float = 12.0  # of blocks inside an article
     likely: float = 4.0
-    smooth: float = 1.0
+    smooth: float = 3.0
     clip: float = 5.0
     weights: list[float] = field(default_factory=list)
 

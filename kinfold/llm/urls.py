@@ -171,7 +171,7 @@ def labelled_urls(pages: DataFrame, labels: DataFrame) -> DataFrame:
         .agg(F.min(F.coalesce("quality", F.lit(1))).alias("quality"), F.max(F.coalesce("toxic", F.lit(0))).alias("toxic"))
     )
     return (
-        pages.select("url", number.cast("long").alias("doc_id"))
+        pages.select("url", number.try_cast("long").alias("doc_id"))
         .filter(F.col("doc_id").isNotNull())
         .join(good, "doc_id")
         .select("url", ((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int").alias("bad"))

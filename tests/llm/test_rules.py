@@ -1,0 +1,73 @@
+"""Rule statistics against plain Python, and the guarantee of the cutoffs."""
+
+import collections
+import math
+import random
+import re
+
+import pytest
+from fixtures import FOLDER, awkward, awkward_rows, clashing, empty, needs_data, plain
+from pyspark.sql import functions as F
+
+from kinfold.llm import rules
+from kinfold.llm.rules import RuleParams, binomial_upper, calibrate, judged, statistics
+
+P = RuleParams()
+
+
+def slow(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    windows = collections.Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+    marked = {j for i in range(len(words) - 4) if windows[tuple(words[i : i + 5])] > 1 for j in range(i, i + 5)}
+    failed = len(words) < 10 or 100 * len(marked) > 20 * len(words)
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(marked), failed
+
+
+COLUMNS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+
+
+def test_statistics_of_awkward_rows(spark):
+    got = judged(statistics(clashing(awkward(spark)), P), {r: {} for r in rules.RULES}, P).collect()
+    assert plain((r.doc_id, *(r[c] for c in COLUMNS)) for r in got) == plain((r[0], *slow(r[1])) for r in awkward_rows())
+    assert all(r.kept == (not r.base_failed) for r in got)
+    assert judged(statistics(empty(spark), P), calibrate(statistics(empty(spark), P), spark.createDataFrame([], "doc_id long, quality int"), P), P).count() == 0
+
+
+def test_repeats_in_random_texts(spark):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice("abc") for _ in range(rng.randrange(40))) for _ in range(150)] + ["a b c d e", "x " * 5, "x " * 6, "x " * 3000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("lang", F.lit("en"))
+    got = {r.doc_id: r.n_repeat_words for r in statistics(docs, P).collect()}
+    assert got == {i: slow(t)[4] for i, t in enumerate(texts)}
+
+
+@needs_data
+def test_registered_query(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
+    rows = rules.op7_quality_rules(spark, FOLDER).collect()
+    assert plain((r.doc_id, *(r[c] for c in COLUMNS)) for r in rows) == plain((i, *slow(t)) for i, t in texts.items())
+    assert not any(r.kept and r.base_failed for r in rows)
+
+
+@pytest.mark.parametrize(("k", "n"), [(0, 10), (3, 50), (20, 20), (7, 4000)])
+def test_binomial_bound_is_exact(k, n):
+    q = binomial_upper(k, n, 0.01)
+    if k == n:
+        assert q == 1
+        return
+    tail = sum(math.comb(n, i) * q**i * (1 - q) ** (n - i) for i in range(k + 1))
+    assert tail == pytest.approx(0.01, rel=1e-6)
+
+
+def test_cutoffs_reject_junk_within_the_proven_risk(spark):
+    rows = [(i, "word " * 3 + " ".join(f"w{i}x{j}" for j in range(30)) + (" ###" * 200 if i % 10 == 0 else ""), "en") for i in range(3000)]
+    docs = spark.createDataFrame([*rows, (9000, " ".join(f"z{j}" for j in range(20)), None)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i % 10 != 0)) for i in range(3000)] + [(None, 1), (7, None)], "doc_id long, quality int")
+    stats = statistics(docs, P)
+    cutoffs = calibrate(stats, labels, P)
+    assert cutoffs["symbols"]["en"] < 2 and not any("" in c for c in cutoffs.values())  # nothing proven for the null stratum
+    out = {r.doc_id: r for r in judged(stats, cutoffs, P).collect()}
+    assert not any(out[i].kept for i in range(0, 3000, 10))
+    assert sum(not out[i].kept for i in range(3000) if i % 10) <= 0.02 * 2700 and out[9000].kept
