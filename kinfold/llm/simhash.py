@@ -294,7 +294,8 @@ def groups(docs: DataFrame) -> DataFrame:
     distinct = marked.groupBy("print").agg(F.min("doc_id").alias("first"))
     rooted = distinct.join(linked(distinct), "print", "left").withColumn("root", F.coalesce("root", "print"))
     # One row per fingerprint takes part in what follows, however many copies it has.
-    smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    # Written, so that the join that follows has two plain inputs and a large component can be split.
+    smallest = written(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "components")
     named = rooted.select("print", "root").join(smallest, "root").select("print", "component_id")
     return marked.join(named, "print")
 
