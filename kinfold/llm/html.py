@@ -305,13 +305,10 @@ def main_text(page: str | None, p: HtmlParams) -> str:
 
 def train(pages: DataFrame, p: HtmlParams) -> list[float]:
     """Weights of the logistic classifier, by Newton steps on the sums that tasks return."""
-    sample = (
-        pages.filter(F.length("html") <= p.sample_chars)
-        .select("html", F.xxhash64("page_id", "html").alias("h"))
-        .orderBy("h")
-        .limit(p.sample_pages)
-        .select("html")
-    )
+    # Only hashes are ordered; the pages up to the last chosen hash are then read where they lie.
+    hashed = pages.filter(F.length("html") <= p.sample_chars).select("html", F.xxhash64("page_id", "html").alias("h"))
+    last = hashed.select("h").orderBy("h").limit(p.sample_pages).agg(F.max("h")).first()[0]
+    sample = hashed.filter(F.col("h") <= F.lit(last)).select("html") if last is not None else hashed.select("html").limit(0)
 
     def run(batches):
         for b in batches:
