@@ -14,15 +14,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _SLOTS = 1024  # slices per power of two
+_TIE_SLOTS = 32  # the same for the second key of an order, which only has to spread ties
+_LAST = 1 << 40  # bucket of a missing value, behind all others
 
 
-def value_bucket(value: Column) -> Column:
+def value_bucket(value: Column, slots: int = _SLOTS) -> Column:
     """Monotone bucket of a finite number: its power of two, cut into equal slices."""
     v = value.cast("double")
     size = F.abs(v)
     power = F.floor(F.log2(size))
-    slot = F.floor((size / F.pow(F.lit(2.0), power) - 1.0) * _SLOTS)
-    place = (power + 1100) * _SLOTS + slot
+    slot = F.floor((size / F.pow(F.lit(2.0), power) - 1.0) * slots)
+    place = (power + 1100) * slots + slot
     return F.when(v == 0, F.lit(0).cast("long")).when(v > 0, place).otherwise(-place)
 
 
@@ -84,13 +86,15 @@ def exact_median(df: DataFrame, by: Sequence[str], value: str, out: str) -> Data
 
 
 def full_rank(df: DataFrame, by: Sequence[str], first: str, second: str, order: Sequence[Column], rank: str = "rank") -> DataFrame:
-    """Row number per group over ``order``, where ``order`` begins with ascending ``first``.
+    """Row number per group over ``order``: ascending ``first``, then descending ``second``, then the rest.
 
-    Rows tied at first = 0 are split further by descending ``second`` (the next order key).
+    Missing values of both come last, whatever null order ``order`` names for the rest. Rows tied in
+    ``first`` are split by ``second``, so that a tie does not have to fit one task.
     """
     by = list(by)
-    cut = df.withColumn("_b1", value_bucket(F.col(first))).withColumn(
-        "_b2", F.when(F.col(first) == 0, -value_bucket(F.col(second))).otherwise(F.lit(0).cast("long"))
+    missing = F.lit(_LAST).cast("long")
+    cut = df.withColumn("_b1", F.coalesce(value_bucket(F.col(first)), missing)).withColumn(
+        "_b2", F.coalesce(-value_bucket(F.col(second), _TIE_SLOTS), missing)
     )
     before = Window.partitionBy(*by).orderBy("_b1", "_b2").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (

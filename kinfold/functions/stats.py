@@ -32,9 +32,11 @@ def with_hypergeom_upper(df: DataFrame, x: Column, draws: Column, white: Column,
     """Add P(X >= x) white balls among ``draws`` from an urn of ``white`` + ``black`` balls.
 
     Urn sizes and draws are rounded half to even and x is floored. When x cannot be missed
-    the result is exactly 1. The sum starts with one log-gamma term and goes on by the ratio
-    of neighbouring terms. Terms further than 30 standard deviations from the mean are below
-    double precision, so the summed range stays short however large the family is.
+    the result is exactly 1. Terms are summed away from the mode, where they only fall: above
+    the mode upwards from x, otherwise downwards from x - 1 and taken from 1. The sum starts with one
+    log-gamma term and goes on by the ratio r of neighbouring terms, which falls too, so s terms leave
+    less than r(s / 2) ** (s / 2) of the first; the range is the least power of two for which
+    that is below double precision.
 
     Intermediate values are computed once, so that the plan does not repeat them.
     """
@@ -47,9 +49,8 @@ def with_hypergeom_upper(df: DataFrame, x: Column, draws: Column, white: Column,
     )
     certain = F.greatest(F.lit(0.0), n - b)
     last = F.least(n, w)
-    mean = n * w / F.greatest(w + b, F.lit(1.0))
-    reach = 30.0 * F.sqrt(F.greatest(mean, F.lit(1.0))) + 40.0
-    start, top = F.col("_start"), F.col("_stop")
+    mode = F.floor((n + 1.0) * (w + 1.0) / (w + b + 2.0)).cast("double")
+    start, up, room, steps = F.col("_start"), F.col("_up"), F.col("_room"), F.col("_steps")
     gammas = F.transform(
         F.array(w, start, w - start, b, n - start, b - n + start, w + b, n, w + b - n), lambda z: lgamma(z + 1.0)
     )
@@ -60,25 +61,40 @@ def with_hypergeom_upper(df: DataFrame, x: Column, draws: Column, white: Column,
         lambda total, term: total + term,
     )
 
+    def ratio(step: Column) -> Column:
+        """Next term by this one, ``step`` terms away from the start."""
+        k = F.when(up, start + step).otherwise(start - step)
+        rising = (w - k) * (n - k) / ((k + 1.0) * (b - n + k + 1.0))
+        falling = k * (b - n + k) / ((w - k + 1.0) * (n - k + 1.0))
+        return F.when(up, rising).otherwise(falling)
+
+    def spent(half: Column) -> Column:
+        return (half >= room) | (half * F.log(F.greatest(ratio(F.least(half, room)), F.lit(1e-300))) < -42.0)
+
+    halves = F.array(*[F.lit(float(2**i)) for i in range(5, 50)])
+
     def add(acc: Column, step: Column) -> Column:
-        k = start + step
-        ratio = (w - k) * (n - k) / ((k + 1.0) * (b - n + k + 1.0))
-        return F.struct((acc["total"] + acc["term"]).alias("total"), (acc["term"] * ratio).alias("term"))
+        return F.struct((acc["total"] + acc["term"]).alias("total"), (acc["term"] * ratio(step)).alias("term"))
 
     zero = F.struct(F.lit(0.0).alias("total"), F.exp("_log_term").alias("term"))
-    total = F.aggregate(F.sequence(F.lit(0).cast("long"), (top - start).cast("long")), zero, add, lambda acc: acc["total"])
+    total = F.aggregate(F.sequence(F.lit(0).cast("long"), steps), zero, add, lambda acc: acc["total"])
     open_case = (k0 > certain) & (k0 <= last)
-    p = F.when(k0 <= certain, F.lit(1.0)).when(k0 > last, F.lit(0.0)).otherwise(F.least(total, F.lit(1.0)))
-    ranged = computed_once(
-        computed_once(df, _u=urn), _start=F.when(open_case, F.greatest(k0, F.floor(mean - reach).cast("double")))
+    p = (
+        F.when(k0 <= certain, F.lit(1.0))
+        .when(k0 > last, F.lit(0.0))
+        .otherwise(F.greatest(F.least(F.when(up, total).otherwise(1.0 - total), F.lit(1.0)), F.lit(0.0)))
+    )
+    placed = computed_once(
+        computed_once(df, _u=urn), _start=F.when(open_case, F.when(k0 > mode, k0).otherwise(k0 - 1.0)), _up=k0 > mode
     )
-    stopped = computed_once(
-        ranged,
-        _stop=F.when(open_case, F.least(last, F.ceil(F.greatest(start, mean) + reach).cast("double"))),
+    roomy = computed_once(placed, _room=F.when(up, last - start).otherwise(start - certain))
+    bounded = computed_once(
+        roomy,
+        _steps=F.when(start.isNotNull(), F.least(room, 2.0 * F.get(F.filter(halves, spent), F.lit(0))).cast("long")),
         _gammas=F.when(start.isNotNull(), gammas),
     )
-    summed = computed_once(computed_once(stopped, _log_term=log_term), **{out: p})
-    return summed.drop("_u", "_start", "_stop", "_gammas", "_log_term")
+    summed = computed_once(computed_once(bounded, _log_term=log_term), **{out: p})
+    return summed.drop("_u", "_start", "_up", "_room", "_steps", "_gammas", "_log_term")
 
 
 def fisher_combine(p1: Column, p2: Column) -> Column:

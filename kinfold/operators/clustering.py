@@ -7,11 +7,10 @@ from pyspark.sql import functions as F
 
 from kinfold.session import cut_lineage
 
-# Inflation of the clustering step, smallest kept flow and stopping rule.
+# Inflation of the clustering step and stopping rule.
 INFLATION = 1.5
-MIN_FLOW = 1e-4
 TOLERANCE = 1e-4
-MAX_ROUNDS = 60
+GUARD_ROUNDS = 200
 
 
 def _columns_sum_to_one(flow: DataFrame) -> DataFrame:
@@ -20,15 +19,15 @@ def _columns_sum_to_one(flow: DataFrame) -> DataFrame:
 
 
 def mcl_cluster(
-    edges: DataFrame, inflation: float = INFLATION, min_flow: float = MIN_FLOW,
-    tolerance: float = TOLERANCE, max_rounds: int = MAX_ROUNDS,
+    edges: DataFrame, inflation: float = INFLATION, min_flow: float = 0.0, tolerance: float = TOLERANCE
 ) -> DataFrame:
     """Markov clustering of (a, b, weight) edges: (node, cluster), named by the smallest member.
 
-    Every round squares the flow matrix with one join and one sum, raises it to the inflation
-    and drops flows below ``min_flow``. Columns sum to one, so a column keeps at most
-    1 / min_flow entries and the join stays proportional to the number of entries; its
-    strongest flow always stays. Lineage is cut every round.
+    Every round squares the flow matrix with one join and one sum, which combines before its
+    shuffle, and raises it to the inflation, until no column moves by ``tolerance``. The result is
+    always that of a settled flow: more than ``GUARD_ROUNDS`` rounds raise an error. ``min_flow`` is the published method's
+    pruning and off by default; with it a column keeps at most 1 / min_flow entries, and its strongest flow always stays.
+    Flows that have become exactly zero are no entries. Lineage is cut every round.
     """
     both = edges.filter("a <> b").select(F.col("a").alias("source"), F.col("b").alias("target"), F.col("weight").alias("flow"))
     both = both.unionByName(
@@ -38,7 +37,7 @@ def mcl_cluster(
         F.col("target").alias("source"), "target", "flow"
     )
     flow = _columns_sum_to_one(cut_lineage(both.unionByName(loops)))
-    for _ in range(max_rounds):
+    for _ in range(GUARD_ROUNDS):
         first = flow.select("source", F.col("target").alias("via"), F.col("flow").alias("flow_in"))
         then = flow.select(F.col("source").alias("via"), "target", F.col("flow").alias("flow_out"))
         grown = cut_lineage(
@@ -48,7 +47,7 @@ def mcl_cluster(
         )
         totals = grown.groupBy("target").agg(F.sum("flow").alias("total"), F.max("flow").alias("most"))
         kept = grown.join(totals, "target").filter(
-            (F.col("flow") >= min_flow * F.col("total")) | (F.col("flow") == F.col("most"))
+            ((F.col("flow") > 0) & (F.col("flow") >= min_flow * F.col("total"))) | (F.col("flow") == F.col("most"))
         )
         flow = _columns_sum_to_one(kept.select("source", "target", "flow"))
         unrest = (
@@ -57,6 +56,8 @@ def mcl_cluster(
         )
         if unrest is None or unrest < tolerance:
             break
+    else:
+        raise RuntimeError(f"mcl_cluster: not settled after {GUARD_ROUNDS} rounds")
     return components(flow.select(F.col("source").alias("a"), F.col("target").alias("b")))
 
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.operators.orthogroups import total_column
+from kinfold.operators.orthogroups import total
 from kinfold.sources.config import Hypothesis
 
 RUN = "reference"  # counter restarts at a failed comparison: length of the last run of passes
@@ -15,7 +15,7 @@ SUM = "documented"  # counter is the number of passed comparisons
 
 
 def _passes(hyp: Hypothesis, e: str, c: str, ploidy: Mapping[str, int]) -> Column:
-    grown, base = F.col(total_column(e)), F.col(total_column(c))
+    grown, base = total(e), total(c)
     if hyp.ploidy_normalization:
         have = grown / F.lit(ploidy[e]) * 2
         by_factor = F.lit(hyp.factor) * base / F.lit(ploidy[c]) * 2
@@ -46,11 +46,11 @@ def is_expanded(hyp: Hypothesis, ploidy: Mapping[str, int], count_mode: str = RU
         winners = winners + beats_enough.cast("int")
     condition = winners >= hyp.min_expanded_in
     for s in hyp.expanded_in if hyp.expanded_in_all_found else ():
-        condition = condition & (F.col(total_column(s)) >= 1)
+        condition = condition & (total(s) >= 1)
     for s in hyp.compared_to if hyp.compared_to_all_found else ():
-        condition = condition & (F.col(total_column(s)) >= 1)
+        condition = condition & (total(s) >= 1)
     for s in hyp.expanded_in:
-        condition = condition & (F.col(total_column(s)) >= hyp.min_expanded_genes)
+        condition = condition & (total(s) >= hyp.min_expanded_genes)
     return condition
 
 
@@ -65,7 +65,7 @@ def flag_expansion(
         )
         for h in hypotheses
     ]
-    return counts.select(*counts.columns, F.inline(F.array(*verdicts)))
+    return counts.select("*", F.inline(F.array(*verdicts)))
 
 
 def expanded_hogs(
@@ -78,9 +78,9 @@ def expanded_hogs(
 
 def strict_expansion(counts: DataFrame, hyp: Hypothesis, expanded: str) -> DataFrame:
     """Earlier rule: every compared species is present and beaten by the factor."""
-    grown = F.col(total_column(expanded))
+    grown = total(expanded)
     kept = counts.filter(grown >= hyp.factor)
     for c in hyp.compared_to:
-        base = F.col(total_column(c))
+        base = total(c)
         kept = kept.filter((base > 0) & (grown >= hyp.factor * base))
     return kept

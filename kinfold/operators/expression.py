@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.operators.orthogroups import sig_column
+from kinfold.operators.orthogroups import column, sig_column
 from kinfold.sources.config import Hypothesis
 
 SINGLETON = "singleton"
@@ -92,4 +92,4 @@ def hog_with_sig(counts: DataFrame, sig: DataFrame) -> DataFrame:
 
 
 def zero_to_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.withColumns({c: F.nullif(F.col(c), F.lit(0)) for c in columns})
+    return df.withColumns({c: F.nullif(column(c), F.lit(0)) for c in columns})

@@ -56,11 +56,32 @@ def ancestors(nodes: DataFrame) -> DataFrame:
     return pairs
 
 
-def tree_paths(pairs: DataFrame) -> DataFrame:
-    """Depth and root distance of every node: its farthest ancestor is the root."""
-    return pairs.groupBy(*KEY).agg(
-        F.max("hops").alias("depth"), F.max_by("distance", "hops").alias("root_distance")
+def tree_paths(nodes: DataFrame) -> DataFrame:
+    """Depth and root distance of every node, on one row per node.
+
+    Each round a node takes over the pointer, hops and distance of the node it points to, so all
+    pointers reach the root after about log2(depth) rounds. Lineage is cut every round.
+    """
+    state = nodes.select(
+        *KEY,
+        F.col("parent_id").alias("up"),
+        F.when(F.col("parent_id").isNull(), 0).otherwise(1).alias("depth"),
+        F.when(F.col("parent_id").isNull(), 0.0).otherwise(F.coalesce("dist", F.lit(0.0))).alias("root_distance"),
     )
+    while True:
+        state = cut_lineage(state)
+        if state.filter(F.col("up").isNotNull()).isEmpty():
+            return state.drop("up")
+        above = state.select(
+            "tree_id", F.col("node_id").alias("up"), F.col("up").alias("next"),
+            F.col("depth").alias("more"), F.col("root_distance").alias("further"),
+        )
+        state = state.join(above, ["tree_id", "up"], "left").select(
+            *KEY,
+            F.col("next").alias("up"),
+            (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
+            (F.col("root_distance") + F.coalesce("further", F.lit(0.0))).alias("root_distance"),
+        )
 
 
 def leaves_under(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -104,10 +125,10 @@ def pair_distance(pairs: DataFrame, wanted: DataFrame, topological: bool = False
 
 
 def leaf_extremes(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Closest and farthest leaf below every node, the first in reading order on ties."""
+    """Closest leaf (on ties the first in reading order) and farthest leaf (the last) below every node."""
     below = leaves_under(nodes, pairs)
     near = F.struct("distance", "leaf_id")
-    far = F.struct("distance", -F.col("leaf_id"))
+    far = F.struct("distance", "leaf_id")
     return below.groupBy(*KEY).agg(
         F.min_by("leaf_id", near).alias("closest_leaf"),
         F.min("distance").alias("closest_distance"),
@@ -331,14 +352,15 @@ def relabel_tips(nodes: DataFrame, id_map: DataFrame, fix_negative: bool = False
     ).drop("new_name")
     if fix_negative:
         inner = nodes.filter(F.col("parent_id").isNotNull())
-        lengths = inner.groupBy("tree_id").agg((F.sum("dist") * NEGATIVE_BRANCH_SHARE).alias("sliver"))
+        lengths = inner.groupBy("tree_id").agg((F.sum("dist") * NEGATIVE_BRANCH_SHARE).alias("least"))
         out = out.join(lengths, "tree_id", "left").withColumn(
-            "dist", F.when(F.col("dist") < 0, F.col("sliver")).otherwise(F.col("dist"))
-        ).drop("sliver")
+            "dist", F.when(F.col("dist") < 0, F.col("least")).otherwise(F.col("dist"))
+        ).drop("least")
     if label is not None:
-        inner = out.filter(~F.col("is_leaf") & F.col("parent_id").isNotNull()).select(*KEY)
-        number = F.row_number().over(Window.partitionBy("tree_id").orderBy("node_id"))
-        numbered = inner.withColumn("label", F.concat(F.lit(label), number.cast("string")))
+        # Level by level, and in reading order within a level.
+        inner = out.filter(~F.col("is_leaf") & F.col("parent_id").isNotNull()).join(tree_paths(nodes), KEY).select(*KEY, "depth")
+        number = F.row_number().over(Window.partitionBy("tree_id").orderBy("depth", "node_id"))
+        numbered = inner.withColumn("label", F.concat(F.lit(label), number.cast("string"))).drop("depth")
         out = out.join(numbered, KEY, "left").withColumn("name", F.coalesce("label", "name")).drop("label")
     return out.select(*NODE_COLUMNS)
 

@@ -23,6 +23,19 @@ def sig_column(species: str) -> str:
     return f"{species}_sigDE"
 
 
+def column(name: str) -> Column:
+    """A column by its exact name; species names may hold dots."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def total(species: str) -> Column:
+    return column(total_column(species))
+
+
+def sig(species: str) -> Column:
+    return column(sig_column(species))
+
+
 def _genes_in(cell: Column) -> Column:
     return F.filter(F.transform(F.split(cell, ","), lambda gene: F.trim(gene)), lambda gene: gene != "")
 
@@ -33,7 +46,8 @@ def species_columns(wide: DataFrame) -> list[str]:
 
 def hog_genes_long(wide: DataFrame) -> DataFrame:
     """Wide table -> one row per (hog, species, gene); nothing is shuffled."""
-    cells = wide.unpivot([WIDE_KEY], species_columns(wide), "species", "cell")
+    lists = [column(c) for c in species_columns(wide)]
+    cells = wide.unpivot([F.col(WIDE_KEY)], lists, "species", "cell")
     return cells.select(
         F.col(WIDE_KEY).alias("hog"), "species", F.explode(_genes_in(F.col("cell"))).alias("gene")
     )
@@ -43,18 +57,12 @@ def wide_gene_count(wide: DataFrame) -> DataFrame:
     """Wide gene lists -> wide gene counts, row by row; nothing is shuffled."""
     lists = species_columns(wide) if WIDE_KEY in wide.columns else wide.columns[1:]
     keep = [c for c in wide.columns if c not in lists]
-    counts = [F.coalesce(F.size(_genes_in(F.col(f"`{c}`"))), F.lit(0)).cast("long").alias(c) for c in lists]
-    return wide.select(*[F.col(f"`{c}`") for c in keep], *counts)
+    counts = [F.coalesce(F.size(_genes_in(column(c))), F.lit(0)).cast("long").alias(c) for c in lists]
+    return wide.select(*[column(c) for c in keep], *counts)
 
 
-def orthogroup_wide(hog_genes: DataFrame, species: Sequence[str], max_genes: int = 10_000) -> DataFrame:
-    """Long members -> wide table with sorted ", " lists; a species without genes is null.
-
-    A family beyond ``max_genes`` is spread over several rows of the same family, which
-    ``hog_genes_long`` reads back as one, so that no single row has to hold all of it.
-    """
-    sizes = hog_genes.groupBy("hog").agg(F.ceil(F.count(F.lit(1)) / max_genes).alias("n_parts"))
-    parts = hog_genes.join(sizes, "hog").withColumn("part", F.pmod(F.xxhash64("gene"), "n_parts"))
+def orthogroup_wide(hog_genes: DataFrame, species: Sequence[str]) -> DataFrame:
+    """Long members -> wide table with sorted ", " lists, one row per family; a species without genes is null."""
     cells = [
         F.nullif(
             F.array_join(F.sort_array(F.collect_list(F.when(F.col("species") == s, F.col("gene")))), ", "),
@@ -62,7 +70,7 @@ def orthogroup_wide(hog_genes: DataFrame, species: Sequence[str], max_genes: int
         ).alias(s)
         for s in species
     ]
-    return parts.groupBy(F.col("hog").alias(WIDE_KEY), "part").agg(*cells).drop("part")
+    return hog_genes.groupBy(F.col("hog").alias(WIDE_KEY)).agg(*cells)
 
 
 def hog_counts(hog_genes: DataFrame, species: Sequence[str]) -> DataFrame:
@@ -75,7 +83,7 @@ def hog_counts(hog_genes: DataFrame, species: Sequence[str]) -> DataFrame:
 
 
 def counts_long(counts: DataFrame, species: Sequence[str]) -> DataFrame:
-    rows = [F.struct(F.lit(s).alias("species"), F.col(total_column(s)).alias("n_genes")) for s in species]
+    rows = [F.struct(F.lit(s).alias("species"), total(s).alias("n_genes")) for s in species]
     return counts.select("hog", F.inline(F.array(*rows)))
 
 
@@ -91,7 +99,7 @@ def family_size_filter(counts: DataFrame, hypothesis: Hypothesis, limit: int = M
     """Families below ``limit`` genes in every species of the hypothesis."""
     kept = counts
     for s in hypothesis.species:
-        kept = kept.filter(F.col(total_column(s)) < limit)
+        kept = kept.filter(total(s) < limit)
     return kept
 
 
@@ -102,7 +110,7 @@ def family_fit_tables(counts: DataFrame, hypothesis: Hypothesis, limit: int = MA
         return df.select(
             F.lit("(null)").alias("Desc"),
             F.col("hog").alias(WIDE_KEY),
-            *[F.col(total_column(s)).alias(s) for s in hypothesis.species],
+            *[total(s).alias(s) for s in hypothesis.species],
         )
 
     return shape(family_size_filter(counts, hypothesis, limit)), shape(counts)
@@ -111,7 +119,7 @@ def family_fit_tables(counts: DataFrame, hypothesis: Hypothesis, limit: int = MA
 def species_set_intersections(counts: DataFrame, species: Sequence[str]) -> DataFrame:
     """Exclusive intersections: families by the exact set of species they occur in."""
     present = F.array_join(
-        F.array_compact(F.array(*[F.when(F.col(total_column(s)) > 0, F.lit(s)) for s in species])), "&"
+        F.array_compact(F.array(*[F.when(total(s) > 0, F.lit(s)) for s in species])), "&"
     )
     sizes = counts.groupBy(present.alias("species_set")).agg(F.count(F.lit(1)).alias("n_families"))
     total = counts.agg(F.count(F.lit(1)).alias("n_all")).scalar()
@@ -122,7 +130,7 @@ def species_pair_overlap(counts: DataFrame, species: Sequence[str]) -> DataFrame
     """Families shared by two species, for every pair of the (short) species list."""
     pairs = [
         F.when(
-            (F.col(total_column(a)) > 0) & (F.col(total_column(b)) > 0),
+            (total(a) > 0) & (total(b) > 0),
             F.struct(F.lit(a).alias("species_a"), F.lit(b).alias("species_b")),
         )
         for i, a in enumerate(species)
@@ -144,7 +152,7 @@ def species_pair_orthology(counts: DataFrame, species: Sequence[str]) -> DataFra
     pairs = [
         F.struct(
             F.lit(a).alias("species_a"), F.lit(b).alias("species_b"),
-            F.col(total_column(a)).alias("in_a"), F.col(total_column(b)).alias("in_b"),
+            total(a).alias("in_a"), total(b).alias("in_b"),
         )
         for a in species
         for b in species

@@ -5,6 +5,7 @@ A read is (sample, read_id, mate, seq, qual) with quality characters at offset 3
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import pandas as pd
@@ -20,18 +21,44 @@ MIN_LENGTH = 40
 QUALITY_OFFSET = 33
 SEED_LENGTH = 16
 SEED_MISMATCHES = 2
+CLIP_SCORE = 10.0
 
 
 def qualities(qual: Column) -> Column:
     return F.transform(F.split(qual, ""), lambda c: F.ascii(c) - QUALITY_OFFSET)
 
 
+def _codes(texts: pd.Series):
+    """Code points of a batch in one array, and the length of each text; missing texts are empty."""
+    import numpy as np
+
+    filled = texts.fillna("").tolist()
+    sizes = np.fromiter(map(len, filled), np.int64, len(filled))
+    return np.frombuffer("".join(filled).encode("utf-32-le"), np.uint32).astype(np.int64), sizes
+
+
+def _first_in_row(hits, sizes):
+    """Place inside its text of the first hit; texts without one keep their length."""
+    import numpy as np
+
+    rows, first = np.unique(np.repeat(np.arange(len(sizes)), sizes)[hits], return_index=True)
+    out = sizes.copy()
+    out[rows] = hits[first] - (np.cumsum(sizes) - sizes)[rows]
+    return pd.Series(out)
+
+
+def _cut(reads: DataFrame, length: str) -> DataFrame:
+    keep = F.col(length)
+    return reads.withColumn("seq", F.substring("seq", F.lit(1), keep)).withColumn("qual", F.substring("qual", F.lit(1), keep))
+
+
 def read_quality_trim(
     reads: DataFrame, window: int = WINDOW, quality: int = MIN_QUALITY, min_length: int = MIN_LENGTH
 ) -> DataFrame:
     """Cut before the first window whose mean quality is too low; drop reads left too short.
 
-    Window sums are cumulative sums over the quality codes, in Arrow batches.
+    Window sums are differences of one running sum over all qualities of an Arrow batch. A read without
+    qualities is not cut.
     """
     lowest = quality * window
     offset = QUALITY_OFFSET
@@ -40,73 +67,66 @@ def read_quality_trim(
     def kept_length(quals: pd.Series) -> pd.Series:
         import numpy as np
 
-        def find(text: str) -> int:
-            codes = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.int64) - offset
-            if len(codes) < window:
-                return len(codes)
-            sums = np.cumsum(np.concatenate(([0], codes)))
-            low = sums[window:] - sums[:-window] < lowest
-            return int(low.argmax()) if low.any() else len(codes)
-
-        return quals.map(find)
-
-    return (
-        computed_once(reads, _keep=kept_length("qual"))
-        .filter(F.col("_keep") >= min_length)
-        .withColumn("seq", F.substring(F.col("seq"), F.lit(1), F.col("_keep")))
-        .withColumn("qual", F.substring(F.col("qual"), F.lit(1), F.col("_keep")))
-        .drop("_keep")
-    )
+        codes, sizes = _codes(quals)
+        if len(codes) < window:
+            return pd.Series(sizes)
+        sums = np.concatenate(([0], np.cumsum(codes - offset)))
+        ends = np.repeat(np.cumsum(sizes), sizes)[: len(codes) - window + 1]
+        inside = np.arange(len(ends)) + window <= ends
+        return _first_in_row(np.flatnonzero(inside & (sums[window:] - sums[:-window] < lowest)), sizes)
+
+    keep = F.when(F.col("qual").isNull(), F.length("seq")).otherwise(kept_length("qual"))
+    return _cut(computed_once(reads, _keep=keep).filter(F.col("_keep") >= min_length), "_keep").drop("_keep")
 
 
 def adapter_clip(
-    reads: DataFrame, adapters: Sequence[str], seed: int = SEED_LENGTH, mismatches: int = SEED_MISMATCHES
+    reads: DataFrame, adapters: Sequence[str], threshold: float = CLIP_SCORE, mismatches: int = SEED_MISMATCHES
 ) -> DataFrame:
-    """Clip a read where the first adapter seed begins, allowing mismatches in the seed.
+    """Clip a read where an adapter begins, also where the adapter runs over the read's end.
 
-    Adapters are a short settings list. Seed positions are found in Arrow batches.
+    The whole adapter is laid against every place of the read: a matching base scores log10(4), a
+    mismatch costs a tenth of its quality, and ``threshold`` must be reached (by a short adapter: its own full
+    score). At most ``mismatches`` of the first 16 bases may differ. Adapters are a short settings list; one
+    batch of reads is compared at a time, base by base of the adapter. A missing sequence stays missing.
     """
-    seeds = [a[:seed] for a in adapters if len(a) >= seed]
+    base = math.log10(4)
+    offset = QUALITY_OFFSET
+    settings = [(a, min(threshold, base * len(a)) - 1e-9) for a in adapters if a]
 
     @F.pandas_udf("int")
-    def first_adapter(seqs: pd.Series) -> pd.Series:
+    def first_adapter(seqs: pd.Series, quals: pd.Series) -> pd.Series:
         import numpy as np
 
-        patterns = [np.array([ord(c) for c in s], dtype=np.uint32) for s in seeds]
-
-        def find(text: str) -> int:
-            codes = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
-            if len(codes) < seed or not patterns:
-                return len(codes)
-            windows = np.lib.stride_tricks.sliding_window_view(codes, seed)
-            first = len(codes)
-            for pattern in patterns:
-                at = np.flatnonzero((windows != pattern).sum(axis=1) <= mismatches)
-                if len(at):
-                    first = min(first, int(at[0]))
-            return first
-
-        return seqs.map(find)
-
-    cut = reads.withColumn("_cut", first_adapter("seq"))
-    return (
-        cut.withColumn("clipped", F.col("_cut") < F.length("seq"))
-        .withColumn("seq", F.substring(F.col("seq"), F.lit(1), F.col("_cut")))
-        .withColumn("qual", F.substring(F.col("qual"), F.lit(1), F.col("_cut")))
-        .drop("_cut")
-    )
+        codes, sizes = _codes(seqs)
+        scores, quality_sizes = _codes(quals)
+        if (quality_sizes != sizes).any():  # missing or uneven qualities: mismatches cost as much as a match gives
+            at = np.repeat(np.cumsum(quality_sizes) - quality_sizes, sizes) + np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            known = at < np.repeat(np.cumsum(quality_sizes), sizes)
+            scores = np.where(known, np.append(scores, 0)[np.minimum(at, len(scores))], int(10 * base) + offset)
+        cost = (scores - offset) / 10.0
+        ends = np.repeat(np.cumsum(sizes), sizes)
+        hit = np.zeros(len(codes), bool)
+        for adapter, needed in settings:
+            score, wrong = np.zeros(len(codes)), np.zeros(len(codes), np.int64)
+            for j, letter in enumerate(adapter):
+                place = np.arange(len(codes) - j)
+                place = place[place + j < ends[: len(place)]]
+                same = codes[place + j] == ord(letter)
+                score[place] += np.where(same, base, -cost[place + j])
+                if j < SEED_LENGTH:
+                    wrong[place] += ~same
+            hit |= (score >= needed) & (wrong <= mismatches)
+        return _first_in_row(np.flatnonzero(hit), sizes)
+
+    clipped = computed_once(reads, _cut=F.when(F.col("seq").isNotNull(), first_adapter("seq", "qual")))
+    return _cut(clipped.withColumn("clipped", F.col("_cut") < F.length("seq")), "_cut").drop("_cut")
 
 
 def pair_survival(trimmed: DataFrame) -> DataFrame:
     """Mark reads whose two mates both survived as paired, the rest as unpaired."""
-    mates = trimmed.groupBy("sample", "read_id").agg(
-        (F.max((F.col("mate") == 1).cast("int")) + F.max((F.col("mate") == 2).cast("int"))).alias("n_mates")
-    )
-    return (
-        trimmed.join(mates, ["sample", "read_id"], "left")
-        .withColumn("fate", F.when(F.col("n_mates") == 2, "paired").otherwise("unpaired"))
-        .drop("n_mates")
-    )
+    mates = Window.partitionBy("sample", "read_id")
+    both = F.max((F.col("mate") == 1).cast("int")).over(mates) + F.max((F.col("mate") == 2).cast("int")).over(mates)
+    return trimmed.withColumn("fate", F.when(both == 2, "paired").otherwise("unpaired"))
 
 
 def position_quality(reads: DataFrame) -> DataFrame:

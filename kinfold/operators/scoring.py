@@ -16,7 +16,7 @@ from kinfold.operators.expression import (
     significance_flag,
     significant_members,
 )
-from kinfold.operators.orthogroups import hog_counts, sig_column, total_column
+from kinfold.operators.orthogroups import column, hog_counts, sig, sig_column, total, total_column
 from kinfold.sources.config import Hypothesis, all_hypothesis_species
 
 # The resolution floor of family p-values and their fallback.
@@ -43,7 +43,7 @@ def total_sig(level: DataFrame, hypotheses: Sequence[Hypothesis], expressed: Seq
     """Significant genes over the measured species of the hypothesis."""
 
     def value(h: Hypothesis) -> Column:
-        return _sum([F.coalesce(F.col(sig_column(s)), F.lit(0)) for s in h.species if s in expressed])
+        return _sum([F.coalesce(sig(s), F.lit(0)) for s in h.species if s in expressed])
 
     return level.withColumn("total_sigDE", _by_hypothesis(hypotheses, value))
 
@@ -63,7 +63,7 @@ def norm_sums(level: DataFrame, hypotheses: Sequence[Hypothesis], expressed: Seq
             if not _comparable(h, expressed):
                 return F.lit(None).cast("double")
             listed = getattr(h, members)
-            return _sum([F.col(sig_column(s)) for s in listed if s in expressed]) / F.lit(float(len(listed)))
+            return _sum([sig(s) for s in listed if s in expressed]) / F.lit(float(len(listed)))
 
         return value
 
@@ -148,8 +148,8 @@ def hog_level(
         "hypothesis",
         "hog",
         "expansion",
-        *[total_column(s) for s in species],
-        *[sig_column(s) for s in measured],
+        *[total(s) for s in species],
+        *[sig(s) for s in measured],
         "total_sigDE",
         "norm_sum_expanded_sigDE",
         "norm_sum_compared_sigDE",
@@ -164,7 +164,7 @@ def hypothesis_view(level: DataFrame, hyp: Hypothesis) -> DataFrame:
     species = {c.removesuffix("_total") for c in level.columns if c.endswith("_total")}
     foreign = {name(s) for s in species - set(hyp.species) for name in (total_column, sig_column)}
     columns = [c for c in level.columns if c != "hypothesis" and c not in foreign]
-    return level.filter(F.col("hypothesis") == hyp.hypothesis).select(*columns)
+    return level.filter(F.col("hypothesis") == hyp.hypothesis).select(*[column(c) for c in columns])
 
 
 def all_species_overview(
@@ -180,13 +180,13 @@ def legacy_ratio_score(level: DataFrame, hyp: Hypothesis) -> DataFrame:
 
     A side where some species has no significant gene counts as one.
     """
-    grown = _sum([F.col(total_column(s)) for s in hyp.expanded_in])
-    base = _sum([F.col(total_column(s)) for s in hyp.compared_to])
+    grown = _sum([total(s) for s in hyp.expanded_in])
+    base = _sum([total(s) for s in hyp.compared_to])
 
-    def sig(side: Sequence[str]) -> Column:
-        found = [F.col(sig_column(s)) if sig_column(s) in level.columns else F.lit(0) for s in side]
+    def found_in(side: Sequence[str]) -> Column:
+        found = [sig(s) if sig_column(s) in level.columns else F.lit(0) for s in side]
         return F.when(F.least(*found, F.lit(2**31)) == 0, F.lit(1)).otherwise(_sum(found))
 
-    e_sig, c_sig = sig(hyp.expanded_in), sig(hyp.compared_to)
+    e_sig, c_sig = found_in(hyp.expanded_in), found_in(hyp.compared_to)
     score = (grown / F.nullif(base, F.lit(0))) * (c_sig / e_sig) / ((grown + base) * (e_sig + c_sig))
     return level.filter(F.col("expansion") == "yes").withColumn("ratio_score", score)

@@ -64,7 +64,7 @@ SELECT tree_id, gene AS name, 3 AS depth, CAST(side_len + sp_len + len AS DOUBLE
 def _(d: Domain) -> DataFrame:
     f = grown(d)
     leaves = f.nodes.filter("is_leaf").select(*forest.KEY, "name")
-    return leaves.join(forest.tree_paths(f.pairs), forest.KEY).select("tree_id", "name", big("depth"), "root_distance")
+    return leaves.join(forest.tree_paths(f.nodes), forest.KEY).select("tree_id", "name", big("depth"), "root_distance")
 
 
 @query("pair_distance", """
@@ -198,4 +198,4 @@ def _(d: Domain) -> DataFrame:
 
 @query("mcl_cluster")
 def _(d: Domain) -> DataFrame:
-    return clustering.mcl_cluster(d.edges, max_rounds=6)
+    return clustering.mcl_cluster(d.edges)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,18 +42,20 @@ def local_session(app: str, cpus: int = 8, memory: str = "8g", **conf: str) -> S
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder named by ``spark.checkpoint.dir``.
+    """Write a table to the shared folder named by ``spark.checkpoint.dir`` and read it back.
 
-    Only a local session without that setting gets a folder of its own; on a cluster a
-    missing setting is an error, because executors cannot share a local folder.
+    A written table has a true size; a checkpointed plan keeps the estimate of its lineage, which
+    multiplies with every join of a loop. Only a local session without that setting gets a folder of its own; on a
+    cluster a missing setting is an error, because executors cannot share a local folder.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-            folder = tempfile.mkdtemp(prefix="kinfold-checkpoint-")
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if folder is None:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+        folder = tempfile.mkdtemp(prefix="kinfold-checkpoint-")
         sc.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = f"{folder}/kinfold/rounds/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

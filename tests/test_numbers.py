@@ -79,7 +79,7 @@ def forest_of(spark, **trees):
 def test_paths_and_extremes(spark):
     nodes, pairs = forest_of(spark, t="((A:1,B:2)X:1,((C:5,D:1)Y:1,E:1)Z:2)R;")
     by_name = {r.name: r.node_id for r in nodes.collect()}
-    paths = {r.node_id: (r.depth, r.root_distance) for r in forest.tree_paths(pairs).collect()}
+    paths = {r.node_id: (r.depth, r.root_distance) for r in forest.tree_paths(nodes).collect()}
     assert paths[by_name["C"]] == (3, 8.0) and paths[by_name["R"]] == (0, 0.0)
     ext = {r.node_id: r for r in forest.leaf_extremes(nodes, pairs).collect()}
     assert ext[by_name["R"]].closest_leaf == by_name["A"] and ext[by_name["R"]].farthest_leaf == by_name["C"]
@@ -94,9 +94,9 @@ def test_paths_and_extremes(spark):
 def test_ultrametric(spark):
     nodes, pairs = forest_of(spark, t="((A:1,B:3)X:2,(C:4,D:4)Y:2)R;")
     flat = forest.ultrametric(nodes, pairs)
-    depth = forest.tree_paths(forest.ancestors(flat)).join(nodes.filter("is_leaf"), forest.KEY)
+    depth = forest.tree_paths(flat).join(nodes.filter("is_leaf"), forest.KEY)
     assert [r.root_distance for r in depth.collect()] == pytest.approx([5.0] * 4)
-    old = forest.tree_paths(forest.ancestors(forest.ultrametric(nodes, pairs, root_age=10.0))).join(nodes.filter("is_leaf"), forest.KEY)
+    old = forest.tree_paths(forest.ultrametric(nodes, pairs, root_age=10.0)).join(nodes.filter("is_leaf"), forest.KEY)
     assert [r.root_distance for r in old.collect()] == pytest.approx([10.0] * 4)
     three, p3 = forest_of(spark, t="(A:1,B:3,C:2);")
     with pytest.raises(ValueError, match="rooted"):
@@ -128,9 +128,30 @@ def test_relabel(spark):
     assert rows["B"] == pytest.approx(4e-6) and rows["N1"] == 1.0 and set(rows) == {"A", "B", "C", "N1", "r"}
 
 
+def test_inner_labels_count_by_level_and_ties_take_the_last_leaf(spark):
+    nodes, pairs = forest_of(spark, t="((A:1,(B:1,C:1)u:1)v:1,(D:1,E:1)w:1)r;")
+    ids = spark.createDataFrame([(n, n) for n in "ABCDE"], "seqid string, name string")
+    before = {r.node_id: r.name for r in nodes.collect()}
+    after = {before[r.node_id]: r.name for r in forest.relabel_tips(nodes, ids, label="N").collect()}
+    assert (after["v"], after["w"], after["u"]) == ("N1", "N2", "N3")
+    nodes, pairs = forest_of(spark, t="((A:1,B:2)X:1,((C:5,D:5)Y:1,E:1)Z:1)R;")
+    names = {r.node_id: r.name for r in nodes.collect()}
+    top = {r.node_id: r for r in forest.leaf_extremes(nodes, pairs).collect()}
+    root = next(k for k, v in names.items() if v == "R")
+    assert names[top[root].farthest_leaf] == "D" and names[top[root].closest_leaf] == "A"
+
+
+def test_paths_of_a_caterpillar_stay_linear(spark):
+    n = 600
+    rows = [("t", i, i - 1 if i else None, None, 1.0, None, False) for i in range(n)]
+    nodes = spark.createDataFrame(rows, "tree_id string, node_id int, parent_id int, name string, dist double, support double, is_leaf boolean")
+    got = forest.tree_paths(nodes).collect()
+    assert sorted((r.depth, r.root_distance) for r in got) == [(i, float(i)) for i in range(n)]
+
+
 def test_clusters_of_two_cliques(spark):
     groups = ["abcd", "wxyz"]
     edges = [(g[i], g[j], 1.0) for g in groups for i in range(4) for j in range(i + 1, 4)] + [("d", "w", 0.05)]
     df = spark.createDataFrame(edges, "a string, b string, weight double")
-    got = {r.node: r.cluster for r in clustering.mcl_cluster(df, inflation=2.0, max_rounds=12).collect()}
+    got = {r.node: r.cluster for r in clustering.mcl_cluster(df, inflation=2.0).collect()}
     assert got == {**dict.fromkeys("abcd", "a"), **dict.fromkeys("wxyz", "w")}

@@ -74,7 +74,11 @@ def test_wide_orthogroups(spark, tmp_path):
     assert counted == {"h1": (3, 0), "h2": (0, 1)}
     counts = {r.hog: (r.A_total, r.B_total) for r in orthogroups.hog_counts(long, ["A", "B"]).collect()}
     assert counts == counted
-    parts = orthogroups.orthogroup_wide(long, ["A", "B"], max_genes=1)
+    parts = orthogroups.orthogroup_wide(long, ["A", "B"])
+    assert parts.count() == 2
+    dotted = long.replace("A", "Z.mays", "species")
+    again = orthogroups.hog_genes_long(orthogroups.orthogroup_wide(dotted, ["Z.mays", "B"]))
+    assert {tuple(r) for r in again.collect()} == {tuple(r) for r in dotted.collect()}
     assert {tuple(r) for r in orthogroups.hog_genes_long(parts).collect()} == {tuple(r) for r in long.collect()}
     plain = tables.read_orthogroups(spark, put(tmp_path / "og.tsv", "Orthogroup\tA\to1\n".replace("\to1", "") + "o1\ta1, a2\n"))
     assert orthogroups.wide_gene_count(plain).first()["A"] == 2
