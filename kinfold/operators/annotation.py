@@ -181,5 +181,5 @@ def term_scores(members: DataFrame, de: DataFrame, minimum: int = MIN_TERM_GENES
 
 def random_sample(ids: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     """n rows without replacement; the seeded hash of the key makes a rerun pick the same."""
-    order = F.xxhash64(F.col(key), F.lit(seed))
+    order = F.md5(F.concat_ws("|", F.col(key), F.lit(str(seed))))
     return ids.orderBy(order, key).limit(n)

@@ -1,4 +1,4 @@
-"""Registered queries against their SQL on the smallest data; KINFOLD_ALL=1 runs every one."""
+"""Registered queries against their SQL on the smallest data."""
 
 import os
 
@@ -6,14 +6,11 @@ import pytest
 from oracle import compare, duck
 
 import __spark_entry__ as contract
+from kinfold.plans import catalog
 
 FOLDER = "/root/testdata/sf0.001"
-SHORT = [
-    "hog_level", "expansion_reference", "all_species_overview", "restrict_hits", "pad_sets", "longest_isoform",
-    "hog_terms", "term_enrichment", "count_features", "bh_adjust", "read_quality_trim", "monophyly",
-]
-ORACLES = contract.oracle_sql()
-NAMES = sorted(ORACLES) if os.environ.get("KINFOLD_ALL") else SHORT
+ORACLES = dict(catalog.ORACLES)
+NAMES = sorted(ORACLES)
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test data not mounted")
 
@@ -30,7 +27,8 @@ def test_query_equals_sql(spark, con, name):
 
 
 def test_every_query_without_sql_is_known():
-    assert set(contract.queries()) - set(ORACLES) == {"random_sample", "de_test", "midpoint_outgroup", "mcl_cluster"}
+    assert set(catalog.QUERIES) - set(ORACLES) == {"de_test", "midpoint_outgroup", "mcl_cluster"}
+    assert set(catalog.QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
 
 def test_entry_has_rows_and_sound_values(spark):
