@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from kinfold.functions.order import computed_once
 from kinfold.llm.registry import query, table
+from kinfold.llm.store import written
 
 FEATURES = [
     "url_length", "host_length", "path_length", "depth", "labels", "digit_ratio", "host_digits", "hyphens", "entropy",
@@ -144,6 +145,8 @@ def judged(pages: DataFrame, labelled: DataFrame, p: UrlParams) -> DataFrame:
     known = labelled.filter(F.col("url").isNotNull() & F.col("bad").isNotNull()).select("url", F.col("bad").cast("double").alias("bad"))
     known = lexical(known)
     rates, total = suffix_rates(known, p)
+    # Written: joins on a very common suffix then have two plain inputs, and a small table is broadcast by its size.
+    rates = written(rates, "suffix-rates")
     assemble = VectorAssembler(inputCols=FEATURES, outputCol="features")
     sample = known.orderBy(F.xxhash64("url"), "url").limit(p.max_rows)
     fitting = with_rates(sample, rates, total, p, leave_out=True)
