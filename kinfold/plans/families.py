@@ -200,12 +200,10 @@ def _(d: Domain) -> DataFrame:
 
 
 @query("combine_de", """
-SELECT species, count(*) AS n_genes, count(padj) AS n_padj, round(avg("baseMean"), 4) AS mean FROM de GROUP BY 1""", "de")
+SELECT species, gene, "baseMean", "log2FoldChange", pvalue, padj FROM de""", "de")
 def _(d: Domain) -> DataFrame:
     parts = {s: d.de.filter(F.col("species") == s).drop("species") for s in EXPRESSED}
-    return expression.combine_de(parts).groupBy("species").agg(
-        F.count(F.lit(1)).alias("n_genes"), F.count("padj").alias("n_padj"), F.round(F.avg("baseMean"), 4).alias("mean")
-    )
+    return expression.combine_de(parts).select("species", "gene", "baseMean", "log2FoldChange", "pvalue", "padj")
 
 
 @query("de_with_hog", "SELECT gene, species, hog, padj FROM hog_de", "hog_de")
@@ -239,18 +237,19 @@ def _(d: Domain) -> DataFrame:
 
 
 @query("hog_with_sig", """
-SELECT hog, c.af AS n_total, coalesce(s.af, 0) AS n_sig FROM c LEFT JOIN sig s USING (hog)""", ("c", "sig"))
+SELECT hog, c.af AS "AFRICA_total", c.am AS "AMERICA_total", c.asi AS "ASIA_total", c.eu AS "EUROPE_total",
+  c.me AS "MIDDLE_EAST_total", coalesce(s.af, 0) AS "AFRICA_sigDE", coalesce(s.am, 0) AS "AMERICA_sigDE",
+  coalesce(s.asi, 0) AS "ASIA_sigDE", coalesce(s.eu, 0) AS "EUROPE_sigDE" FROM c LEFT JOIN sig s USING (hog)""", ("c", "sig"))
 def _(d: Domain) -> DataFrame:
-    both = expression.hog_with_sig(counts(d), expression.sig_counts(flagged_de(d), EXPRESSED))
-    return both.select("hog", F.col("AFRICA_total").alias("n_total"), F.col("AFRICA_sigDE").alias("n_sig"))
+    return expression.hog_with_sig(counts(d), expression.sig_counts(flagged_de(d), EXPRESSED))
 
 
-@query("zero_to_null", "SELECT hog, nullif(af, 0) AS af, nullif(eu, 0) AS eu FROM sig", "sig")
+@query("zero_to_null", """
+SELECT hog, nullif(af, 0) AS "AFRICA_sigDE", nullif(am, 0) AS "AMERICA_sigDE", nullif(asi, 0) AS "ASIA_sigDE",
+  nullif(eu, 0) AS "EUROPE_sigDE" FROM sig""", "sig")
 def _(d: Domain) -> DataFrame:
     sig = expression.sig_counts(flagged_de(d), EXPRESSED)
-    return expression.zero_to_null(sig, ["AFRICA_sigDE", "EUROPE_sigDE"]).select(
-        "hog", F.col("AFRICA_sigDE").alias("af"), F.col("EUROPE_sigDE").alias("eu")
-    )
+    return expression.zero_to_null(sig, [c for c in sig.columns if c != "hog"])
 
 
 @query("genes_per_species", "SELECT species, count(*) AS n_genes FROM hog_de GROUP BY 1", "hog_de")
@@ -350,11 +349,15 @@ def hog_level_query(d: Domain) -> DataFrame:
 
 @query("hypothesis_view", """
 SELECT hog, expansion, af AS "AFRICA_total", am AS "AMERICA_total", asi AS "ASIA_total", s_af AS "AFRICA_sigDE",
-  s_am AS "AMERICA_sigDE", s_asi AS "ASIA_sigDE", s_af + s_am + s_asi AS "total_sigDE" FROM level0 WHERE hypothesis = 1""",
-       "level0")
+  s_am AS "AMERICA_sigDE", s_asi AS "ASIA_sigDE", s_af + s_am + s_asi AS "total_sigDE",
+  round(xe, 6) AS "norm_sum_expanded_sigDE", round(xc, 6) AS "norm_sum_compared_sigDE",
+  round(oaes, 6) AS oaes_hyper, round(famp, 6) AS cafe_pvalue,
+  round(CASE WHEN oaes * famp = 0 THEN 0 ELSE oaes * famp * (1 - ln(oaes * famp)) END, 6) AS tea_value
+FROM scored WHERE hypothesis = 1""", "scored")
 def _(d: Domain) -> DataFrame:
     scores = ["norm_sum_expanded_sigDE", "norm_sum_compared_sigDE", "oaes_hyper", "cafe_pvalue", "tea_value"]
-    return scoring.hypothesis_view(level(d), HYPOTHESES[0]).drop(*scores)
+    view = scoring.hypothesis_view(level(d), HYPOTHESES[0])
+    return view.select(*[r6(c) if c in scores else F.col(c) for c in view.columns])
 
 
 @query("all_species_overview", """

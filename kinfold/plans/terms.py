@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kinfold.functions.stats import with_hypergeom_upper
 from kinfold.operators import annotation
 from kinfold.plans.domain import FDR, HYPOTHESES, Domain
 from kinfold.plans.registry import big, fragment, query, r6
@@ -144,3 +145,26 @@ def _(d: Domain) -> DataFrame:
 @query("random_sample", "SELECT gene FROM annotation ORDER BY md5(gene || '|7'), gene LIMIT 100", "annotation")
 def _(d: Domain) -> DataFrame:
     return annotation.random_sample(d.annotation.select("gene"), "gene", 100, seed=7)
+
+
+@query("tail_at_half_the_hits", """
+WITH t AS (SELECT p_brand AS term, count(*) AS n, count(*) FILTER (l_returnflag = 'R') AS k FROM lineitem
+  JOIN part ON l_partkey = p_partkey GROUP BY 1),
+u AS (SELECT sum(n)::BIGINT AS total, sum(k)::BIGINT AS w FROM t),
+r AS (SELECT term, n, w, total - w AS b, unnest([k // 2, k, k + k // 10]) AS x FROM t, u)
+SELECT term, x, round(CASE WHEN x <= greatest(0, n - b) THEN 1.0 ELSE least(1.0, list_sum(list_transform(
+  range(x, least(n, w) + 1), lambda i: exp(lgamma(w + 1) - lgamma(i + 1) - lgamma(w - i + 1) + lgamma(b + 1) - lgamma(n - i + 1)
+    - lgamma(b - n + i + 1) - lgamma(w + b + 1) + lgamma(n + 1) + lgamma(w + b - n + 1))))) END, 6) AS p_value FROM r""")
+def _(d: Domain) -> DataFrame:
+    """Terms with half their hits are strongly depleted: the tail is 1, however large the urn is."""
+    rows = d.table("lineitem").join(d.table("part"), F.col("l_partkey") == F.col("p_partkey"))
+    terms = rows.groupBy(F.col("p_brand").alias("term")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("l_returnflag") == "R").alias("k")
+    )
+    urn = terms.agg(F.sum("n").alias("total"), F.sum("k").alias("w"))
+    k = F.col("k")
+    cases = F.explode(F.array(F.floor(k / 2), k, k + F.floor(k / 10))).alias("x")
+    asked = terms.select("term", "n", cases).crossJoin(F.broadcast(urn))  # the urn is one row
+    black = (F.col("total") - F.col("w")).cast("double")
+    found = with_hypergeom_upper(asked, F.col("x").cast("double"), F.col("n").cast("double"), F.col("w").cast("double"), black, "p_value")
+    return found.select("term", big("x"), r6("p_value"))
