@@ -18,20 +18,27 @@ def file_modes(seqs: DataFrame) -> DataFrame:
 
 
 def with_gene(seqs: DataFrame, mode: str) -> DataFrame:
-    return seqs.withColumn("gene", GENE_NAME[mode](F.col("header")))
+    """Gene name by one mode for all files, or (``mode="auto"``) by each file's own, which ``mode`` then names."""
+    if mode != "auto":
+        return seqs.withColumn("gene", GENE_NAME[mode](F.col("header")))
+    header = F.col("header")
+    by_file = F.when(F.col("mode") == "refseq", GENE_NAME["refseq"](header)).otherwise(GENE_NAME["tag"](header))
+    return seqs.join(file_modes(seqs), "file").withColumn("gene", by_file)
 
 
 def longest_isoform(seqs: DataFrame, mode: str = "tag") -> DataFrame:
     """Longest record per (file, gene), the first one on ties; unidentified records all stay.
 
-    In tag mode the header of a chosen record becomes the gene name.
+    In tag mode the header of a chosen record becomes the gene name. ``mode="auto"`` tells the mode of
+    each file by its first header.
     """
     named = with_gene(seqs, mode).withColumn("seq_length", F.length("sequence"))
     order = [F.col("seq_length").desc(), F.col("ord").asc()]
     identified = named.filter(F.col("gene").isNotNull() & (F.col("seq_length") > 0))
     chosen = top_n(identified, ["file", "gene"], order, 1).drop("rank")
-    if mode == "tag":
-        chosen = chosen.withColumn("header", F.col("gene"))
+    if mode in ("tag", "auto"):
+        tagged = F.lit(True) if mode == "tag" else F.col("mode") == "tag"
+        chosen = chosen.withColumn("header", F.when(tagged, F.col("gene")).otherwise(F.col("header")))
     return chosen.unionByName(named.filter(F.col("gene").isNull()))
 
 

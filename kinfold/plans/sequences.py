@@ -28,6 +28,23 @@ def _(d: Domain) -> DataFrame:
     return isoforms.longest_isoform(d.sequences).select("file", "ord", "header", "gene", "sequence")
 
 
+@query("longest_isoform_per_file", """
+SELECT file, ord, CASE WHEN refseq THEN 'NP_' || ord || ' ' || lang || ' isoform X' || ord % 3 || ' [y]' ELSE gene END AS header,
+  gene, length(sequence) AS n FROM (SELECT *, row_number() OVER (PARTITION BY file, gene ORDER BY length(sequence) DESC, ord) AS k FROM (
+    SELECT source AS file, doc_id AS ord, lang, text AS sequence, length(source) = 4 AS refseq,
+      CASE WHEN length(source) = 4 THEN lang || ' [y]' ELSE source || '.' || lang END AS gene FROM documents)
+  WHERE length(sequence) > 0) WHERE k = 1""")
+def _(d: Domain) -> DataFrame:
+    ord_ = F.col("doc_id").cast("string")
+    model = F.concat(F.lit("NP_"), ord_, F.lit(" "), F.col("lang"), F.lit(" isoform X"), (F.col("doc_id") % 3).cast("string"), F.lit(" [y]"))
+    tagged = F.concat(ord_, F.lit(" gene:"), F.col("source"), F.lit("."), F.col("lang"))
+    seqs = d.table("documents").select(
+        F.col("source").alias("file"), F.col("doc_id").alias("ord"), F.col("text").alias("sequence"),
+        F.when(F.length("source") == 4, model).otherwise(tagged).alias("header"),
+    )
+    return isoforms.longest_isoform(seqs, "auto").select("file", "ord", "header", "gene", big("seq_length", "n"))
+
+
 @query("gene_name_ensembl", "SELECT ord, gene FROM sequences", "sequences")
 def _(d: Domain) -> DataFrame:
     return d.sequences.select("ord", GENE_NAME["tag"](F.col("header")).alias("gene"))
