@@ -12,7 +12,7 @@ def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session; only a local session without it gets its own folder."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.partition("[")[0] != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="kinfold-shared-")
         spark.sparkContext.setCheckpointDir(folder)
@@ -24,9 +24,3 @@ def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/kinfold/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def partitions_for(df: DataFrame, bytes_each: int, size: int) -> int:
-    """Partitions of about ``bytes_each`` for ``size`` bytes, at least the session's shuffle setting's tenth."""
-    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(least, 8), -(-size // bytes_each))
