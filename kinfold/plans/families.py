@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kinfold.operators import expansion, expression, orthogroups, scoring
 from kinfold.plans.domain import EXPRESSED, FDR, HYPOTHESES, PLOIDY, SPECIES, Domain
-from kinfold.plans.registry import big, fragment, query, r6
+from kinfold.plans.registry import fragment, query, r6
 from kinfold.sources.config import all_hypothesis_species
 
 fragment("counts_long", """

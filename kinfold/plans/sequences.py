@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.functions.names import GENE_NAME, is_refseq_header, safe_id
+from kinfold.functions.names import GENE_NAME, safe_id
 from kinfold.operators import isoforms, reads
 from kinfold.plans.domain import Domain
 from kinfold.plans.registry import big, fragment, query, r6

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kinfold.operators import clustering, forest
 from kinfold.plans.domain import Domain
-from kinfold.plans.registry import big, fragment, query, r6
+from kinfold.plans.registry import big, fragment, query
 from kinfold.sources.newick import parse_newick, write_newick
 
 for name, status in (("leaves", "F"), ("leaves_o", "O")):
