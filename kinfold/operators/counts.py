@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from kinfold.functions.order import computed_once, exact_median, running_count
 from kinfold.functions.stats import two_sided_normal
 
-# Floor of the dispersion and of a fitted mean.
+# Floor of the dispersion and of a group mean, and steps that exhaust double precision.
 MIN_DISPERSION = 1e-8
 MIN_MEAN = 0.5
-FIT_STEPS = 25
+HALVINGS = 60
 
 
 def count_features(alignments: DataFrame, features: DataFrame, key: str = "gene_id", width: int = 4096) -> DataFrame:
@@ -124,17 +124,26 @@ def gene_dispersion(normalised: DataFrame, samples: Sequence[str]) -> DataFrame:
 
 
 def _fitted_mean(counts: Column, factors: Column) -> Column:
-    """Negative binomial mean of a group: fixed-point steps on the likelihood equation."""
+    """Negative binomial mean of a group, by halving the interval that holds the root of the likelihood equation.
+
+    Every term (c - f mu) / (1 + dispersion f mu) falls in mu and changes sign at c / f, so the one root lies between the
+    smallest and the largest of these; ``HALVINGS`` reach double precision for any data.
+    """
     alpha = F.col("dispersion")
     pairs = F.zip_with(counts, factors, lambda c, f: F.struct(c.alias("c"), f.alias("f")))
-    start = F.greatest(_total(counts) / _total(factors), F.lit(MIN_MEAN))
-
-    def step(mu: Column, _: Column) -> Column:
-        up = F.aggregate(pairs, F.lit(0.0), lambda a, p: a + p["c"] / (1.0 + alpha * mu * p["f"]))
-        down = F.aggregate(pairs, F.lit(0.0), lambda a, p: a + p["f"] / (1.0 + alpha * mu * p["f"]))
-        return F.greatest(up / down, F.lit(MIN_MEAN))
+    rates = F.transform(pairs, lambda p: (p["c"] / p["f"]).cast("double"))
+
+    def halve(state: Column, _: Column) -> Column:
+        mu = (state["low"] + state["high"]) / 2.0
+        slope = F.aggregate(pairs, F.lit(0.0), lambda a, p: a + (p["c"] - p["f"] * mu) / (1.0 + alpha * mu * p["f"]))
+        above = slope > 0
+        return F.struct(
+            F.when(above, mu).otherwise(state["low"]).alias("low"), F.when(above, state["high"]).otherwise(mu).alias("high")
+        )
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(FIT_STEPS)), start, step)
+    ends = F.struct(F.array_min(rates).alias("low"), F.array_max(rates).alias("high"))
+    root = F.aggregate(F.sequence(F.lit(1), F.lit(HALVINGS)), ends, halve, lambda state: (state["low"] + state["high"]) / 2.0)
+    return F.greatest(root, F.lit(MIN_MEAN))
 
 
 def _information(mu: Column, factors: Column) -> Column:
@@ -157,7 +166,7 @@ def group_dispersion(normalised: DataFrame, samples: Sequence[str], condition: M
     excess = F.lit(0.0)
     for level in groups:
         size = sum(condition[s] == level for s in samples)
-        mean = F.greatest(_total(values(level)) / size, F.lit(1.0))
+        mean = F.greatest(_total(values(level)) / size, F.lit(MIN_MEAN))
         squares = _total(F.transform(values(level), lambda x: (x - mean) * (x - mean)))
         excess = excess + (squares - size * mean) / (mean * mean)
     return normalised.withColumn("baseMean", _total(F.col("normalised")) / len(samples)).withColumn(
@@ -168,8 +177,7 @@ def group_dispersion(normalised: DataFrame, samples: Sequence[str], condition: M
 def de_test(dispersed: DataFrame, samples: Sequence[str], condition: Mapping[str, str]) -> DataFrame:
     """Two-group negative binomial Wald test per gene; the alphabetically first group is the base.
 
-    A group mean solves the likelihood equation by fixed-point steps; the standard error
-    comes from the expected information of both groups.
+    A group mean solves the likelihood equation; the standard error comes from the expected information of both groups.
     """
     levels = sorted({condition[s] for s in samples})
     if len(levels) != 2:
