@@ -11,7 +11,7 @@ The classifier is fitted on a bounded sample of pages (``sample_pages``), whose
 their marks; on pages without such marks it decides together with the neighbourhood.
 
 Defined cases: a null or empty page gives an empty text; unclosed and stray tags are taken as
-browsers take them; an empty table gives an empty result; repeated rows are answered alike; null ids and urls are
+browsers take them, but an object, canvas, frame or the like without its end tag hides nothing; an empty table gives an empty result; repeated rows are answered alike; null ids and urls are
 kept; extra columns are ignored. A block whose two labels cost the same is boilerplate.
 """
 
@@ -38,7 +38,14 @@ BLOCK_TAGS = frozenset(
     "tbody td textarea tfoot th thead title tr ul".split()
 )
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW_TAGS = frozenset("script style noscript template textarea title iframe svg object canvas".split())
+RAW_TAGS = frozenset("script style textarea title".split())
+#: What stands in for something else: not read, unless the end tag is missing; then the page goes on.
+FALLBACK_TAGS = frozenset("noscript template iframe object canvas svg math".split())
+#: Elements that keep a start tag below them from closing one above them.
+BARRIERS = frozenset("table ul ol dl noscript template iframe object foreignobject desc annotation-xml".split())
+#: Parts of a drawing that hold HTML.
+DRAWN_HTML = frozenset("foreignobject desc title annotation-xml".split())
+BREAKOUT_TAGS = BLOCK_TAGS - {"title"} | frozenset("b big code em embed i img meta nobr ruby s small span strong strike sub sup tt u var".split())
 NEVER_TAGS = frozenset("nav footer aside form head button select dialog menu fieldset".split())
 NEVER_NAMES = frozenset(
     "nav navbar navigation menu menubar header masthead footer sidebar aside ad ads adv advert adverts advertisement adsense banner promo "
@@ -103,28 +110,31 @@ def _named(attributes: str, tag: str) -> tuple[bool, bool]:
 def blocks_of(page: str) -> list[Block]:
     """Blocks with text, in page order."""
     out: list[Block] = []
-    # Open elements: (tag, place, never, inside an article, likely, in a link).
-    stack: list[tuple[str, tuple, bool, bool, bool, bool]] = [("", (0, None), False, False, False, False)]
-    pieces: list[str] = []
-    linked = number = 0
+    # Open elements: (tag, place, never, inside an article, likely, in a link, innermost fallback element).
+    stack: list[tuple[str, tuple, bool, bool, bool, bool, int]] = [("", (0, None), False, False, False, False, 0)]
+    above: dict[int, int] = {}  # the next fallback element around a fallback element
+    shut: set[int] = set()  # fallback elements that met their end tag
+    drawings = 0  # open svg and math elements
+    pieces: list[tuple[str, bool, int]] = []
+    number = 0
+    drafts: list[tuple[list, str, tuple]] = []
 
     def close_block() -> None:
-        nonlocal linked
+        nonlocal pieces
         if pieces:
-            text = " ".join(html.unescape("".join(pieces)).split())
-            if text:
-                top = stack[-1]
-                tag = next((s[0] for s in reversed(stack) if s[0] in BLOCK_TAGS), "")
-                out.append(Block(text, tag, top[2], top[3], top[4], linked, top[1]))
-            pieces.clear()
-        linked = 0
+            tag = next((s[0] for s in reversed(stack) if s[0] in BLOCK_TAGS), "")
+            drafts.append((pieces, tag, stack[-1]))
+            pieces = []
 
     def say(text: str) -> None:
-        nonlocal linked
         if text:
-            pieces.append(text)
-            if stack[-1][5]:
-                linked += len(text)
+            pieces.append((text, stack[-1][5], stack[-1][6]))
+
+    def pop(k: int) -> None:
+        nonlocal drawings
+        if drawings:
+            drawings -= sum(s[0] in ("svg", "math") for s in stack[k:])
+        del stack[k:]
 
     at, size = 0, len(page)
     while at < size:
@@ -142,14 +152,30 @@ def blocks_of(page: str) -> list[Block]:
         if m[2] is None:
             continue
         tag = m[2].lower()
+        drawn = False
+        if drawings:
+            k = next(k for k in range(len(stack) - 1, 0, -1) if stack[k][0] in ("svg", "math") or stack[k][0] in DRAWN_HTML)
+            drawn = stack[k][0] in ("svg", "math")
+            if drawn and not m[1] and tag in BREAKOUT_TAGS:  # browsers leave the drawing at such a tag
+                pop(next(k for k in range(1, len(stack)) if stack[k][0] in ("svg", "math")))
+                drawn = False
         if m[1]:
-            if tag in BLOCK_TAGS:
+            if tag in BLOCK_TAGS and not (drawings and tag == "title"):
                 close_block()
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0] == tag:
-                    del stack[k:]
+                    if tag in FALLBACK_TAGS:
+                        shut.add(stack[k][1][0])
+                    pop(k)
                     break
             continue
+        if drawn:
+            if not m[3].endswith("/") and len(stack) < DEPTH:
+                number += 1
+                stack.append((tag, (number, stack[-1][1]), *stack[-1][2:]))
+                if tag in ("svg", "math"):
+                    drawings += 1
+            continue
         if tag in BLOCK_TAGS:
             close_block()
         if tag in VOID_TAGS:
@@ -160,18 +186,29 @@ def blocks_of(page: str) -> list[Block]:
             continue
         closes = [k for k in range(len(stack) - 1, 0, -1) if tag in CLOSED_BY.get(stack[k][0], ())]
         for k in closes[:1]:
-            if not any(s[0] in ("table", "ul", "ol", "dl") for s in stack[k + 1 :]):
-                del stack[k:]
+            if not any(s[0] in BARRIERS for s in stack[k + 1 :]):
+                pop(k)
         number += 1
-        _, place, never, inside, likely, link = stack[-1]
+        _, place, never, inside, likely, link, fallback = stack[-1]
         if tag not in ("html", "body", "main"):
             named_never, named_likely = _named(m[3], tag)
             never |= named_never or tag in NEVER_TAGS or (tag == "header" and not inside) or bool(HIDDEN.search(m[3]))
             likely |= named_likely
         inside |= tag in ("article", "main")
-        if len(stack) < DEPTH and (not m[3].endswith("/") or tag in BLOCK_TAGS):
-            stack.append((tag, (number, place), never, inside, likely, link or tag == "a"))
+        if len(stack) < DEPTH and (not m[3].endswith("/") or (tag in BLOCK_TAGS and tag not in FALLBACK_TAGS)):
+            if tag in FALLBACK_TAGS:
+                above[number], fallback = fallback, number
+                drawings += tag in ("svg", "math")
+            stack.append((tag, (number, place), never, inside, likely, link or tag == "a", fallback))
     close_block()
+    unread = {0: False}
+    for k, outer in above.items():  # outer ones come first
+        unread[k] = k in shut or unread[outer]
+    for said, tag, top in drafts:
+        said = [x for x in said if not unread[x[2]]]
+        text = " ".join(html.unescape("".join(x[0] for x in said)).split())
+        if text:
+            out.append(Block(text, tag, top[2], top[3], top[4], sum(len(x[0]) for x in said if x[1]), top[1]))
     return out
 
 

@@ -60,6 +60,22 @@ def test_awkward_pages(page, text):
     assert main_text(page, P) == text
 
 
+@pytest.mark.parametrize(("page", "text"), [
+    ('<svg class="icon"/><article><p>one</p></article>', "one"),
+    ('<svg class="icon"/><article><p>one</p></article><svg><path d=""/></svg>', "one"),
+    ('<svg class="icon"><path d=""><article><p>one</p></article>', "one"),
+    ("<article><p>one <svg><title>t</title><style/><text>drawn</text></svg> two</p></article>", "one two"),
+    ("<article><p>one <svg><foreignObject><p>drawn</p></foreignObject></svg></p>two</article>", "one\ntwo"),
+    ("<object data=x><article><p>one</p></article>", "one"),
+    ("<canvas id=c><article><p>one</p></article><canvas>none</canvas>", "one"),
+    ("<div><template></div><noscript/><iframe src=x /><article><p>one</p></article>", "one"),
+    ("<article><p>one <noscript><p>turn it on</p></noscript> two</p><object>old <canvas>x</object><iframe>no</iframe></article>", "one\ntwo"),
+    ("<article><p>one</p><template><p>row</p></template><p>two <canvas>none</canvas> three</p></article>", "one\ntwo three"),
+])
+def test_unclosed_and_self_closed_stand_ins_do_not_end_the_page(page, text):
+    assert main_text(page, P) == text
+
+
 def test_deep_and_long_pages_stay_linear():
     deep = "<article>" + "<div><b>" * 20_000 + "in" + "<p>word</p>" * 20_000
     assert main_text(deep, P).count("word") == 20_000
