@@ -2,8 +2,10 @@
 
 A page becomes a row of blocks (text between block-level marks). A logistic classifier on the
 form of a block gives the costs of calling it content or boilerplate; they are the capacities
-to the two terminals. What the page's marks say is added: parts that are never content (menus,
-footers, forms, adverts, comments) have no way to the content side, blocks inside an article lean to it. Edges
+to the two terminals. What the page's marks say is added: a block in a part marked as a menu,
+footer, form, advert or comment leans to boilerplate, a block inside an article to content. Each mark is
+worth little more than a sure classifier, so classifier and neighbours together overrule it. A mark around most of the page's
+text, or around its main article and half of the text, says how the page is laid out and counts for less or nothing. Edges
 between neighbours, and between the blocks of one parent, cost more the nearer the blocks are
 in the tree. The minimum cut, found as a maximum flow, is the labelling with the least cost.
 
@@ -68,6 +70,7 @@ TAG = re.compile(
 )
 NAMES = re.compile(r"(?:^|[\s\"'])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+BESIDE = re.compile(r"(?:has|with|no|without)(?:[-_]|(?=[A-Z]))")  # names of what lies below or beside
 PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
@@ -75,7 +78,7 @@ PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 class Block:
     text: str
     tag: str
-    never: bool
+    marked: float  # 0 to 1: lies in a part marked as no content
     inside: bool
     likely: bool
     linked: int  # characters inside links
@@ -86,14 +89,15 @@ class Block:
 class HtmlParams:
     sample_pages: int = 1500
     sample_chars: int = 1 << 16  # longer pages are not fitted on; they are extracted whole like any other
-    lean: float = 12.0  # of blocks inside an article
-    likely: float = 4.0
+    lean: float = 3.0  # of blocks inside an article
+    likely: float = 3.0
+    mark: float = 7.0  # of blocks in parts marked as no content, the other way
     smooth: float = 3.0
     clip: float = 5.0
     weights: list[float] = field(default_factory=list)
 
 
-def _named(attributes: str, tag: str) -> tuple[bool, bool]:
+def _named(attributes: str, tag: str, inside: bool) -> tuple[bool, bool]:
     """(never content, likely content) by class, id and role."""
     never = likely = False
     for m in NAMES.finditer(attributes):
@@ -101,7 +105,9 @@ def _named(attributes: str, tag: str) -> tuple[bool, bool]:
         if tag == "article":
             never |= any(c in ("comment", "reply", "ad", "advert") for c in value.lower().split())
             continue
-        names = {p.lower() for p in PARTS.findall(value)}
+        names = {p.lower() for c in value.split() if not BESIDE.match(c) for p in PARTS.findall(c)}
+        if inside:
+            names.discard("header")
         never |= bool(names & NEVER_NAMES)
         likely |= bool(names & LIKELY_NAMES)
     return never, likely
@@ -110,8 +116,10 @@ def _named(attributes: str, tag: str) -> tuple[bool, bool]:
 def blocks_of(page: str) -> list[Block]:
     """Blocks with text, in page order."""
     out: list[Block] = []
-    # Open elements: (tag, place, never, inside an article, likely, in a link, innermost fallback element).
-    stack: list[tuple[str, tuple, bool, bool, bool, bool, int]] = [("", (0, None), False, False, False, False, 0)]
+    # Open elements: (tag, place, innermost mark, innermost article, likely, in a link, innermost fallback element).
+    stack: list[tuple[str, tuple, int, int, bool, bool, int]] = [("", (0, None), 0, 0, False, False, 0)]
+    marks: dict[int, int] = {}  # the next marked element around a marked element
+    articles: dict[int, tuple[int, int]] = {}  # the next article around an article, and the innermost mark
     above: dict[int, int] = {}  # the next fallback element around a fallback element
     shut: set[int] = set()  # fallback elements that met their end tag
     drawings = 0  # open svg and math elements
@@ -189,29 +197,69 @@ def blocks_of(page: str) -> list[Block]:
             if not any(s[0] in BARRIERS for s in stack[k + 1 :]):
                 pop(k)
         number += 1
-        _, place, never, inside, likely, link, fallback = stack[-1]
+        _, place, mark, inside, likely, link, fallback = stack[-1]
+        unseen = tag in FALLBACK_TAGS
+        never = False
         if tag not in ("html", "body", "main"):
-            named_never, named_likely = _named(m[3], tag)
-            never |= named_never or tag in NEVER_TAGS or (tag == "header" and not inside) or bool(HIDDEN.search(m[3]))
+            never, named_likely = _named(m[3], tag, inside > 0)
+            never |= tag in NEVER_TAGS or (tag == "header" and not inside)
             likely |= named_likely
-        inside |= tag in ("article", "main")
+            if tag == "head" or HIDDEN.search(m[3]):
+                unseen = True
+                shut.add(number)
+        if never:
+            marks[number], mark = mark, number
+        if tag in ("article", "main") and not never:
+            articles[number], inside = (inside, mark), number
         if len(stack) < DEPTH and (not m[3].endswith("/") or (tag in BLOCK_TAGS and tag not in FALLBACK_TAGS)):
-            if tag in FALLBACK_TAGS:
+            if unseen:
                 above[number], fallback = fallback, number
                 drawings += tag in ("svg", "math")
-            stack.append((tag, (number, place), never, inside, likely, link or tag == "a", fallback))
+            stack.append((tag, (number, place), mark, inside, likely, link or tag == "a", fallback))
     close_block()
     unread = {0: False}
     for k, outer in above.items():  # outer ones come first
         unread[k] = k in shut or unread[outer]
+    inmost: list[tuple[int, int]] = []
     for said, tag, top in drafts:
         said = [x for x in said if not unread[x[2]]]
         text = " ".join(html.unescape("".join(x[0] for x in said)).split())
         if text:
-            out.append(Block(text, tag, top[2], top[3], top[4], sum(len(x[0]) for x in said if x[1]), top[1]))
+            inmost.append((top[2], top[3]))
+            out.append(Block(text, tag, 0.0, top[3] > 0, top[4], sum(len(x[0]) for x in said if x[1]), top[1]))
+    part = _marked(out, inmost, marks, articles)
+    for b, (mark, _) in zip(out, inmost, strict=True):
+        b.marked = part[mark]
     return out
 
 
+def _marked(blocks: list[Block], inmost: list[tuple[int, int]], marks: dict[int, int], articles: dict[int, tuple[int, int]]) -> dict[int, float]:
+    """How far each marked element is no content, from 0 to 1, with the marks around it."""
+    under, of_article, total = dict.fromkeys([0, *marks], 0), dict.fromkeys([0, *articles], 0), 0
+    for b, (mark, article) in zip(blocks, inmost, strict=True):
+        own = max(0, len(b.text) - b.linked)
+        total += own
+        under[mark] += own
+        of_article[article] += own
+    for k in sorted(marks, reverse=True):  # inner ones come first
+        under[marks[k]] += under[k]
+    for k in sorted(articles, reverse=True):
+        of_article[articles[k][0]] += of_article[k]
+    # Marks around the largest article.
+    around: set[int] = set()
+    if articles:
+        mark = articles[max(articles, key=lambda k: (of_article[k], -k))][1]
+        while mark:
+            around.add(mark)
+            mark = marks[mark]
+    part = {0: 0.0}
+    for k in sorted(marks):
+        share = under[k] / total if total else 0.0
+        own = max(0.0, 1 - 2 * share) if k in around else 1.0 if articles else 1 - share
+        part[k] = max(own, part[marks[k]])
+    return part
+
+
 def shape(blocks: list[Block]) -> np.ndarray:
     """Features of the form of each block; marks that name a part of the page are left out."""
     out = np.zeros((len(blocks), 13))
@@ -297,11 +345,7 @@ def labelled(blocks: list[Block], p: HtmlParams) -> list[bool]:
     lean = np.clip(x @ np.array(p.weights), -p.clip, p.clip) if p.weights else np.zeros(len(blocks))
     content, boilerplate = [], []
     for b, score in zip(blocks, lean.tolist(), strict=True):
-        if b.never:
-            content.append(0.0)
-            boilerplate.append(1e6)
-            continue
-        score += p.lean * b.inside + p.likely * b.likely
+        score += (1 - b.marked) * (p.lean * b.inside + p.likely * b.likely) - p.mark * b.marked
         content.append(_softplus(score))  # the cost of calling it boilerplate
         boilerplate.append(_softplus(-score))
     edges: dict[tuple[int, int], float] = {}
@@ -351,9 +395,9 @@ def train(pages: DataFrame, p: HtmlParams) -> list[float]:
         for b in batches:
             for page in b.column(0).to_pylist():
                 blocks = blocks_of(page)
-                known = [k for k in blocks if k.never or k.inside]
+                known = [k for k in blocks if k.marked > 0.5 or k.inside]
                 if known:
-                    y = pa.array([0 if k.never else 1 for k in known])
+                    y = pa.array([0 if k.marked > 0.5 else 1 for k in known])
                     yield pa.RecordBatch.from_arrays([pa.array(shape(known).tolist(), pa.list_(pa.float64())), y], names=["x", "y"])
 
     rows = within(sample, run, "x array<double>, y long").groupBy("x", "y").count().toPandas()

@@ -76,6 +76,33 @@ def test_unclosed_and_self_closed_stand_ins_do_not_end_the_page(page, text):
     assert main_text(page, P) == text
 
 
+LONG = "A sentence with a good many words in it, as articles have them. " * 3
+
+
+@pytest.mark.parametrize("page", [
+    "<div class='layout has-sidebar'><article><h1>Title</h1><p>{0}</p></article><div class=sidebar><p>Beside.</p></div></div>",
+    "<div id=content class=with-comments><article><h1>Title</h1><p>{0}</p></article><section id=comments><p>Nice post.</p></section></div>",
+    "<div class='sidebar-layout'><article><h1>Title</h1><p>{0}</p></article></div><nav>Menu</nav>",
+    "<form id=page><nav><a href=x>Home</a></nav><main><h1>Title</h1><p>{0}</p></main></form>",
+    "<article><header class=entry-header><h1>Title</h1></header><p>{0}</p></article><aside class=related><article>Card</article></aside>",
+])
+def test_marks_around_the_article_do_not_empty_the_page(page):
+    assert main_text(page.format(LONG), P).split("\n") == ["Title", LONG.strip()]
+
+
+def test_classifier_and_neighbours_overrule_marks_and_articles():
+    weights = [0.0] * 13
+    weights[0], weights[1], weights[12] = 2.0, -12.0, -2.0
+    p = HtmlParams(weights=weights)
+    links = "".join(f"<p><a href={i}>Another story</a></p>" for i in range(4))
+    page = f"<main><div><p>{LONG}</p><p class=ad>{LONG}</p><p>{LONG}</p></div><div>{links}</div></main>"
+    assert main_text(page, p).split("\n") == [LONG.strip()] * 3
+    page = f"<main><p>{LONG}</p><p class=ad>Buy</p><p>{LONG}</p></main><section class=comments><p>{LONG}</p><p>{LONG}</p></section>"
+    assert main_text(page, p).split("\n") == [LONG.strip()] * 2
+    page = f"<div class='widget page'><p>{LONG}</p><p>{LONG}</p></div><div class=menu><a href=x>Home</a></div>"
+    assert main_text(page, p).split("\n") == [LONG.strip()] * 2
+
+
 def test_deep_and_long_pages_stay_linear():
     deep = "<article>" + "<div><b>" * 20_000 + "in" + "<p>word</p>" * 20_000
     assert main_text(deep, P).count("word") == 20_000
