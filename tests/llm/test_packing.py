@@ -63,6 +63,43 @@ def test_ids_are_those_of_the_tokenizers_library(tokenizer, text):
     assert np.frombuffer(raw, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@pytest.fixture(scope="module")
+def loaded():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(default_params().tokenizer)
+
+
+PIECES = ["<|endoftext|>", "<|endoftext|", "a", " b", " ", "  ", "\n", "s's", "1é漢", "🙂."]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=12).map("".join))
+def test_ids_are_those_of_the_tokenizer_as_loaded(loaded, text):
+    raw = ids_for(default_params().tokenizer).whole(text)
+    assert np.frombuffer(raw, "<u4").tolist() == loaded.encode(text, add_special_tokens=False).ids
+
+
+def test_an_added_token_is_one_id():
+    raw = ids_for(default_params().tokenizer).whole("a <|endoftext|> b")
+    assert np.frombuffer(raw, "<u4").tolist() == [64, 220, 50256, 275]
+
+
+def test_added_tokens_that_strip_or_normalise_are_left_to_the_library(tmp_path):
+    import json
+
+    from tokenizers import Tokenizer
+
+    with open(default_params().tokenizer, encoding="utf-8") as f:
+        model = json.load(f)
+    model["added_tokens"][0] |= {"lstrip": True, "rstrip": True}
+    path = str(tmp_path / "tokenizer.json")
+    with open(path, "w", encoding="utf-8") as f:
+        json.dump(model, f)
+    text = "a  <|endoftext|> b"
+    assert np.frombuffer(ids_for(path).whole(text), "<u4").tolist() == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("capacity", [16, 1024])
 def test_awkward_rows(spark, tokenizer, capacity):
     p = PackingParams(default_params().tokenizer, capacity=capacity)
