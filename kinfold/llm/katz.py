@@ -13,7 +13,8 @@ How it runs. A vocabulary or a table of pairs may be as large as the corpus, so
 1. Texts become token tables of bounded chunks (local word numbers, distinct word hashes).
 2. Chunks send their distinct words to word shards, which count them and answer with count and number.
 3. Chunks send all their pairs, with the counts of both words, to history shards; a history with more
-   tokens than half a shard is split by its next word.
+   tokens than half a shard is split by its next word. A pair that alone has as many is heavy: it is found
+   beforehand from the chunks' own counts, stays with its chunks' documents, and only its counts are summed.
 4. A history shard counts its pairs and returns partial sums per document. What depends on the
    corpus-wide discounts is returned as counts: seen pairs by count, and unseen pairs by history.
 5. With the discounts known, chunks add up their documents.
@@ -45,6 +46,8 @@ from kinfold.llm.text import Texts, doc_hash, splitmix, texts_of, within, words_
 K = 5
 #: Hash of the end token, and the number that stands for the begin mark.
 END, BEGIN = np.uint64(0), np.int64((1 << 40) - 1)
+#: Stands for the begin mark among hashes of words, where heavy pairs are sought.
+BEGIN_HASH = np.uint64(2)
 
 
 @dataclass
@@ -225,17 +228,82 @@ def _count_words(shards: int):
     return run
 
 
+# Heavy pairs ----------------------------------------------------------------------------
+
+
+def _local_pairs(lengths: np.ndarray, tokens: np.ndarray, n_words: int) -> np.ndarray:
+    """One number per token for the token and the one before it; ``n_words`` is the begin mark."""
+    before = np.empty_like(tokens)
+    before[1:] = tokens[:-1]
+    before[np.cumsum(lengths) - lengths] = n_words
+    return before * (n_words + 1) + tokens
+
+
+def _seek_heavy(share: float):
+    """Pairs with at least this share of their chunk's tokens."""
+
+    def run(batches):
+        for b in batches:
+            for lengths, words, tokens in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
+                lengths, tokens = unpack(lengths, np.uint32).astype(np.int64), unpack(tokens, np.uint32).astype(np.int64)
+                words = np.append(np.cumsum(unpack(words, np.uint64), dtype=np.uint64), BEGIN_HASH)
+                pairs, n = np.unique(_local_pairs(lengths, tokens, len(words) - 1), return_counts=True)
+                many = n >= share * len(tokens)
+                h, w = np.divmod(pairs[many], len(words))
+                yield pa.RecordBatch.from_arrays([pa.array(words[h].view(np.int64)), pa.array(words[w].view(np.int64)), pa.array(n[many])], names=["h", "w", "n"])
+
+    return run
+
+
+def _mark_heavy(heavy: np.ndarray):
+    """The chunks with the local numbers of the heavy pairs and of their histories."""
+
+    def find(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(words, hashes), len(words) - 1)
+        return np.where(words[at] == hashes, at, -1)
+
+    def run(batches):
+        for b in batches:
+            pairs, histories = [], []
+            for raw in b.column("words").to_pylist():
+                words = np.cumsum(unpack(raw, np.uint64), dtype=np.uint64)
+                h = np.where(heavy[0] == BEGIN_HASH, len(words), find(words, heavy[0]))
+                w = find(words, heavy[1])
+                pairs.append(pack(np.unique((h * (len(words) + 1) + w)[(h >= 0) & (w >= 0)])))
+                histories.append(pack(np.unique(h[h >= 0])))
+            yield pa.RecordBatch.from_arrays(
+                [*(b.column(k) for k in ("chunk", "ids", "train", "lengths", "tokens")), pa.array(pairs, pa.binary()), pa.array(histories, pa.binary())],
+                names=["chunk", "ids", "train", "lengths", "tokens", "heavy", "heavy_h"],
+            )
+
+    return run
+
+
+def heavy_pairs(tokens: DataFrame, total: int, hot: int) -> np.ndarray:
+    """Hashes (h, w) of all pairs with ``hot`` tokens or more, and of none with less than half.
+
+    What a pair has in chunks where it is below half of that share adds up to less than half of ``hot``.
+    """
+    if not total:
+        return np.zeros((2, 0), np.uint64)
+    found = within(tokens.select("lengths", "words", "tokens"), _seek_heavy(hot / (2 * total)), "h long, w long, n long")
+    rows = found.groupBy("h", "w").agg(F.sum("n").alias("n")).filter(F.col("n") >= hot / 2).select("h", "w").orderBy("h", "w").collect()
+    return np.array([[r["h"] for r in rows], [r["w"] for r in rows]], np.int64).view(np.uint64)
+
+
 # 3. Pairs -------------------------------------------------------------------------------
 
 PAIRS = (
     "shard long, chunk long, ids array<long>, train binary, h binary, hc binary, hn binary, w binary, wc binary, run binary, "
-    "doc binary, base binary, known binary, lengths binary"
+    "doc binary, base binary, known binary, lengths binary, split binary, heavy_doc binary, heavy_at binary, heavy_n binary, "
+    "heavy_h array<long>, heavy_w array<long>, heavy_hc array<long>, heavy_wc array<long>, heavy_c array<long>"
 )
+HEAVY = ["heavy_h", "heavy_w", "heavy_hc", "heavy_wc", "heavy_c"]
 
 
 def _send_pairs(words: Words, train_docs: int, shards: int, hot: int):
     names = [x.strip().split()[0] for x in PAIRS.split(",")]
-    kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 11]
+    kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 15, *[pa.list_(pa.int64())] * 5]
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         empty = pa.table({n: pa.array([], t) for n, t in zip(names, kinds, strict=True)})
@@ -248,18 +316,30 @@ def _send_pairs(words: Words, train_docs: int, shards: int, hot: int):
         lengths = unpack(row["lengths"], np.uint32).astype(np.int64)
         tokens = unpack(row["tokens"], np.uint32).astype(np.int64)
         doc = np.repeat(np.arange(len(lengths)), lengths)
-        first = np.cumsum(lengths) - lengths
         c = count[tokens]
         base = np.bincount(doc, np.log10((c + 1) / (words.total + words.kinds + 1)), len(lengths))
         known = np.bincount(doc, c > 0, len(lengths)).astype(np.int64)
         # The begin mark is one more local word.
         count, number = np.append(count, train_docs), np.append(number, BEGIN)
-        before = np.empty_like(tokens)
-        before[1:] = tokens[:-1]
-        before[first] = len(count) - 1
-        order = np.argsort(before * len(count) + tokens, kind="stable")
-        h, w, doc = before[order], tokens[order], doc[order]
-        pair = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (w[1:] != w[:-1])]))
+        key = _local_pairs(lengths, tokens, len(count) - 1)
+        # Heavy pairs stay with the documents: times by pair and document, and the times in training by pair.
+        heavy = unpack(row["heavy"], np.int64)
+        heavy_doc = heavy_at = heavy_n = np.zeros(0, np.int64)
+        heavy_c = np.zeros(len(heavy), np.int64)
+        if len(heavy):
+            at = np.minimum(np.searchsorted(heavy, key), len(heavy) - 1)
+            mine = heavy[at] == key
+            by_doc, heavy_n = np.unique(at[mine] * len(lengths) + doc[mine], return_counts=True)
+            heavy_at, heavy_doc = np.divmod(by_doc, len(lengths))
+            learned = unpack(row["train"], np.uint8)[heavy_doc] > 0
+            heavy_c = np.bincount(heavy_at[learned], heavy_n[learned], len(heavy)).astype(np.int64)
+            key, doc = key[~mine], doc[~mine]
+        order = np.argsort(key, kind="stable")
+        h, w = np.divmod(key[order], len(count))
+        doc = doc[order]
+        flagged = np.zeros(len(count), np.uint8)
+        flagged[unpack(row["heavy_h"], np.int64)] = 1
+        pair = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (w[1:] != w[:-1])])[: len(h)])
         run_ = np.diff(np.append(pair, len(h)))
         h, w = h[pair], w[pair]
         spread = splitmix(number.astype(np.uint64) + np.uint64(1))
@@ -269,9 +349,9 @@ def _send_pairs(words: Words, train_docs: int, shards: int, hot: int):
         shard, h, w, run_s, begin = shard[by], h[by], w[by], run_[by], pair[by]
         total = np.cumsum(run_s)
         doc = doc[np.repeat(begin - (total - run_s), run_s) + np.arange(len(doc))]
-        edge = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]]))
+        edge = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]])[: len(shard)])
         out = []
-        for a, z in zip(edge.tolist(), np.append(edge[1:], len(shard)).tolist(), strict=True):
+        for a, z in zip(edge.tolist(), [] if not len(edge) else np.append(edge[1:], len(shard)).tolist(), strict=True):
             new = np.flatnonzero(np.concatenate([[True], h[a + 1 : z] != h[a : z - 1]]))
             mine = h[a:z][new]
             docs = doc[total[a] - run_s[a] : total[z - 1]]
@@ -279,9 +359,14 @@ def _send_pairs(words: Words, train_docs: int, shards: int, hot: int):
                 int(shard[a]), row["chunk"], None, row["train"], pack(number[mine]), pack(count[mine]),
                 pack(np.diff(np.append(new, z - a)).astype(np.uint32)), pack(number[w[a:z]]), pack(count[w[a:z]]),
                 pack(run_s[a:z].astype(np.uint32)), pack(docs.astype(np.uint32)), None, None, None,
+                pack(flagged[mine]), *[None] * 8,
             ))
         # The documents themselves travel with the pairs, spread over shards of their own.
-        out.append((shards + row["chunk"] % shards, row["chunk"], row["ids"], row["train"], *[None] * 7, pack(base), pack(known), row["lengths"]))
+        out.append((
+            shards + row["chunk"] % shards, row["chunk"], row["ids"], row["train"], *[None] * 7, pack(base), pack(known), row["lengths"], None,
+            pack(heavy_doc.astype(np.uint32)), pack(heavy_at.astype(np.uint32)), pack(heavy_n.astype(np.uint32)),
+            *(x.tolist() for x in (number[heavy // len(count)], number[heavy % len(count)], count[heavy // len(count)], count[heavy % len(count)], heavy_c)),
+        ))
         columns = list(zip(*out, strict=True))
         return pa.table({n: pa.array(list(v), t) for n, t, v in zip(names, kinds, columns, strict=True)})
 
@@ -292,24 +377,26 @@ def _send_pairs(words: Words, train_docs: int, shards: int, hot: int):
 
 PARTIAL = (
     "chunk long, ids array<long>, base binary, known binary, lengths binary, doc binary, sums binary, seen binary, un_doc binary, un_h binary, "
-    "un_n binary, h binary, hc binary, hr binary, hbig binary, hp binary, n array<long>"
+    "un_n binary, h binary, hc binary, hr binary, hbig binary, hp binary, n array<long>, heavy_doc binary, heavy_at binary, heavy_n binary, "
+    "heavy_h array<long>, heavy_w array<long>, heavy_hc array<long>, heavy_wc array<long>, heavy_c array<long>"
 )
 
 
 def _count_pairs(words: Words, hot: int):
     names = [x.strip().split()[0] for x in PARTIAL.split(",")]
-    kinds = [pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 14, pa.list_(pa.int64())]
+    kinds = [pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 14, pa.list_(pa.int64()), *[pa.binary()] * 3, *[pa.list_(pa.int64())] * 5]
 
     def run(rows: pa.Table) -> pa.Table:
         out = []
         pairs = []
         for r in rows.to_pylist():
             if r["ids"] is not None:
-                out.append((r["chunk"], r["ids"], r["base"], r["known"], r["lengths"], *[None] * 12))
+                out.append((r["chunk"], r["ids"], r["base"], r["known"], r["lengths"], *[None] * 12, *(r[k] for k in ("heavy_doc", "heavy_at", "heavy_n", *HEAVY))))
             else:
                 pairs.append(r)
         if pairs:
             h_of, hc_of = [], []
+            flagged = np.concatenate([np.repeat(unpack(r["split"], np.uint8), unpack(r["hn"], np.uint32)) for r in pairs])
             for r in pairs:
                 times = unpack(r["hn"], np.uint32)
                 h_of.append(np.repeat(unpack(r["h"], np.int64), times))
@@ -351,13 +438,13 @@ def _count_pairs(words: Words, hot: int):
                 out.append((
                     r["chunk"], None, None, None, None, pack(some), pack(sums), pack(by_rank.astype(np.uint32).ravel()),
                     pack(key & 0xFFFFFFFF), pack(un_h), pack(times), pack(histories[asked]), pack(h_count[asked]),
-                    pack(by_r[:, asked].ravel()), pack(big[asked]), pack(p_sum[asked]), None,
+                    pack(by_r[:, asked].ravel()), pack(big[asked]), pack(p_sum[asked]), None, *[None] * 8,
                 ))
-            split = np.flatnonzero(h_count > hot)
+            split = np.flatnonzero((h_count > hot) | (flagged[first] > 0))
             n = np.bincount(c[seen & (c <= K + 1)], minlength=K + 2)
             out.append((
                 None, *[None] * 10, pack(histories[split]), pack(h_count[split]), pack(by_r[:, split].ravel()), pack(big[split]),
-                pack(p_sum[split]), n.tolist(),
+                pack(p_sum[split]), n.tolist(), *[None] * 8,
             ))
         columns = list(zip(*out, strict=True))
         return pa.table({n: pa.array(list(v), t) for n, t, v in zip(names, kinds, columns, strict=True)})
@@ -370,13 +457,27 @@ def _count_pairs(words: Words, hot: int):
 SCORES = "doc_id long, n_tokens long, n_known long, base_score double, score double"
 
 
-def _add_up(discount: np.ndarray, hot: dict):
+def _add_up(discount: np.ndarray, hot: dict, heavy: dict):
     drop = np.log10(discount[1:])
 
+    def heavy_value(h: int, w: int) -> float:
+        c, hc, p = heavy[h, w]
+        if c:
+            return np.log10(c) - np.log10(hc + 1.0) + (drop[c - 1] if c <= K else 0.0)
+        if not hc:
+            return np.log10(p)
+        by_r, big, p_sum = hot[h]
+        kept = ((discount[1:] * np.arange(1, K + 1)) @ by_r + big) / (hc + 1.0)
+        return np.log10(p) + np.log10(1 - kept) - np.log10(1 - p_sum)
+
     def run(rows: pa.Table) -> pa.Table:
         parts = rows.to_pylist()
         docs = next(r for r in parts if r["ids"] is not None)
         score = np.zeros(len(docs["ids"]))
+        if docs["heavy_h"]:
+            value = np.array([heavy_value(*x) for x in zip(docs["heavy_h"], docs["heavy_w"], strict=True)])
+            at, n = unpack(docs["heavy_at"], np.uint32), unpack(docs["heavy_n"], np.uint32)
+            score += np.bincount(unpack(docs["heavy_doc"], np.uint32), value[at] * n, len(score))
         for r in parts:
             if r["ids"] is not None:
                 continue
@@ -424,14 +525,17 @@ def scored(docs: DataFrame, p: KatzParams) -> DataFrame:
     train_docs = ends.filter(F.col("crc") % p.mod != p.held_out).count()
     shards = max(least, (size["tokens"] or 0) // p.shard_pairs)
     hot = max(1, (size["tokens"] or 0) // (2 * shards))
+    heavy = heavy_pairs(tokens, size["tokens"] or 0, hot)
+    marked = "chunk long, ids array<long>, train binary, lengths binary, tokens binary, heavy binary, heavy_h binary"
     sent = (
-        tokens.select("chunk", "ids", "train", "lengths", "tokens")
+        within(tokens.select("chunk", "ids", "train", "lengths", "tokens", "words"), _mark_heavy(heavy), marked)
         .groupBy("chunk")
         .cogroup(answers.filter(F.col("chunk").isNotNull()).select("shard", "chunk", "counts", "numbers").groupBy("chunk"))
         .applyInArrow(_send_pairs(words, train_docs, shards, hot), PAIRS)
     )
     partial = written(sent.groupBy("shard").applyInArrow(_count_pairs(words, hot), PARTIAL), "pairs", "none")
-    # One row per shard; histories in it are those above half a shard's tokens, at most two per shard in all.
+    # One row per shard; histories in it are those above half a shard's tokens, at most two per shard in all, and
+    # those of heavy pairs; there are at most four heavy pairs per shard.
     n, split = np.zeros(K + 2), {}
     for r in partial.filter(F.col("n").isNotNull()).select("h", "hr", "hbig", "hp", "n").toLocalIterator():
         n += np.array(r["n"])
@@ -440,7 +544,21 @@ def scored(docs: DataFrame, p: KatzParams) -> DataFrame:
         for i, (number, big, p_sum) in enumerate(zip(h.tolist(), unpack(r["hbig"], np.float64), unpack(r["hp"], np.float64), strict=True)):
             old = split.get(number, (np.zeros(K), 0.0, 0.0))
             split[number] = (old[0] + by_r[:, i], old[1] + big, old[2] + p_sum)
-    out = partial.filter(F.col("chunk").isNotNull()).drop("n").groupBy("chunk").applyInArrow(_add_up(discounts(n), split), SCORES)
+    sums = {}
+    if heavy.shape[1]:
+        each = partial.filter(F.col("ids").isNotNull()).select(F.explode(F.arrays_zip(*HEAVY)).alias("x")).select("x.*")
+        for r in each.groupBy("heavy_h", "heavy_w").agg(F.sum("heavy_c").alias("c"), F.max("heavy_hc").alias("hc"), F.max("heavy_wc").alias("wc")).collect():
+            c, number = r["c"], r["heavy_h"]
+            p_w = float(words.p(np.array([r["wc"]]))[0])
+            sums[number, r["heavy_w"]] = (c, r["hc"], p_w)
+            by_r, big, p_sum = split.get(number, (np.zeros(K), 0.0, 0.0))
+            if c:
+                by_r, big, p_sum = by_r + (np.arange(1, K + 1) == c), big + (c if c > K else 0), p_sum + p_w
+                if c <= K + 1:
+                    n[c] += 1
+            split[number] = (by_r, big, p_sum)
+    kept = partial.filter(F.col("chunk").isNotNull()).drop("n", "heavy_hc", "heavy_wc", "heavy_c")
+    out = kept.groupBy("chunk").applyInArrow(_add_up(discounts(n), split, sums), SCORES)
     return out.withColumn("train_tokens", F.lit(words.total).cast("long"))
 
 

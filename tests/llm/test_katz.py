@@ -77,6 +77,30 @@ def test_equals_brute_force_with_many_shards_and_split_histories(spark):
     same(scored(docs, p), [(r.doc_id, r.text) for r in docs.collect()], p)
 
 
+def test_heavy_pairs_reach_no_history_shard(spark, monkeypatch):
+    hot_line = "la la la " * 30
+    rows = [(i, f"{hot_line} word{i % 17} la word{i % 5} tail") for i in range(200)]
+    rows += [(i, "held only " * 40) for i in range(200, 2000) if zlib.crc32(str(i).encode()) % 7 == 2]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    p = KatzParams(chunk_bytes=4_000, shard_words=500, shard_pairs=1_000)
+    folder = {}
+    kept = katz.written
+    monkeypatch.setattr(katz, "written", lambda df, name, *rest: folder.setdefault(name, kept(df, name, *rest)))
+    same(scored(docs, p), rows, p)
+    tokens = sum(r.n_tokens for r in folder["tokens"].collect())
+    shards = max(16, tokens // p.shard_pairs)
+    heavy = [r for r in folder["pairs"].filter("ids is not null").collect() if r["heavy_h"]]
+    assert heavy and tokens // (2 * shards) < sum(int(unpack(r["heavy_n"], np.uint32).sum()) for r in heavy)
+
+
+def test_heavy_pairs_are_all_found(spark):
+    rows = [(i, "x y " * (200 if i < 3 else 1) + " ".join(f"w{i}v{j}" for j in range(60))) for i in range(60)]
+    tokens = katz.tokenised(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), KatzParams(chunk_bytes=2_000))
+    total = sum(r.n_tokens for r in tokens.collect())
+    assert katz.heavy_pairs(tokens, total, 500).shape[1] == 2  # x y, y x
+    assert katz.heavy_pairs(tokens, total, 2 * total).shape[1] == 0
+
+
 def test_awkward_rows(spark):
     rows = [(r[0], r[1]) for r in awkward_rows()]
     same(scored(clashing(awkward(spark)), KatzParams(chunk_bytes=1000)), rows, KatzParams())
