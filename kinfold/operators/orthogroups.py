@@ -122,8 +122,8 @@ def species_set_intersections(counts: DataFrame, species: Sequence[str]) -> Data
         F.array_compact(F.array(*[F.when(total(s) > 0, F.lit(s)) for s in species])), "&"
     )
     sizes = counts.groupBy(present.alias("species_set")).agg(F.count(F.lit(1)).alias("n_families"))
-    total = counts.agg(F.count(F.lit(1)).alias("n_all")).scalar()
-    return sizes.select("species_set", "n_families", (100.0 * F.col("n_families") / total).alias("percent"))
+    n_all = counts.agg(F.count(F.lit(1)).alias("n_all")).scalar()
+    return sizes.select("species_set", "n_families", (100.0 * F.col("n_families") / n_all).alias("percent"))
 
 
 def species_pair_overlap(counts: DataFrame, species: Sequence[str]) -> DataFrame:

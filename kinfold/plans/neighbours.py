@@ -17,12 +17,11 @@ SELECT f.hypothesis, f.hog, g.gene FROM flags f JOIN hog_genes g USING (hog) WHE
   f.hypothesis = 1 AND species IN ('AFRICA', 'AMERICA', 'ASIA') OR f.hypothesis = 2 AND species IN ('AFRICA', 'EUROPE', 'AMERICA')
   OR f.hypothesis = 3 AND species IN ('AFRICA', 'AMERICA', 'ASIA', 'MIDDLE_EAST')
   OR f.hypothesis = 4 AND species IN ('ASIA', 'MIDDLE_EAST'))""", "flags", "hog_genes")
-fragment("hit_rows", "SELECT *, row_number() OVER () AS hit_id FROM named", "named")
 fragment("touching", """
-SELECT k.hypothesis, k.hog, h.* FROM (
-  SELECT m.hypothesis, m.hog, h.hit_id FROM hit_rows h JOIN members m ON h.qname = m.gene UNION
-  SELECT m.hypothesis, m.hog, h.hit_id FROM hit_rows h JOIN members m ON h.sname = m.gene) k
-JOIN hit_rows h USING (hit_id)""", "hit_rows", "members")
+SELECT m.hypothesis, m.hog, h.* FROM named h JOIN members m ON h.qname = m.gene UNION ALL
+SELECT m.hypothesis, m.hog, h.* FROM named h JOIN members m ON h.sname = m.gene
+WHERE NOT EXISTS (SELECT 1 FROM members q WHERE q.hypothesis = m.hypothesis AND q.hog = m.hog AND q.gene = h.qname)""",
+         "named", "members")
 fragment("ranked", """
 SELECT *, row_number() OVER (PARTITION BY hypothesis, hog ORDER BY evalue, bitscore DESC, pident DESC, qseqid, sseqid) AS rank
 FROM touching""", "touching")
