@@ -1,4 +1,6 @@
 """Imports every module that registers a dealt operator."""
 
-from kinfold.llm import html, katz, langid, packing, quality, rules, simhash, tiling, toxicity, urls  # noqa: F401
+from kinfold.llm import (  # noqa: F401
+    html, katz, langid, packing, quality, rules, simhash, tiling, toxicity, urls, whitening,
+)
 from kinfold.llm.registry import ORACLES, QUERIES  # noqa: F401
