@@ -76,6 +76,22 @@ def running_count(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     )
 
 
+def running_total(df: DataFrame, by: Sequence[str], position: str, value: Column, out: str, width: int = 4096) -> DataFrame:
+    """Sum of ``value`` over the rows of a group up to each whole-numbered, unique ``position``.
+
+    Positions are cut into slices of ``width``; a slice is summed on its own, after the totals of the slices before it.
+    """
+    by = list(by)
+    cut = df.withColumns({"_slice": F.floor(F.col(position) / width), "_v": value})
+    before = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = cut.groupBy(*by, "_slice").agg(F.sum("_v").alias("_n")).select(
+        *by, "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")
+    )
+    inside = Window.partitionBy(*by, "_slice").orderBy(position)
+    summed = cut.withColumn("_in", F.sum("_v").over(inside)).join(offsets, [*by, "_slice"])
+    return summed.withColumn(out, F.col("_off") + F.col("_in")).drop("_slice", "_v", "_in", "_off")
+
+
 def exact_median(df: DataFrame, by: Sequence[str], value: str, out: str) -> DataFrame:
     """Exact median per group from running counts: at most two values per group survive."""
     middle = running_count(df, by, value).filter(

@@ -1,284 +1,551 @@
 """Work on many trees at once, as a node table.
 
 Node rows are (tree_id, node_id, parent_id, name, dist, support, is_leaf); node ids count in
-reading order, so a parent precedes its children. The operators share one derived table, the
-ancestor pairs, and are joins and aggregates over it.
+reading order, so a parent precedes its children and what is below a node is a range of ids. No operator makes
+(node, ancestor) pairs; all of them keep one row per node, whatever the shape of the tree:
+
+* ``climb`` folds values along the way up by doubling pointers, up to the root or to fences;
+* ``fold_up`` folds leaf values into all nodes by contraction: finished children are raked into their parents, chains of nodes
+  with one open child are composed by doubling and taken out;
+* ``intervals`` gives the end of each node's range, ``common_ancestor`` lifts asked nodes by powers of two.
+
+Rounds grow with the logarithm of the depth. Each round's table is written, which cuts its lineage.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable
+from functools import reduce
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.session import cut_lineage
+from kinfold.functions.order import running_total
+from kinfold.session import cut_lineage, cut_measured
 
 KEY = ["tree_id", "node_id"]
 NODE_COLUMNS = ["tree_id", "node_id", "parent_id", "name", "dist", "support", "is_leaf"]
 NEGATIVE_BRANCH_SHARE = 1e-6  # fixed value: replacement of a negative branch, as share of the tree length
 
 
-def ancestors(nodes: DataFrame) -> DataFrame:
-    """Every (node, ancestor) pair with hops and distance; a node is its own ancestor at 0.
+def _length() -> Column:
+    return F.coalesce("dist", F.lit(0.0))
 
-    Jumps of 1, 2, 4, ... hops are composed, so a tree of depth d takes about log2(d) rounds,
-    each one equi-join on (tree, node). Lineage is cut every round.
-    """
-    pairs = nodes.select(
-        *KEY, F.col("node_id").alias("ancestor_id"), F.lit(0).alias("hops"), F.lit(0.0).alias("distance")
-    )
-    jumps = nodes.filter(F.col("parent_id").isNotNull()).select(
-        *KEY,
-        F.col("parent_id").alias("ancestor_id"),
-        F.lit(1).alias("hops"),
-        F.coalesce("dist", F.lit(0.0)).alias("distance"),
-    )
 
-    def follow(first: DataFrame, then: DataFrame) -> DataFrame:
-        rest = then.select(
-            "tree_id",
-            F.col("node_id").alias("via"),
-            F.col("ancestor_id").alias("up"),
-            F.col("hops").alias("more_hops"),
-            F.col("distance").alias("more_distance"),
+def _is_root() -> Column:
+    return F.col("parent_id").isNull()
+
+
+# Up: values along the way to the root.
+
+
+def climb(
+    nodes: DataFrame,
+    own: dict[str, Column],
+    above: dict[str, Column],
+    fences: DataFrame | None = None,
+) -> DataFrame:
+    """Fold of ``own`` values from each node upwards: (tree_id, node_id, up, *own).
+
+    ``own`` is a node's part for the step to its parent, neutral at a root. ``above`` says how a value goes on: an
+    expression over its own column and ``above_<name>``, that of the node reached so far; it must be associative. The way ends behind
+    the root (up is null) or at the nearest proper ancestor in ``fences`` (tree_id, node_id), whose own part is not included.
+    Pointers double their reach every round; finished rows no longer take part.
+    """
+    state = nodes.select(*KEY, F.col("parent_id").alias("up"), *[c.alias(n) for n, c in own.items()])
+    if fences is None:
+        state = state.withColumn("open", F.col("up").isNotNull())
+    else:
+        stops = fences.select("tree_id", F.col("node_id").alias("up")).distinct().withColumn("fence", F.lit(True))
+        state = state.join(stops, ["tree_id", "up"], "left").withColumn(
+            "open", F.col("up").isNotNull() & F.col("fence").isNull()
+        ).drop("fence")
+    state, left = cut_measured(state, rows=F.count_if("open"))
+    while left["rows"]:
+        todo = state.filter("open")
+        ahead = state.select(
+            "tree_id", F.col("node_id").alias("up"), F.col("up").alias("next"), F.col("open").alias("goes_on"),
+            *[F.col(n).alias(f"above_{n}") for n in own],
         )
-        joined = first.withColumnRenamed("ancestor_id", "via").join(rest, ["tree_id", "via"])
-        return joined.select(
-            *KEY,
-            F.col("up").alias("ancestor_id"),
-            (F.col("hops") + F.col("more_hops")).alias("hops"),
-            (F.col("distance") + F.col("more_distance")).alias("distance"),
+        moved = todo.join(ahead, ["tree_id", "up"]).select(
+            *KEY, F.col("next").alias("up"), *[c.alias(n) for n, c in above.items()], F.col("goes_on").alias("open")
         )
-
-    jumps = cut_lineage(jumps)
-    while not jumps.isEmpty():
-        pairs = cut_lineage(pairs.unionByName(follow(jumps, pairs)))
-        jumps = cut_lineage(follow(jumps, jumps))
-    return pairs
+        state, left = cut_measured(state.filter("not open").unionByName(moved), rows=F.count_if("open"))
+    return state.select(*KEY, "up", *own)
 
 
 def tree_paths(nodes: DataFrame) -> DataFrame:
-    """Depth and root distance of every node, on one row per node.
+    """Depth and root distance of every node."""
+    own = {
+        "depth": F.when(_is_root(), 0).otherwise(1),
+        "root_distance": F.when(_is_root(), 0.0).otherwise(_length()),
+    }
+    return climb(nodes, own, {n: F.col(n) + F.col(f"above_{n}") for n in own}).drop("up")
+
+
+def nearest_above(nodes: DataFrame, fences: DataFrame) -> DataFrame:
+    """Nearest proper ancestor of each node among the fences: (tree_id, node_id, up, hops, distance); up is null without one."""
+    own = {"hops": F.when(_is_root(), 0).otherwise(1), "distance": F.when(_is_root(), 0.0).otherwise(_length())}
+    return climb(nodes, own, {n: F.col(n) + F.col(f"above_{n}") for n in own}, fences)
+
+
+def collapse(nodes: DataFrame, stop: Column) -> DataFrame:
+    """Node table in which every node that meets ``stop`` counts as a leaf, and what is below it is left out."""
+    stops = nodes.filter(stop & ~F.col("is_leaf")).select(*KEY)
+    below = nearest_above(nodes, stops).filter(F.col("up").isNotNull())
+    kept = nodes.join(below, KEY, "left_anti")
+    cut = stops.withColumn("cut", F.lit(True))
+    return kept.join(cut, KEY, "left").withColumn("is_leaf", F.col("is_leaf") | F.col("cut").isNotNull()).select(*NODE_COLUMNS)
+
 
-    Each round a node takes over the pointer, hops and distance of the node it points to, so all
-    pointers reach the root after about log2(depth) rounds. Lineage is cut every round.
+# Down: ranges of ids and values of leaves.
+
+
+def intervals(nodes: DataFrame) -> DataFrame:
+    """End of each node's range: (tree_id, node_id, last), so that below a node are the ids from node_id to last.
+
+    The last node below is the last one below the last child, so pointers run down the last children.
     """
-    state = nodes.select(
-        *KEY,
-        F.col("parent_id").alias("up"),
-        F.when(F.col("parent_id").isNull(), 0).otherwise(1).alias("depth"),
-        F.when(F.col("parent_id").isNull(), 0.0).otherwise(F.coalesce("dist", F.lit(0.0))).alias("root_distance"),
+    last_child = nodes.filter(~_is_root()).groupBy("tree_id", F.col("parent_id").alias("node_id")).agg(
+        F.max("node_id").alias("child")
     )
-    while True:
-        state = cut_lineage(state)
-        if state.filter(F.col("up").isNotNull()).isEmpty():
-            return state.drop("up")
-        above = state.select(
-            "tree_id", F.col("node_id").alias("up"), F.col("up").alias("next"),
-            F.col("depth").alias("more"), F.col("root_distance").alias("further"),
-        )
-        state = state.join(above, ["tree_id", "up"], "left").select(
-            *KEY,
-            F.col("next").alias("up"),
-            (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
-            (F.col("root_distance") + F.coalesce("further", F.lit(0.0))).alias("root_distance"),
+    state, left = cut_measured(
+        nodes.select(*KEY).join(last_child, KEY, "left").select(
+            *KEY, F.coalesce("child", "node_id").alias("last"), F.col("child").isNotNull().alias("open")
+        ),
+        rows=F.count_if("open"),
+    )
+    while left["rows"]:
+        todo = state.filter("open")
+        ahead = state.select(
+            "tree_id", F.col("node_id").alias("last"), F.col("last").alias("further"), F.col("open").alias("goes_on")
         )
+        moved = todo.join(ahead, ["tree_id", "last"]).select(*KEY, F.col("further").alias("last"), F.col("goes_on").alias("open"))
+        state, left = cut_measured(state.filter("not open").unionByName(moved), rows=F.count_if("open"))
+    return state.drop("open")
+
 
+def leaf_numbers(nodes: DataFrame) -> DataFrame:
+    """Leaves numbered from 1 in reading order: (tree_id, node_id, name, number)."""
+    upto = running_total(nodes.select(*KEY, "name", "is_leaf"), ["tree_id"], "node_id", F.col("is_leaf").cast("long"), "number")
+    return upto.filter("is_leaf").select(*KEY, "name", "number")
 
-def leaves_under(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(tree, ancestor, leaf) with the name of the leaf and its distance below the ancestor."""
-    leaves = nodes.filter("is_leaf").select(*KEY, "name")
-    return pairs.join(leaves, KEY).select(
-        "tree_id", F.col("ancestor_id").alias("node_id"), F.col("node_id").alias("leaf_id"), "name", "distance", "hops"
+
+def leaves_under(nodes: DataFrame) -> DataFrame:
+    """Leaves below every node as a range of leaf numbers: (tree_id, node_id, last, first_leaf, last_leaf, n_leaves)."""
+    return marked_under(nodes, F.lit(True)).select(
+        *KEY, "last", (F.col("before") + 1).alias("first_leaf"), (F.col("before") + F.col("n_marked")).alias("last_leaf"),
+        F.col("n_leaves"),
     )
 
 
-def mrca(pairs: DataFrame, members: DataFrame) -> DataFrame:
-    """Most recent common ancestor per (tree, set); ``members`` has tree_id, set_id, node_id."""
-    size = members.groupBy("tree_id", "set_id").agg(F.count_distinct("node_id").alias("size"))
-    shared = (
-        members.distinct()
-        .join(pairs, KEY)
-        .groupBy("tree_id", "set_id", "ancestor_id")
-        .agg(F.count(F.lit(1)).alias("covered"), F.min("hops").alias("hops"))
-        .join(size, ["tree_id", "set_id"])
-        .filter(F.col("covered") == F.col("size"))
+def marked_under(nodes: DataFrame, mark: Column) -> DataFrame:
+    """Per node, its leaves and those of them that meet ``mark``: differences of running counts at the ends of its range."""
+    flags = nodes.select(*KEY, F.col("is_leaf").cast("long").alias("leaf"), (F.col("is_leaf") & mark).cast("long").alias("hit"))
+    upto = running_total(flags, ["tree_id"], "node_id", F.col("leaf"), "leaves_upto")
+    upto = running_total(upto, ["tree_id"], "node_id", F.col("hit"), "hits_upto")
+    ends = upto.select("tree_id", F.col("node_id").alias("last"), F.col("leaves_upto").alias("leaves_end"), F.col("hits_upto").alias("hits_end"))
+    return upto.join(intervals(nodes), KEY).join(ends, ["tree_id", "last"]).select(
+        *KEY, "last", (F.col("hits_upto") - F.col("hit")).alias("before"),
+        (F.col("leaves_end") - F.col("leaves_upto") + F.col("leaf")).alias("n_leaves"),
+        (F.col("hits_end") - F.col("hits_upto") + F.col("hit")).alias("n_marked"),
     )
-    return shared.groupBy("tree_id", "set_id").agg(F.min_by("ancestor_id", "hops").alias("ancestor_id"))
 
 
-def pair_distance(pairs: DataFrame, wanted: DataFrame, topological: bool = False) -> DataFrame:
-    """Distance of the asked node pairs (tree_id, node_a, node_b): through their nearest shared ancestor.
+class Fold(NamedTuple):
+    """What ``fold_up`` does with the struct of a node: that of a leaf, seen from the upper end of a branch, of many, of two."""
+
+    leaf: Column
+    moved: Callable[[Column, Column, Column], Column]  # value, length, hops
+    merged: Callable[[Column], Column]  # an aggregate
+    both: Callable[[Column, Column], Column]
+
+
+def _either(fold: Fold, a: Column, b: Column) -> Column:
+    return F.when(a.isNull(), b).when(b.isNull(), a).otherwise(fold.both(a, b))
+
 
-    Topological distance counts the nodes strictly between the two.
+def fold_up(nodes: DataFrame, fold: Fold) -> DataFrame:
+    """Folded leaf values of every node: (tree_id, node_id, value), by rake and compress.
+
+    Each round, finished nodes hand their values to their parents. Where that removes less than a quarter of the nodes, there are chains of nodes
+    with one open child each, and these are taken out: each learns, by doubling, what it adds to the value at the end of its chain, and that end is
+    hung below the chain. So the number of rounds is logarithmic in the number of nodes. At the end the chains are
+    filled in, last taken out first.
     """
-    def side(name: str) -> DataFrame:
-        return pairs.select(
-            "tree_id", F.col("node_id").alias(f"node_{name}"), "ancestor_id",
-            F.col("hops").alias(f"hops_{name}"), F.col("distance").alias(f"distance_{name}"),
+    key = ["tree_id", "node_id"]
+    children = nodes.filter(~_is_root()).groupBy("tree_id", F.col("parent_id").alias("node_id")).agg(F.count(F.lit(1)).alias("n"))
+    rows = F.count(F.lit(1))
+    live, left = cut_measured(
+        nodes.join(children, key, "left").select(
+            *key, "parent_id", _length().alias("length"), F.lit(1).alias("hops"), F.coalesce("n", F.lit(0)).alias("open"),
+            F.when(F.col("is_leaf"), fold.leaf).alias("value"),
+        ),
+        rows=rows,
+    )
+    finished, chains = [], []
+    while left["rows"]:
+        ready, rest = live.filter("open = 0"), live.filter("open > 0")
+        finished.append(ready.select(*key, "value"))
+        given = (
+            ready.filter(~_is_root())
+            .select("tree_id", F.col("parent_id").alias("node_id"), fold.moved(F.col("value"), F.col("length"), F.col("hops")).alias("v"))
+            .groupBy(*key).agg(fold.merged(F.col("v")).alias("given"), F.count(F.lit(1)).alias("n"))
+        )
+        before = left["rows"]
+        live, left = cut_measured(
+            rest.join(given, key, "left").select(
+                *key, "parent_id", "length", "hops", (F.col("open") - F.coalesce("n", F.lit(0))).alias("open"),
+                _either(fold, F.col("value"), F.col("given")).alias("value"),
+            ),
+            rows=rows,
+            single=F.count_if(F.col("open") == 1),
+        )
+        if left["single"] > 1 and 4 * left["rows"] > 3 * before:
+            live, chain = _without_chains(live, fold)
+            chains.append(chain)
+            left = {"rows": live.count()}
+    known = reduce(DataFrame.unionByName, finished) if finished else nodes.limit(0).select(*key, fold.leaf.alias("value"))
+    for chain in reversed(chains):
+        at_end = known.select("tree_id", F.col("node_id").alias("end"), F.col("value").alias("end_value"))
+        filled = chain.join(at_end, ["tree_id", "end"]).select(
+            *key, _either(fold, F.col("adds"), fold.moved(F.col("end_value"), F.col("way"), F.col("steps"))).alias("value")
+        )
+        known = cut_lineage(known.unionByName(filled))
+    return known
+
+
+def _without_chains(live: DataFrame, fold: Fold) -> tuple[DataFrame, DataFrame]:
+    """The live nodes without those that have one open child, and the latter as (tree_id, node_id, end, adds, way, steps)."""
+    key = ["tree_id", "node_id"]
+    single = live.filter("open = 1")
+    hung = live.select("tree_id", F.col("parent_id").alias("node_id"), F.col("node_id").alias("end"), F.col("length").alias("way"), F.col("hops").alias("steps"))
+    inside = single.select("tree_id", F.col("node_id").alias("end")).withColumn("goes_on", F.lit(True))
+    chain, left = cut_measured(
+        single.select(*key, F.col("value").alias("adds")).join(hung, key).join(inside, ["tree_id", "end"], "left")
+        .select(*key, "end", "adds", "way", "steps", F.col("goes_on").isNotNull().alias("going")),
+        rows=F.count_if("going"),
+    )
+    while left["rows"]:
+        todo = chain.filter("going")
+        ahead = chain.select(
+            "tree_id", F.col("node_id").alias("end"), F.col("end").alias("next"), F.col("adds").alias("next_adds"),
+            F.col("way").alias("next_way"), F.col("steps").alias("next_steps"), F.col("going").alias("goes_on"),
+        )
+        further = F.when(F.col("next_adds").isNotNull(), fold.moved(F.col("next_adds"), F.col("way"), F.col("steps")))
+        moved = todo.join(ahead, ["tree_id", "end"]).select(
+            *key, F.col("next").alias("end"), _either(fold, F.col("adds"), further).alias("adds"),
+            (F.col("way") + F.col("next_way")).alias("way"), (F.col("steps") + F.col("next_steps")).alias("steps"),
+            F.col("goes_on").alias("going"),
+        )
+        chain, left = cut_measured(chain.filter("not going").unionByName(moved), rows=F.count_if("going"))
+    chain = chain.drop("going")
+    tops = (
+        single.select(*key, "parent_id", "length", "hops")
+        .join(single.select("tree_id", F.col("node_id").alias("parent_id")), ["tree_id", "parent_id"], "left_anti").join(chain, key)
+    )
+    hang = tops.select(
+        "tree_id", F.col("end").alias("node_id"), F.col("parent_id").alias("new_parent"), (F.col("length") + F.col("way")).alias("new_length"),
+        (F.col("hops") + F.col("steps")).alias("new_hops"), F.lit(True).alias("hung"),
+    )
+    given = (
+        tops.filter(F.col("parent_id").isNotNull() & F.col("adds").isNotNull())
+        .select("tree_id", F.col("parent_id").alias("node_id"), fold.moved(F.col("adds"), F.col("length"), F.col("hops")).alias("v"))
+        .groupBy(*key).agg(fold.merged(F.col("v")).alias("given"))
+    )
+    rest = live.filter("open <> 1").join(hang, key, "left").join(given, key, "left").select(
+        *key,
+        F.when(F.col("hung"), F.col("new_parent")).otherwise(F.col("parent_id")).alias("parent_id"),
+        F.coalesce("new_length", "length").alias("length"), F.coalesce("new_hops", "hops").alias("hops"), "open",
+        _either(fold, F.col("value"), F.col("given")).alias("value"),
+    )
+    return cut_lineage(rest), chain
+
+
+def _named(**fields: Column) -> Column:
+    return F.struct(*[c.alias(n) for n, c in fields.items()])
+
+
+def extremes_fold(topological: bool = False) -> Fold:
+    """Number of leaves, sum of their distances, nearest (first on ties) and farthest (last on ties), largest number of hops."""
+    zero = _named(distance=F.lit(0.0), leaf=F.col("node_id"))
+
+    def moved(v: Column, length: Column, hops: Column) -> Column:
+        step = hops.cast("double") if topological else length
+        return _named(
+            n=v["n"], total=v["total"] + v["n"] * step, hops=v["hops"] + hops,
+            near=_named(distance=v["near"]["distance"] + step, leaf=v["near"]["leaf"]),
+            far=_named(distance=v["far"]["distance"] + step, leaf=v["far"]["leaf"]),
         )
 
-    through = wanted.join(side("a"), ["tree_id", "node_a"]).join(side("b"), ["tree_id", "node_b", "ancestor_id"])
-    hops = F.col("hops_a") + F.col("hops_b")
-    length = F.col("distance_a") + F.col("distance_b")
-    value = F.greatest(hops - 1, F.lit(0)).cast("double") if topological else length
-    return through.groupBy("tree_id", "node_a", "node_b").agg(F.min_by(value, hops).alias("distance"))
-
-
-def leaf_extremes(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Closest leaf (on ties the first in reading order) and farthest leaf (the last) below every node."""
-    below = leaves_under(nodes, pairs)
-    near = F.struct("distance", "leaf_id")
-    far = F.struct("distance", "leaf_id")
-    return below.groupBy(*KEY).agg(
-        F.min_by("leaf_id", near).alias("closest_leaf"),
-        F.min("distance").alias("closest_distance"),
-        F.max_by("leaf_id", far).alias("farthest_leaf"),
-        F.max("distance").alias("farthest_distance"),
+    return Fold(
+        _named(n=F.lit(1).cast("long"), total=F.lit(0.0), hops=F.lit(0), near=zero, far=zero),
+        moved,
+        lambda v: _named(n=F.sum(v["n"]), total=F.sum(v["total"]), hops=F.max(v["hops"]), near=F.min(v["near"]), far=F.max(v["far"])),
+        lambda a, b: _named(
+            n=a["n"] + b["n"], total=a["total"] + b["total"], hops=F.greatest(a["hops"], b["hops"]),
+            near=F.least(a["near"], b["near"]), far=F.greatest(a["far"], b["far"]),
+        ),
     )
 
 
-def farthest_from_leaf(nodes: DataFrame, pairs: DataFrame, start: DataFrame) -> DataFrame:
-    """Farthest other leaf from one chosen node per tree (tree_id, node_id).
+def leaf_extremes(nodes: DataFrame, topological: bool = False) -> DataFrame:
+    """Closest leaf (on ties the first in reading order) and farthest leaf (the last) below every node, and the mean distance.
 
-    The way leads up to some ancestor and down again through a child that is not on the way
-    up; the best over all such children is the answer.
+    Topological distances count branches.
     """
-    extremes = leaf_extremes(nodes, pairs).select(*KEY, "farthest_leaf", "farthest_distance")
-    down = nodes.join(extremes, KEY).select(
-        "tree_id", F.col("node_id").alias("child_id"), F.col("parent_id").alias("ancestor_id"), "farthest_leaf",
-        (F.coalesce("dist", F.lit(0.0)) + F.col("farthest_distance")).alias("down"),
+    return fold_up(nodes, extremes_fold(topological)).select(
+        *KEY,
+        F.col("value.near.leaf").alias("closest_leaf"), F.col("value.near.distance").alias("closest_distance"),
+        F.col("value.far.leaf").alias("farthest_leaf"), F.col("value.far.distance").alias("farthest_distance"),
+        (F.col("value.total") / F.col("value.n")).alias("mean_leaf_distance"), F.col("value.hops").alias("height"),
     )
-    up = start.select(*KEY).join(pairs, KEY)
-    on_the_way = up.select(*KEY, F.col("ancestor_id").alias("child_id"))
-    over = up.join(down, ["tree_id", "ancestor_id"]).join(on_the_way, [*KEY, "child_id"], "left_anti")
-    length = F.col("distance") + F.col("down")
-    best = F.struct(length, -F.col("hops"), -F.col("farthest_leaf"))
-    return over.groupBy(*KEY).agg(
-        F.max_by("farthest_leaf", best).alias("farthest_leaf"), F.max(length).alias("distance")
+
+
+def mean_leaf_distance(nodes: DataFrame) -> DataFrame:
+    return leaf_extremes(nodes).select(*KEY, "mean_leaf_distance")
+
+
+def farthest_node(nodes: DataFrame, topological: bool = False) -> DataFrame:
+    """Farthest leaf from every node in any direction: (tree_id, node_id, farthest, distance).
+
+    From below comes the farthest leaf under the node; from above, per step up, the best sibling branch, which is the parent's best branch or,
+    on the way through that one, its second best. Ties go to what is below, then to the nearest ancestor, then to its first branch.
+    Topological distances count branches below the node, and the nodes in between otherwise.
+    """
+    below = cut_lineage(leaf_extremes(nodes, topological).select(*KEY, "farthest_leaf", "farthest_distance"))
+    step = F.lit(1.0) if topological else _length()
+    branches = nodes.filter(~_is_root()).join(below, KEY).select(
+        "tree_id", "parent_id", "node_id",
+        _named(reach=step + F.col("farthest_distance"), first=-F.col("node_id"), leaf=F.col("farthest_leaf")).alias("branch"),
+    )
+    best = branches.groupBy("tree_id", "parent_id").agg(F.max("branch").alias("best"))
+    second = (
+        branches.join(best, ["tree_id", "parent_id"]).filter(F.col("branch.first") != F.col("best.first"))
+        .groupBy("tree_id", "parent_id").agg(F.max("branch").alias("second"))
+    )
+    sides = nodes.join(best, ["tree_id", "parent_id"], "left").join(second, ["tree_id", "parent_id"], "left")
+    side = F.when(F.col("best.first") == -F.col("node_id"), F.col("second")).otherwise(F.col("best"))
+    onward = F.when(_is_root(), 0.0).otherwise(step)
+    here = F.lit(0.0) if topological else onward  # the first step up is not counted topologically
+    low = F.lit(float("-inf"))
+    own = {"reach": F.coalesce(side["reach"] + here, low), "leaf": side["leaf"], "onward": onward}
+    longer = F.col("above_reach") + F.col("onward") > F.col("reach")
+    above = {
+        "reach": F.when(longer, F.col("above_reach") + F.col("onward")).otherwise(F.col("reach")),
+        "leaf": F.when(longer, F.col("above_leaf")).otherwise(F.col("leaf")),
+        "onward": F.col("onward") + F.col("above_onward"),
+    }
+    up = climb(sides, own, above)
+    over = F.col("reach") > F.col("farthest_distance")
+    return below.join(up, KEY).select(
+        *KEY, F.when(over, F.col("leaf")).otherwise(F.col("farthest_leaf")).alias("farthest"),
+        F.when(over, F.col("reach")).otherwise(F.col("farthest_distance")).alias("distance"),
     )
 
 
-def midpoint_outgroup(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Node above which a tree splits into two halves of equal depth.
+def midpoint_outgroup(nodes: DataFrame) -> DataFrame:
+    """Node above which a tree splits into two halves of equal depth: (tree_id, outgroup).
 
     From the leaf farthest from the root, climb until more than half of the way to the leaf
-    farthest from it is covered.
+    farthest from it is covered; the nodes on that way are those whose range holds the leaf.
     """
-    root = nodes.filter(F.col("parent_id").isNull()).select(*KEY)
-    deepest = leaf_extremes(nodes, pairs).join(root, KEY, "left_semi").select(
-        "tree_id", F.col("farthest_leaf").alias("node_id")
+    roots = nodes.filter(_is_root()).select(*KEY)
+    start = leaf_extremes(nodes).join(roots, KEY, "left_semi").select(
+        "tree_id", F.col("farthest_leaf").alias("leaf"), F.col("farthest_distance").alias("leaf_depth")
+    )
+    across = farthest_node(nodes).withColumnRenamed("node_id", "leaf").join(start, ["tree_id", "leaf"]).select(
+        "tree_id", "leaf", "leaf_depth", (F.col("distance") / 2).alias("half")
     )
-    across = farthest_from_leaf(nodes, pairs, deepest).select("tree_id", (F.col("distance") / 2).alias("half"))
-    own = nodes.select("tree_id", F.col("node_id").alias("ancestor_id"), F.coalesce("dist", F.lit(0.0)).alias("dist"))
-    climb = (
-        deepest.join(pairs, KEY).join(own, ["tree_id", "ancestor_id"]).join(across, "tree_id")
-        .filter(F.col("distance") + F.col("dist") > F.col("half"))
+    rows = nodes.join(intervals(nodes), KEY).join(tree_paths(nodes), KEY)
+    on_the_way = rows.join(across, "tree_id").filter((F.col("node_id") <= F.col("leaf")) & (F.col("leaf") <= F.col("last")))
+    covered = F.col("leaf_depth") - F.col("root_distance") + _length()
+    return on_the_way.filter(covered > F.col("half")).groupBy("tree_id").agg(F.max("node_id").alias("outgroup"))
+
+
+# Common ancestors.
+
+
+def common_ancestor(nodes: DataFrame, asked: DataFrame) -> DataFrame:
+    """``asked`` (tree_id, node_a, node_b, ...) with ``ancestor_id``, by lifting the first of both nodes.
+
+    Level k holds the 2^k-th ancestor of every node that has one. From the highest level down, a node is lifted
+    where it stays outside of the other's ancestors, which a range tells; its parent is the answer then.
+    """
+    ends = cut_lineage(intervals(nodes).join(nodes.select(*KEY, "parent_id"), KEY))
+    level = ends.filter(~_is_root()).select(*KEY, F.col("parent_id").alias("up"))
+    levels = []
+    while True:
+        level, left = cut_measured(level, rows=F.count(F.lit(1)))
+        if not left["rows"]:
+            break
+        levels.append(level)
+        ahead = level.select("tree_id", F.col("node_id").alias("up"), F.col("up").alias("next"))
+        level = level.join(ahead, ["tree_id", "up"]).select(*KEY, F.col("next").alias("up"))
+    first, second = F.least("node_a", "node_b"), F.greatest("node_a", "node_b")
+    state = asked.withColumns({"_at": first, "_to": second})
+    own = ends.select("tree_id", F.col("node_id").alias("_at"), F.col("last").alias("_last"), F.col("parent_id").alias("_parent"))
+    for level in reversed(levels):
+        jump = level.select("tree_id", F.col("node_id").alias("_at"), F.col("up").alias("_up")).join(
+            ends.select("tree_id", F.col("node_id").alias("_up"), F.col("last").alias("_end")), ["tree_id", "_up"]
+        )
+        state = state.join(jump, ["tree_id", "_at"], "left").withColumn(
+            "_at", F.when(F.col("_end") < F.col("_to"), F.col("_up")).otherwise(F.col("_at"))
+        ).drop("_up", "_end")
+    return state.join(own, ["tree_id", "_at"]).withColumn(
+        "ancestor_id", F.when(F.col("_last") >= F.col("_to"), F.col("_at")).otherwise(F.col("_parent"))
+    ).drop("_at", "_to", "_last", "_parent")
+
+
+def mrca(nodes: DataFrame, members: DataFrame) -> DataFrame:
+    """Most recent common ancestor per (tree, set): that of the set's first and last member. ``members`` has tree_id, set_id, node_id."""
+    ends = members.groupBy("tree_id", "set_id").agg(F.min("node_id").alias("node_a"), F.max("node_id").alias("node_b"))
+    return common_ancestor(nodes, ends).select("tree_id", "set_id", "ancestor_id")
+
+
+def pair_distance(nodes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Distance of the asked node pairs (tree_id, node_a, node_b), from the three root distances, and the nodes strictly between the two."""
+    paths = cut_lineage(tree_paths(nodes))
+
+    def side(name: str) -> DataFrame:
+        return paths.select("tree_id", F.col("node_id").alias(name), F.col("depth").alias(f"{name}_hops"), F.col("root_distance").alias(f"{name}_way"))
+
+    through = common_ancestor(nodes, wanted.select("tree_id", "node_a", "node_b"))
+    for name in ("node_a", "node_b", "ancestor_id"):
+        through = through.join(side(name), ["tree_id", name])
+    hops = F.col("node_a_hops") + F.col("node_b_hops") - 2 * F.col("ancestor_id_hops")
+    length = F.col("node_a_way") + F.col("node_b_way") - 2 * F.col("ancestor_id_way")
+    return through.select(
+        "tree_id", "node_a", "node_b", length.alias("distance"), F.greatest(hops - 1, F.lit(0)).cast("double").alias("nodes_between")
     )
-    return climb.groupBy("tree_id").agg(F.min_by("ancestor_id", "hops").alias("outgroup"))
 
 
-def mean_leaf_distance(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    return leaves_under(nodes, pairs).groupBy(*KEY).agg(F.avg("distance").alias("mean_leaf_distance"))
+# Trees of equal depth.
 
 
-def ultrametric(nodes: DataFrame, pairs: DataFrame, root_age: float | None = None) -> DataFrame:
+def ultrametric(nodes: DataFrame, root_age: float | None = None) -> DataFrame:
     """Node table with branches stretched so that all leaves end at the mean root-leaf distance.
 
     Going down, a branch y with mean distance z to its leaves gets (d - x) * y / (y + z), where
     x is the new depth of the parent and d the mean of the root. The height d - x left below a
-    node is d times the product of z / (y + z) along its path, so one aggregate over the
-    ancestor pairs replaces the walk from the root.
+    node is d times the product of z / (y + z) along its path.
     """
     not_binary = (
-        nodes.filter(F.col("parent_id").isNotNull())
+        nodes.filter(~_is_root())
         .join(
-            nodes.filter(F.col("parent_id").isNull()).select("tree_id", F.col("node_id").alias("parent_id")),
+            nodes.filter(_is_root()).select("tree_id", F.col("node_id").alias("parent_id")),
             ["tree_id", "parent_id"], "left_semi",
         )
         .groupBy("tree_id").count().filter("count <> 2").limit(1).collect()
     )
     if not_binary:
         raise ValueError(f"tree {not_binary[0]['tree_id']} is not rooted: its root needs two children")
-    y = F.coalesce("dist", F.lit(0.0))
     z = F.when(F.col("is_leaf"), F.lit(0.0)).otherwise(F.col("mean_leaf_distance"))
-    branches = nodes.join(mean_leaf_distance(nodes, pairs), KEY, "left").withColumns({"y": y, "z": z})
-    factor = F.when(F.col("parent_id").isNull() | (F.col("y") + F.col("z") == 0), F.lit(1.0)).otherwise(
-        F.col("z") / F.nullif(F.col("y") + F.col("z"), F.lit(0.0))
-    )
-    factors = branches.select("tree_id", F.col("node_id").alias("ancestor_id"), factor.alias("factor"))
-    left = pairs.join(factors, ["tree_id", "ancestor_id"]).groupBy(*KEY).agg(F.product("factor").alias("left"))
-    above = left.select("tree_id", F.col("node_id").alias("parent_id"), F.col("left").alias("left_above"))
-    top = branches.filter(F.col("parent_id").isNull()).select("tree_id", F.col("mean_leaf_distance").alias("d"))
-    share = F.when(F.col("y") + F.col("z") == 0, F.lit(0.0)).otherwise(
-        F.col("y") / F.nullif(F.col("y") + F.col("z"), F.lit(0.0))
-    )
+    branches = cut_lineage(nodes.join(mean_leaf_distance(nodes), KEY).withColumns({"y": _length(), "z": z}))
+    whole = F.nullif(F.col("y") + F.col("z"), F.lit(0.0))
+    share = F.coalesce(F.col("y") / whole, F.lit(0.0))
+    factor = F.when(_is_root(), F.lit(1.0)).otherwise(F.coalesce(F.col("z") / whole, F.lit(1.0)))
+    top = branches.filter(_is_root()).select("tree_id", F.col("mean_leaf_distance").alias("d"))
     scale = F.lit(1.0) if root_age is None else F.lit(root_age) / F.nullif(F.col("d"), F.lit(0.0))
-    new = F.when(F.col("parent_id").isNull(), F.lit(0.0)).otherwise(F.col("d") * F.col("left_above") * share * scale)
-    return (
-        branches.join(above, ["tree_id", "parent_id"], "left").join(top, "tree_id")
-        .withColumn("dist", new).select(*NODE_COLUMNS)
-    )
+    new = F.when(_is_root(), F.lit(0.0)).otherwise(F.col("d") * F.col("left_above") * share * scale)
+    return _left_above(branches, factor).join(top, "tree_id").withColumn("dist", new).select(*NODE_COLUMNS)
 
 
-def prune(nodes: DataFrame, pairs: DataFrame, keep: DataFrame, preserve_lengths: bool = False) -> DataFrame:
+def _left_above(branches: DataFrame, factor: Column) -> DataFrame:
+    """The rows with ``left_above``: the product of the factors from the root down to each node's parent."""
+    left = climb(branches, {"left": factor}, {"left": F.col("left") * F.col("above_left")})
+    above = left.select("tree_id", F.col("node_id").alias("parent_id"), F.col("left").alias("left_above"))
+    return branches.join(above, ["tree_id", "parent_id"], "left")
+
+
+def ultrametric_by_height(nodes: DataFrame, tree_length: float, strategy: str = "balanced") -> DataFrame:
+    """Node table whose leaves all end at ``tree_length``, by the numbers of levels instead of the branch lengths.
+
+    balanced: each branch takes an equal part of the length left, among the levels left below it. fixed: inner branches are all
+    one step of the root's levels, leaves take the rest. A root keeps its length.
+    """
+    if strategy not in ("balanced", "fixed"):
+        raise ValueError(f"unknown strategy {strategy}")
+    rows = cut_lineage(nodes.join(leaf_extremes(nodes).select(*KEY, "height"), KEY).withColumn("levels", F.col("height") + 1))
+    if strategy == "balanced":
+        factor = F.when(_is_root(), F.lit(1.0)).otherwise(1 - 1 / F.col("levels"))
+        placed = _left_above(rows, factor)
+        new = F.lit(float(tree_length)) * F.col("left_above") / F.col("levels")
+    else:
+        top = rows.filter(_is_root()).select("tree_id", (F.lit(float(tree_length)) / F.col("levels")).alias("step"))
+        placed = rows.join(tree_paths(nodes), KEY).join(top, "tree_id")
+        new = F.when(F.col("is_leaf"), F.lit(float(tree_length)) - (F.col("depth") - 1) * F.col("step")).otherwise(F.col("step"))
+    return placed.withColumn("dist", F.when(_is_root(), F.col("dist")).otherwise(new)).select(*NODE_COLUMNS)
+
+
+# Parts of trees.
+
+
+def prune(nodes: DataFrame, keep: DataFrame, preserve_lengths: bool = False) -> DataFrame:
     """Node table of the kept leaves (tree_id, node_id) and the nodes where they branch.
 
     A node with a single kept branch below it disappears; its length is added to the branch
-    below it when lengths are preserved.
+    below it when lengths are preserved. The new parent is the nearest node above that stays.
     """
-    tips = keep.select(*KEY).distinct()
-    used = tips.join(pairs, KEY).select("tree_id", F.col("ancestor_id").alias("node_id")).distinct()
+    tips = keep.select(*KEY).distinct().withColumn("tip", F.lit(True))
+    flagged = nodes.join(tips, KEY, "left").withColumn("tip", F.col("tip").isNotNull())
+    used = marked_under(flagged, F.col("tip")).filter("n_marked > 0").select(*KEY)
     branching = (
-        nodes.join(used, KEY, "left_semi").filter(F.col("parent_id").isNotNull())
+        nodes.join(used, KEY, "left_semi").filter(~_is_root())
         .groupBy("tree_id", "parent_id").agg(F.count(F.lit(1)).alias("kept_children"))
         .filter("kept_children > 1").select("tree_id", F.col("parent_id").alias("node_id"))
     )
-    stay = tips.unionByName(branching).distinct()
-    up = (
-        stay.join(pairs.filter("hops > 0"), KEY)
-        .join(stay.withColumnRenamed("node_id", "ancestor_id"), ["tree_id", "ancestor_id"], "left_semi")
-        .groupBy(*KEY)
-        .agg(F.min_by("ancestor_id", "hops").alias("new_parent"), F.min_by("distance", "hops").alias("path"))
-    )
+    stay = cut_lineage(flagged.filter("tip").select(*KEY).unionByName(branching).distinct())
+    up = nearest_above(nodes, stay).select(*KEY, F.col("up").alias("new_parent"), F.col("distance").alias("path"))
     length = F.when(F.col("new_parent").isNull(), F.lit(0.0)).otherwise(
         F.col("path") if preserve_lengths else F.col("dist")
     )
-    return nodes.join(stay, KEY, "left_semi").join(up, KEY, "left").select(
+    return nodes.join(stay, KEY, "left_semi").join(up, KEY).select(
         "tree_id", "node_id", F.col("new_parent").alias("parent_id"), "name", length.alias("dist"), "support", "is_leaf"
     )
 
 
-def keep_tips(nodes: DataFrame, pairs: DataFrame, names: DataFrame) -> DataFrame:
+def keep_tips(nodes: DataFrame, names: DataFrame) -> DataFrame:
     """Prune to leaves by name (one ``name`` column), keeping path lengths."""
     tips = nodes.filter("is_leaf").join(names.select("name").distinct(), "name", "left_semi")
-    return prune(nodes, pairs, tips, preserve_lengths=True)
-
+    return prune(nodes, tips, preserve_lengths=True)
 
-def _clade(name: Column) -> list[Column]:
-    """Order-free signature of a set of names: size and two independent hash folds."""
-    return [
-        F.count(F.lit(1)).alias("size"),
-        F.bit_xor(F.xxhash64(name)).alias("fold"),
-        F.sum(F.xxhash64(name, F.lit("clade")).cast("decimal(20,0)")).alias("fold_sum"),
-    ]
 
+def tree_splits(nodes: DataFrame, names: DataFrame | None = None) -> DataFrame:
+    """Distinct clades of two or more leaves per tree, as order-free signatures instead of name lists.
 
-def tree_splits(nodes: DataFrame, pairs: DataFrame, names: DataFrame | None = None) -> DataFrame:
-    """Distinct clades of two or more leaves per tree, as signatures instead of name lists.
-
-    With ``names`` (tree_id, name) only those leaves count.
+    A signature is the number of names, the first and the last one and two independent hash folds.
+    With ``names`` (tree_id, name) only those leaves count; clades without any are left out.
     """
-    below = leaves_under(nodes, pairs)
-    single = below.groupBy(*KEY).agg(F.count(F.lit(1)).alias("all_leaves")).filter("all_leaves > 1")
-    inner = below.join(single.select(*KEY), KEY, "left_semi")
+    counted = nodes.withColumn("counts", F.lit(True))
     if names is not None:
-        inner = inner.join(names.select("tree_id", "name").distinct(), ["tree_id", "name"], "left_semi")
-    return inner.groupBy(*KEY).agg(*_clade(F.col("name"))).select("tree_id", "size", "fold", "fold_sum").distinct()
+        chosen = names.select("tree_id", "name").distinct().withColumn("counts", F.lit(True))
+        counted = nodes.join(chosen, ["tree_id", "name"], "left")
+    wide = F.xxhash64("name", F.lit("clade")).cast("decimal(38,0)")
+    here = F.col("counts").isNotNull()
+    leaf = _named(
+        leaves=F.lit(1).cast("long"), size=here.cast("long"), fold=F.when(here, F.xxhash64("name")).otherwise(0),
+        fold_sum=F.when(here, wide).otherwise(0).cast("decimal(38,0)"), low=F.when(here, F.col("name")), high=F.when(here, F.col("name")),
+    )
+    fold = Fold(
+        leaf,
+        lambda v, length, hops: v,
+        lambda v: _named(
+            leaves=F.sum(v["leaves"]), size=F.sum(v["size"]), fold=F.bit_xor(v["fold"]), fold_sum=F.sum(v["fold_sum"]).cast("decimal(38,0)"),
+            low=F.min(v["low"]), high=F.max(v["high"]),
+        ),
+        lambda a, b: _named(
+            leaves=a["leaves"] + b["leaves"], size=a["size"] + b["size"], fold=a["fold"].bitwiseXOR(b["fold"]),
+            fold_sum=(a["fold_sum"] + b["fold_sum"]).cast("decimal(38,0)"), low=F.least(a["low"], b["low"]), high=F.greatest(a["high"], b["high"]),
+        ),
+    )
+    return fold_up(counted, fold).filter("value.leaves > 1 and value.size > 0").select(
+        "tree_id", "value.size", "value.fold", "value.fold_sum", "value.low", "value.high"
+    ).distinct()
 
 
-def robinson_foulds(
-    nodes_a: DataFrame, pairs_a: DataFrame, nodes_b: DataFrame, pairs_b: DataFrame
-) -> DataFrame:
+def robinson_foulds(nodes_a: DataFrame, nodes_b: DataFrame) -> DataFrame:
     """Symmetric clade distance of trees with the same id, over their common leaf names.
 
     Trees with fewer than two common names are left out.
@@ -288,9 +555,9 @@ def robinson_foulds(
 
     common = leaf_names(nodes_a).join(leaf_names(nodes_b), ["tree_id", "name"])
     enough = common.groupBy("tree_id").agg(F.count(F.lit(1)).alias("common_names")).filter("common_names >= 2")
-    key = ["tree_id", "size", "fold", "fold_sum"]
-    a = tree_splits(nodes_a, pairs_a, common).withColumn("in_a", F.lit(1))
-    b = tree_splits(nodes_b, pairs_b, common).withColumn("in_b", F.lit(1))
+    key = ["tree_id", "size", "fold", "fold_sum", "low", "high"]
+    a = tree_splits(nodes_a, common).withColumn("in_a", F.lit(1))
+    b = tree_splits(nodes_b, common).withColumn("in_b", F.lit(1))
     both = a.join(b, key, "full_outer").groupBy("tree_id").agg(
         F.count_if(F.col("in_a").isNull() | F.col("in_b").isNull()).alias("rf"),
         (F.count("in_a") + F.count("in_b")).alias("max_rf"),
@@ -298,50 +565,55 @@ def robinson_foulds(
     return enough.join(both, "tree_id")
 
 
-def monophyly(nodes: DataFrame, pairs: DataFrame, targets: DataFrame) -> DataFrame:
-    """Whether the target leaves (tree_id, name) of a tree form a mono-, para- or polyphyletic set."""
-    leaves = nodes.filter("is_leaf").select(*KEY, "name")
-    flagged = leaves.join(
-        targets.select("tree_id", "name").distinct().withColumn("target", F.lit(True)), ["tree_id", "name"], "left"
-    ).withColumn("target", F.coalesce("target", F.lit(False)))
+def _targeted(nodes: DataFrame, targets: DataFrame) -> DataFrame:
+    wanted = targets.select("tree_id", "name").distinct().withColumn("target", F.lit(True))
+    return nodes.join(wanted, ["tree_id", "name"], "left").withColumn("target", F.col("target").isNotNull())
 
-    def common(leaf_rows: DataFrame) -> DataFrame:
-        members = leaf_rows.select("tree_id", F.lit("s").alias("set_id"), "node_id")
-        return mrca(pairs, members).select("tree_id", F.col("ancestor_id"))
 
-    def below(top: DataFrame) -> DataFrame:
-        inside = pairs.join(top, ["tree_id", "ancestor_id"], "left_semi").select(*KEY)
-        return flagged.join(inside, KEY, "left_semi")
+def monophyly(nodes: DataFrame, targets: DataFrame) -> DataFrame:
+    """Whether the target leaves (tree_id, name) of a tree form a mono-, para- or polyphyletic set.
 
-    clade = below(common(flagged.filter("target")))
-    foreign = clade.filter(~F.col("target"))
-    mixed = below(common(foreign)).groupBy("tree_id").agg(F.bool_or("target").alias("mixed"))
-    sizes = clade.groupBy("tree_id").agg(F.count_if("target").alias("n_targets"), F.count_if(~F.col("target")).alias("n_foreign"))
+    The smallest clade of a set is the deepest node below which all of the set is counted. Targets are
+    monophyletic if their clade holds nothing else, polyphyletic if targets also lie in the clade of the others in it.
+    """
+    counts = cut_lineage(marked_under(_targeted(nodes, targets), F.col("target")))
+    whole = counts.filter("n_marked > 0").groupBy("tree_id").agg(F.max("n_marked").alias("n_targets"))
+    clade = counts.join(whole, "tree_id").filter("n_marked = n_targets").groupBy("tree_id", "n_targets").agg(
+        F.max(_named(node_id=F.col("node_id"), last=F.col("last"), foreign=F.col("n_leaves") - F.col("n_marked"))).alias("top")
+    ).select("tree_id", "n_targets", F.col("top.node_id").alias("top"), F.col("top.last").alias("end"), F.col("top.foreign").alias("n_foreign"))
+    # The clade of the foreign leaves among the nodes of the clade.
+    inside = counts.join(clade, "tree_id").filter(
+        (F.col("node_id") >= F.col("top")) & (F.col("node_id") <= F.col("end"))
+        & (F.col("n_foreign") > 0) & (F.col("n_leaves") - F.col("n_marked") == F.col("n_foreign"))
+    )
+    others = inside.groupBy("tree_id").agg(F.max(_named(node_id=F.col("node_id"), mixed=F.col("n_marked") > 0))["mixed"].alias("mixed"))
     verdict = (
         F.when(F.col("n_foreign") == 0, "monophyletic").when(F.col("mixed"), "polyphyletic").otherwise("paraphyletic")
     )
-    return sizes.join(mixed, "tree_id", "left").select("tree_id", "n_targets", "n_foreign", verdict.alias("verdict"))
-
-
-def monophyletic_clades(nodes: DataFrame, pairs: DataFrame, targets: DataFrame) -> DataFrame:
-    """Highest nodes whose leaf values are exactly the whole target set of their tree."""
-    wanted = targets.select("tree_id", "name").distinct()
-    size = wanted.groupBy("tree_id").agg(F.count(F.lit(1)).alias("n_wanted"))
-    below = leaves_under(nodes, pairs).join(wanted.withColumn("target", F.lit(1)), ["tree_id", "name"], "left")
-    matching = (
-        below.groupBy(*KEY)
-        .agg(F.count_distinct(F.when(F.col("target") == 1, F.col("name"))).alias("n_found"),
-             F.count_if(F.col("target").isNull()).alias("n_foreign"))
-        .join(size, "tree_id")
-        .filter("n_foreign = 0 and n_found = n_wanted")
-        .select(*KEY)
+    return clade.join(others, "tree_id", "left").select("tree_id", "n_targets", "n_foreign", verdict.alias("verdict"))
+
+
+def monophyletic_clades(nodes: DataFrame, targets: DataFrame) -> DataFrame:
+    """Highest nodes whose leaf values are exactly the whole target set of their tree: (tree_id, node_id).
+
+    Such a node is the highest of a pure branch, so each leaf belongs to at most one candidate, found by climbing to it.
+    """
+    flagged = cut_lineage(_targeted(nodes, targets))
+    counts = marked_under(flagged, F.col("target"))
+    pure = cut_lineage(counts.filter("n_marked = n_leaves").select(*KEY))
+    parents = pure.select("tree_id", F.col("node_id").alias("parent_id")).withColumn("pure_parent", F.lit(True))
+    tops = cut_lineage(
+        nodes.join(pure, KEY, "left_semi").join(parents, ["tree_id", "parent_id"], "left").filter("pure_parent is null").select(*KEY)
     )
-    covered = (
-        matching.join(pairs.filter("hops > 0"), KEY)
-        .join(matching.withColumnRenamed("node_id", "ancestor_id"), ["tree_id", "ancestor_id"], "left_semi")
-        .select(*KEY)
+    size = targets.select("tree_id", "name").distinct().groupBy("tree_id").agg(F.count(F.lit(1)).alias("n_wanted"))
+    climbed = nearest_above(flagged, tops).select(*KEY, "up")
+    owned = (
+        flagged.filter("is_leaf and target").join(climbed, KEY)
+        .join(tops.withColumn("own", F.col("node_id")), KEY, "left")
+        .select("tree_id", F.coalesce("own", "up").alias("node_id"), "name").filter(F.col("node_id").isNotNull())
     )
-    return matching.join(covered, KEY, "left_anti")
+    found = owned.groupBy(*KEY).agg(F.count_distinct("name").alias("n_found"))
+    return found.join(size, "tree_id").filter("n_found = n_wanted").select(*KEY)
 
 
 def relabel_tips(nodes: DataFrame, id_map: DataFrame, fix_negative: bool = False, label: str | None = None) -> DataFrame:
@@ -351,16 +623,19 @@ def relabel_tips(nodes: DataFrame, id_map: DataFrame, fix_negative: bool = False
         "name", F.when(F.col("is_leaf"), F.col("new_name")).otherwise(F.col("name"))
     ).drop("new_name")
     if fix_negative:
-        inner = nodes.filter(F.col("parent_id").isNotNull())
+        inner = nodes.filter(~_is_root())
         lengths = inner.groupBy("tree_id").agg((F.sum("dist") * NEGATIVE_BRANCH_SHARE).alias("least"))
         out = out.join(lengths, "tree_id", "left").withColumn(
             "dist", F.when(F.col("dist") < 0, F.col("least")).otherwise(F.col("dist"))
         ).drop("least")
     if label is not None:
-        # Level by level, and in reading order within a level.
-        inner = out.filter(~F.col("is_leaf") & F.col("parent_id").isNotNull()).join(tree_paths(nodes), KEY).select(*KEY, "depth")
-        number = F.row_number().over(Window.partitionBy("tree_id").orderBy("depth", "node_id"))
-        numbered = inner.withColumn("label", F.concat(F.lit(label), number.cast("string"))).drop("depth")
+        # Level by level, and in reading order within a level: the nodes of the levels above, then those before.
+        inner = nodes.filter(~F.col("is_leaf") & ~_is_root()).select(*KEY).join(tree_paths(nodes).select(*KEY, "depth"), KEY)
+        levels = running_total(
+            inner.groupBy("tree_id", "depth").agg(F.count(F.lit(1)).alias("n")), ["tree_id"], "depth", F.col("n"), "upto"
+        ).select("tree_id", "depth", (F.col("upto") - F.col("n")).alias("levels_before"))
+        placed = running_total(inner, ["tree_id", "depth"], "node_id", F.lit(1), "place").join(levels, ["tree_id", "depth"])
+        numbered = placed.select(*KEY, F.concat(F.lit(label), (F.col("levels_before") + F.col("place")).cast("string")).alias("label"))
         out = out.join(numbered, KEY, "left").withColumn("name", F.coalesce("label", "name")).drop("label")
     return out.select(*NODE_COLUMNS)
 
@@ -370,5 +645,3 @@ def balanced(trees: DataFrame) -> Column:
     opened = F.length("newick") - F.length(F.translate("newick", "(", ""))
     closed = F.length("newick") - F.length(F.translate("newick", ")", ""))
     return opened == closed
-
-

@@ -237,10 +237,7 @@ class Domain:
         return self.trees_by_status("F")
 
     def trees_by_status(self, status: str) -> DataFrame:
-        """One Newick text per family: with this status or not, then species, then gene.
-
-        Families with genes on one side only have no binary root and no tree.
-        """
+        """One Newick text per family: with this status or not, then species, then gene."""
         leaves = self.genes.filter(F.col("priority") != "4-NOT SPECIFIED").select(
             "hog", (F.col("status") == status).alias("side"), "species",
             _cents("price").alias("length"),
@@ -258,8 +255,7 @@ class Domain:
         sides = clade(species, ["hog", "side"], "species_clade", "side_clade")
         return sides.groupBy("hog").agg(
             F.concat(F.lit("("), F.array_join(F.sort_array(F.collect_list("side_clade")), ","), F.lit(");")).alias("newick"),
-            F.count(F.lit(1)).alias("n"),
-        ).filter("n = 2").select(F.col("hog").alias("tree_id"), "newick")
+        ).select(F.col("hog").alias("tree_id"), "newick")
 
     @cached_property
     def edges(self) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 #: Adaptive execution picks partition counts, join strategies and skew splits at run time.
 RUNTIME_CONF = {
@@ -59,3 +59,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = f"{folder}/kinfold/rounds/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def cut_measured(df: DataFrame, **measures: Column) -> tuple[DataFrame, dict[str, int]]:
+    """``cut_lineage`` and aggregates of the same rows, taken while they are written, so that a loop needs no second job to see its end."""
+    seen = Observation()
+    out = cut_lineage(df.observe(seen, *[c.alias(n) for n, c in measures.items()]))
+    return out, seen.get

@@ -72,49 +72,48 @@ def test_overlaps_against_brute_force(spark):
 
 
 def forest_of(spark, **trees):
-    nodes = parse_newick(spark.createDataFrame(list(trees.items()), "tree_id string, newick string"), 1)
-    return nodes, forest.ancestors(nodes)
+    return parse_newick(spark.createDataFrame(list(trees.items()), "tree_id string, newick string"), 1)
 
 
 def test_paths_and_extremes(spark):
-    nodes, pairs = forest_of(spark, t="((A:1,B:2)X:1,((C:5,D:1)Y:1,E:1)Z:2)R;")
+    nodes = forest_of(spark, t="((A:1,B:2)X:1,((C:5,D:1)Y:1,E:1)Z:2)R;")
     by_name = {r.name: r.node_id for r in nodes.collect()}
     paths = {r.node_id: (r.depth, r.root_distance) for r in forest.tree_paths(nodes).collect()}
     assert paths[by_name["C"]] == (3, 8.0) and paths[by_name["R"]] == (0, 0.0)
-    ext = {r.node_id: r for r in forest.leaf_extremes(nodes, pairs).collect()}
+    ext = {r.node_id: r for r in forest.leaf_extremes(nodes).collect()}
     assert ext[by_name["R"]].closest_leaf == by_name["A"] and ext[by_name["R"]].farthest_leaf == by_name["C"]
     wanted = spark.createDataFrame([("t", by_name["A"], by_name["C"]), ("t", by_name["C"], by_name["D"])], "tree_id string, node_a int, node_b int")
-    assert {r.node_a: r.distance for r in forest.pair_distance(pairs, wanted).collect()} == {by_name["A"]: 10.0, by_name["C"]: 6.0}
-    assert {r.distance for r in forest.pair_distance(pairs, wanted, topological=True).collect()} == {4.0, 1.0}
-    far = forest.farthest_from_leaf(nodes, pairs, spark.createDataFrame([("t", by_name["C"])], "tree_id string, node_id int")).first()
-    assert (far.farthest_leaf, far.distance) == (by_name["B"], 11.0)
-    assert forest.midpoint_outgroup(nodes, pairs).first().outgroup == by_name["Y"]
+    assert {r.node_a: r.distance for r in forest.pair_distance(nodes, wanted).collect()} == {by_name["A"]: 10.0, by_name["C"]: 6.0}
+    assert {r.nodes_between for r in forest.pair_distance(nodes, wanted).collect()} == {4.0, 1.0}
+    far = {r.node_id: (r.farthest, r.distance) for r in forest.farthest_node(nodes).collect()}
+    assert far[by_name["C"]] == (by_name["B"], 11.0)
+    assert forest.midpoint_outgroup(nodes).first().outgroup == by_name["Y"]
 
 
 def test_ultrametric(spark):
-    nodes, pairs = forest_of(spark, t="((A:1,B:3)X:2,(C:4,D:4)Y:2)R;")
-    flat = forest.ultrametric(nodes, pairs)
+    nodes = forest_of(spark, t="((A:1,B:3)X:2,(C:4,D:4)Y:2)R;")
+    flat = forest.ultrametric(nodes)
     depth = forest.tree_paths(flat).join(nodes.filter("is_leaf"), forest.KEY)
     assert [r.root_distance for r in depth.collect()] == pytest.approx([5.0] * 4)
-    old = forest.tree_paths(forest.ultrametric(nodes, pairs, root_age=10.0)).join(nodes.filter("is_leaf"), forest.KEY)
+    old = forest.tree_paths(forest.ultrametric(nodes, root_age=10.0)).join(nodes.filter("is_leaf"), forest.KEY)
     assert [r.root_distance for r in old.collect()] == pytest.approx([10.0] * 4)
-    three, p3 = forest_of(spark, t="(A:1,B:3,C:2);")
+    three = forest_of(spark, t="(A:1,B:3,C:2);")
     with pytest.raises(ValueError, match="rooted"):
-        forest.ultrametric(three, p3)
+        forest.ultrametric(three)
 
 
 def test_prune_splits_and_monophyly(spark):
-    nodes, pairs = forest_of(spark, t="((A:1,B:2)X:1,((C:5,D:1)Y:1,E:1)Z:2)R;", u="((A:1,C:1):1,((B:1,D:1):1,E:1):1);")
+    nodes = forest_of(spark, t="((A:1,B:2)X:1,((C:5,D:1)Y:1,E:1)Z:2)R;", u="((A:1,C:1):1,((B:1,D:1):1,E:1):1);")
     names = spark.createDataFrame([("A",), ("C",), ("D",)], "name string")
-    kept = {r.name: r.dist for r in forest.keep_tips(nodes, pairs, names).filter("tree_id = 't'").collect()}
+    kept = {r.name: r.dist for r in forest.keep_tips(nodes, names).filter("tree_id = 't'").collect()}
     assert kept == {"R": 0.0, "A": 2.0, "Y": 3.0, "C": 5.0, "D": 1.0}
     t, u = nodes.filter("tree_id = 't'"), nodes.filter("tree_id = 'u'").selectExpr("'t' tree_id", "node_id", "parent_id", "name", "dist", "support", "is_leaf")
-    rf = forest.robinson_foulds(t, forest.ancestors(t), u, forest.ancestors(u)).first()
+    rf = forest.robinson_foulds(t, u).first()
     assert (rf.common_names, rf.rf, rf.max_rf) == (5, 6, 8)
 
     def verdict(*leaves):
         targets = spark.createDataFrame([("t", n) for n in leaves], "tree_id string, name string")
-        return forest.monophyly(t, forest.ancestors(t), targets).first().verdict
+        return forest.monophyly(t, targets).first().verdict
 
     assert verdict("C", "D") == "monophyletic"
     assert verdict("C", "E") == "paraphyletic"
@@ -122,21 +121,21 @@ def test_prune_splits_and_monophyly(spark):
 
 
 def test_relabel(spark):
-    nodes, _ = forest_of(spark, t="((a:1,b:-2)x:1,c:4)r;")
+    nodes = forest_of(spark, t="((a:1,b:-2)x:1,c:4)r;")
     ids = spark.createDataFrame([(n, n.upper()) for n in "abc"], "seqid string, name string")
     rows = {r.name: r.dist for r in forest.relabel_tips(nodes, ids, fix_negative=True, label="N").collect()}
     assert rows["B"] == pytest.approx(4e-6) and rows["N1"] == 1.0 and set(rows) == {"A", "B", "C", "N1", "r"}
 
 
 def test_inner_labels_count_by_level_and_ties_take_the_last_leaf(spark):
-    nodes, pairs = forest_of(spark, t="((A:1,(B:1,C:1)u:1)v:1,(D:1,E:1)w:1)r;")
+    nodes = forest_of(spark, t="((A:1,(B:1,C:1)u:1)v:1,(D:1,E:1)w:1)r;")
     ids = spark.createDataFrame([(n, n) for n in "ABCDE"], "seqid string, name string")
     before = {r.node_id: r.name for r in nodes.collect()}
     after = {before[r.node_id]: r.name for r in forest.relabel_tips(nodes, ids, label="N").collect()}
     assert (after["v"], after["w"], after["u"]) == ("N1", "N2", "N3")
-    nodes, pairs = forest_of(spark, t="((A:1,B:2)X:1,((C:5,D:5)Y:1,E:1)Z:1)R;")
+    nodes = forest_of(spark, t="((A:1,B:2)X:1,((C:5,D:5)Y:1,E:1)Z:1)R;")
     names = {r.node_id: r.name for r in nodes.collect()}
-    top = {r.node_id: r for r in forest.leaf_extremes(nodes, pairs).collect()}
+    top = {r.node_id: r for r in forest.leaf_extremes(nodes).collect()}
     root = next(k for k, v in names.items() if v == "R")
     assert names[top[root].farthest_leaf] == "D" and names[top[root].closest_leaf] == "A"
 

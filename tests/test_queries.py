@@ -27,7 +27,7 @@ def test_query_equals_sql(spark, con, name):
 
 
 def test_every_query_without_sql_is_known():
-    assert set(catalog.QUERIES) - set(ORACLES) == {"de_test", "midpoint_outgroup", "mcl_cluster"}
+    assert set(catalog.QUERIES) - set(ORACLES) == {"de_test", "mcl_cluster"}
     assert set(catalog.QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
 
