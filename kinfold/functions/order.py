@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kinfold.session import cut_lineage, cut_measured
+
 _SLOTS = 1024  # slices per power of two
 _TIE_SLOTS = 32  # the same for the second key of an order, which only has to spread ties
 _LAST = 1 << 40  # bucket of a missing value, behind all others
@@ -101,13 +103,30 @@ def exact_median(df: DataFrame, by: Sequence[str], value: str, out: str) -> Data
     return middle.groupBy(*by).agg(((F.min(value) + F.max(value)) / 2).alias(out))
 
 
-def full_rank(df: DataFrame, by: Sequence[str], first: str, second: str, order: Sequence[Column], rank: str = "rank") -> DataFrame:
+def full_rank(
+    df: DataFrame, by: Sequence[str], first: str, second: str, order: Sequence[Column], rank: str = "rank", heavy: int = 1 << 20
+) -> DataFrame:
     """Row number per group over ``order``: ascending ``first``, then descending ``second``, then the rest.
 
-    Missing values of both come last, whatever null order ``order`` names for the rest. Rows tied in
-    ``first`` are split by ``second``, so that a tie does not have to fit one task.
+    Missing values of both come last, whatever null order ``order`` names for the rest. Groups of up to ``heavy`` rows are
+    sorted as they are; larger ones are cut by ``first``, and rows tied in it by ``second``, so that neither has to fit one task.
     """
     by = list(by)
+    by_value = [F.col(first).asc_nulls_last(), F.col(second).desc_nulls_last(), *order]
+    rows = cut_lineage(df)
+    sizes = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > heavy).select(*by)
+    large, found = cut_measured(sizes, rows=F.count(F.lit(1)))
+    if not found["rows"]:
+        return rows.withColumn(rank, F.row_number().over(Window.partitionBy(*by).orderBy(*by_value)))
+    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in by]
+    light = rows.alias("l").join(large.alias("r"), same, "left_anti")
+    return light.withColumn(rank, F.row_number().over(Window.partitionBy(*by).orderBy(*by_value))).unionByName(
+        _cut_rank(rows.alias("l").join(large.alias("r"), same, "left_semi"), by, first, second, order, rank)
+    )
+
+
+def _cut_rank(df: DataFrame, by: list[str], first: str, second: str, order: Sequence[Column], rank: str) -> DataFrame:
+    """full_rank of groups that are too large to be sorted in one task."""
     missing = F.lit(_LAST).cast("long")
     cut = df.withColumn("_b1", F.coalesce(value_bucket(F.col(first)), missing)).withColumn(
         "_b2", F.coalesce(-value_bucket(F.col(second), _TIE_SLOTS), missing)

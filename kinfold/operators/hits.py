@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from kinfold.functions.order import full_rank, top_n
 from kinfold.operators.expression import SINGLETON
+from kinfold.session import cut_lineage
 
 GROUP = ["hypothesis", "hog"]
 EVALUE_LIMIT = 1e-3  # fixed value: e-value cut-off of the search step
@@ -53,24 +54,27 @@ def _hit_key(*more: Column) -> Column:
     )
 
 
-def hits_touching(named: DataFrame, members: DataFrame) -> DataFrame:
-    """Hits whose query or subject belongs to a family: one row per (hypothesis, hog, hit).
+def hits_touching(hits: DataFrame, id_map: DataFrame, members: DataFrame) -> DataFrame:
+    """Hits whose query or subject belongs to a family, with both names: one row per (hypothesis, hog, hit).
 
-    ``members`` has hypothesis, hog and gene. Both ends of a hit meet the members in one
-    equi-join instead of an OR condition. A hit found by its subject is dropped when its query
+    ``members`` has hypothesis, hog and gene. Members become sequence ids first and are written, so that the planner knows their size:
+    a small table is sent to the hits, a large one meets them in a join whose run-time Bloom filter drops most hits at the scan. Only hits that
+    touch a family are shuffled and named. A hit found by its subject is dropped when its query
     is in the same family too, so nothing needs to be de-duplicated.
     """
     keys = members.select(*GROUP, "gene").distinct()
-    ends = F.array(
-        F.struct(F.lit(0).alias("side"), F.col("qseqid_name").alias("gene")),
-        F.struct(F.lit(1).alias("side"), F.col("sseqid_name").alias("gene")),
-    )
-    matched = named.select("*", F.inline(ends)).filter(F.col("gene").isNotNull()).join(keys, "gene")
-    queried = keys.select(*GROUP, F.col("gene").alias("qseqid_name"), F.lit(True).alias("query_inside"))
-    once = matched.join(queried, [*GROUP, "qseqid_name"], "left").filter(
-        (F.col("side") == 0) | F.col("query_inside").isNull()
-    )
-    return once.select(*GROUP, *named.columns)
+    ids = cut_lineage(keys.join(id_map.select("seqid", F.col("name").alias("gene")), "gene"))
+    names = id_map.select(F.col("seqid").alias("id"), F.col("name").alias("other"))
+
+    def found(end: str, far: str) -> DataFrame:
+        near = ids.select(F.col("seqid").alias(end), *GROUP, F.col("gene").alias(f"{end}_name"))
+        return hits.join(near, end).join(
+            names.select(F.col("id").alias(far), F.col("other").alias(f"{far}_name")), far, "left"
+        ).select(*GROUP, *hits.columns, "qseqid_name", "sseqid_name")
+
+    inside = ids.select(*GROUP, F.col("gene").alias("qseqid_name")).distinct()  # a named query has an id
+    by_subject = found("sseqid", "qseqid").join(inside, [*GROUP, "qseqid_name"], "left_anti")
+    return found("qseqid", "sseqid").unionByName(by_subject)
 
 
 def rank_hits(touching: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from kinfold.operators import expansion, hits, orthogroups
 from kinfold.plans.domain import ADDED_FAMILIES, HYPOTHESES, PLOIDY, SPECIES, Domain
 from kinfold.plans.registry import big, fragment, query, r6
+from kinfold.session import cut_lineage
 
 fragment("named", """
 SELECT h.*, q.name AS qname, s.name AS sname FROM hits h LEFT JOIN id_map q ON h.qseqid = q.seqid
@@ -65,9 +66,8 @@ class Neighbours:
         counts = orthogroups.hog_counts(d.hog_genes, SPECIES)
         self.expanded = expansion.expanded_hogs(counts, HYPOTHESES, PLOIDY)
         lists = orthogroups.hypothesis_gene_lists(d.hog_genes, HYPOTHESES)
-        self.members = lists.join(self.expanded, ["hypothesis", "hog"], "left_semi")
-        self.named = hits.name_hits(d.hits, d.id_map)
-        self.touching = hits.hits_touching(self.named, self.members)
+        self.members = cut_lineage(lists.join(self.expanded, ["hypothesis", "hog"], "left_semi"))
+        self.touching = hits.hits_touching(d.hits, d.id_map, self.members)
         self.extended = hits.extended_genes(self.touching, self.members, ADDED_FAMILIES)
         self.best = hits.best_hit_per_subject(hits.hits_to_hog(self.touching, d.hog_genes))
         self.closest = hits.closest_hogs(self.best, ADDED_FAMILIES)

@@ -171,10 +171,11 @@ def test_trimming_passes_reads_without_qualities(spark):
     assert {r.read_id: len(r.seq) for r in reads.read_quality_trim(df).collect()} == {"a": 50, "c": 44, "e": 60}
 
 
-def test_ranks_keep_missing_values_last(spark):
+@pytest.mark.parametrize("heavy", [2, 1 << 20])
+def test_ranks_keep_missing_values_last(spark, heavy):
     rows = [(1, "h", 1e-9, 5.0), (1, "h", None, 9.0), (1, "h", 0.0, None), (1, "h", 0.0, 7.0), (1, "h", 1e-9, 6.0), (1, "h", None, None)]
     df = spark.createDataFrame(rows, "g int, h string, e double, s double")
-    ranked = order.full_rank(df, ["g", "h"], "e", "s", [F.col("e").asc_nulls_last(), F.col("s").desc_nulls_last()])
+    ranked = order.full_rank(df, ["g", "h"], "e", "s", [F.col("e").asc_nulls_last(), F.col("s").desc_nulls_last()], heavy=heavy)
     assert [(r.e, r.s) for r in ranked.orderBy("rank").collect()] == [(0.0, 7.0), (0.0, None), (1e-9, 6.0), (1e-9, 5.0), (None, 9.0), (None, None)]
 
 
