@@ -60,16 +60,19 @@ CLOSED_BY = {
     "p": BLOCK_TAGS - {"br", "body", "html", "head"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"},
     "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "head": {"body"},
 }
+#: The open elements that a start tag closes.
+CLOSED_AT = {t: [k for k, by in CLOSED_BY.items() if t in by] for t in frozenset().union(*CLOSED_BY.values())}
 SHAPE_TAGS = {"p": 0, "h1": 1, "h2": 1, "h3": 1, "h4": 1, "li": 2, "td": 3, "div": 4}
 
-#: Open elements beyond this depth are read as siblings, as browsers do.
+#: Elements deeper than this share the place of the one around them, as browsers make them siblings; all else of them counts.
 DEPTH = 512
 
-TAG = re.compile(
-    r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)>?", re.S
-)
-NAMES = re.compile(r"(?:^|[\s\"'])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+TAG = re.compile(r"<!--(?:-?>|.*?(?:--!?>|$))|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)", re.S)
+BLANK = re.compile(r"[\s/]*")
+NAME = re.compile(r"=?[^\s/>=]*")
+EQUALS = re.compile(r"\s*=\s*")
+BARE = re.compile(r"[^\s>]*")
+UNSHOWN = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 BESIDE = re.compile(r"(?:has|with|no|without)(?:[-_]|(?=[A-Z]))")  # names of what lies below or beside
 PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
@@ -97,11 +100,54 @@ class HtmlParams:
     weights: list[float] = field(default_factory=list)
 
 
-def _named(attributes: str, tag: str, inside: bool) -> tuple[bool, bool]:
+def attributes_at(page: str, at: int) -> tuple[dict[str, str], bool, int]:
+    """Attributes of a tag from behind its name on: (first value by lower-case name, whether it closes itself, place behind the tag).
+
+    Quotes count only where a value begins; elsewhere they are part of a name or of a bare value, which ends at a blank or
+    the end of the tag. A quoted value without its second quote ends at the end of the tag.
+    """
+    out: dict[str, str] = {}
+    size = len(page)
+    while True:
+        begin, at = at, BLANK.match(page, at).end()
+        if at >= size:
+            return out, False, size
+        if page[at] == ">":
+            return out, at > begin and page[at - 1] == "/", at + 1
+        m = NAME.match(page, at)
+        name, at = m[0].lower(), m.end()
+        value, m = "", EQUALS.match(page, at)
+        if m is not None:
+            at = m.end()
+            quote = page[at : at + 1]
+            if quote in ("'", '"'):
+                end = page.find(quote, at + 1)
+                if end < 0:
+                    end = page.find(">", at)
+                    end = size if end < 0 else end
+                    value, at = page[at + 1 : end], end
+                else:
+                    value, at = page[at + 1 : end], end + 1
+            else:
+                m = BARE.match(page, at)
+                value, at = m[0], m.end()
+        out.setdefault(name, value)
+
+
+def _hidden(attributes: dict[str, str]) -> bool:
+    return (
+        "hidden" in attributes or attributes.get("aria-hidden", "").strip().lower() == "true"
+        or ("style" in attributes and UNSHOWN.search(attributes["style"]) is not None)
+    )
+
+
+def _named(attributes: dict[str, str], tag: str, inside: bool) -> tuple[bool, bool]:
     """(never content, likely content) by class, id and role."""
     never = likely = False
-    for m in NAMES.finditer(attributes):
-        value = m[2] or m[3] or m[4] or ""
+    for key in ("class", "id", "role"):
+        value = attributes.get(key)
+        if not value:
+            continue
         if tag == "article":
             never |= any(c in ("comment", "reply", "ad", "advert") for c in value.lower().split())
             continue
@@ -122,7 +168,7 @@ def blocks_of(page: str) -> list[Block]:
     articles: dict[int, tuple[int, int]] = {}  # the next article around an article, and the innermost mark
     above: dict[int, int] = {}  # the next fallback element around a fallback element
     shut: set[int] = set()  # fallback elements that met their end tag
-    drawings = 0  # open svg and math elements
+    open_at: dict[str, list[int]] = {}  # stack places of the open elements of a tag
     pieces: list[tuple[str, bool, int]] = []
     number = 0
     drafts: list[tuple[list, str, tuple]] = []
@@ -138,12 +184,24 @@ def blocks_of(page: str) -> list[Block]:
         if text:
             pieces.append((text, stack[-1][5], stack[-1][6]))
 
+    def push(element: tuple) -> None:
+        open_at.setdefault(element[0], []).append(len(stack))
+        stack.append(element)
+
     def pop(k: int) -> None:
-        nonlocal drawings
-        if drawings:
-            drawings -= sum(s[0] in ("svg", "math") for s in stack[k:])
+        for s in stack[k:]:
+            open_at[s[0]].pop()
         del stack[k:]
 
+    def innermost(tags) -> int:
+        """Stack place of the innermost open element of some tags, 0 if there is none."""
+        return max((open_at[t][-1] for t in tags if open_at.get(t)), default=0)
+
+    def drawn_now() -> bool:
+        """Whether what is read now belongs to a drawing and not to HTML inside one."""
+        k = innermost(("svg", "math"))
+        return k > 0 and k > innermost(DRAWN_HTML)
+
     at, size = 0, len(page)
     while at < size:
         begin = page.find("<", at)
@@ -158,31 +216,29 @@ def blocks_of(page: str) -> list[Block]:
         say(page[at:begin])
         at = m.end()
         if m[2] is None:
+            if page.startswith("<![CDATA[", begin) and drawn_now():  # elsewhere it is a comment that ends at the first ">"
+                end = page.find("]]>", begin)
+                at = size if end < 0 else end + 3
             continue
         tag = m[2].lower()
-        drawn = False
-        if drawings:
-            k = next(k for k in range(len(stack) - 1, 0, -1) if stack[k][0] in ("svg", "math") or stack[k][0] in DRAWN_HTML)
-            drawn = stack[k][0] in ("svg", "math")
-            if drawn and not m[1] and tag in BREAKOUT_TAGS:  # browsers leave the drawing at such a tag
-                pop(next(k for k in range(1, len(stack)) if stack[k][0] in ("svg", "math")))
-                drawn = False
+        attributes, closed, at = attributes_at(page, at)
+        drawn = drawn_now()
+        if drawn and not m[1] and tag in BREAKOUT_TAGS:  # browsers leave the drawing at such a tag
+            pop(min(open_at[t][0] for t in ("svg", "math") if open_at.get(t)))
+            drawn = False
         if m[1]:
-            if tag in BLOCK_TAGS and not (drawings and tag == "title"):
+            if tag in BLOCK_TAGS and not (tag == "title" and innermost(("svg", "math"))):
                 close_block()
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == tag:
-                    if tag in FALLBACK_TAGS:
-                        shut.add(stack[k][1][0])
-                    pop(k)
-                    break
+            if open_at.get(tag):
+                k = open_at[tag][-1]
+                if tag in FALLBACK_TAGS and stack[k][6] != stack[k - 1][6]:
+                    shut.add(stack[k][6])
+                pop(k)
             continue
         if drawn:
-            if not m[3].endswith("/") and len(stack) < DEPTH:
+            if not closed:
                 number += 1
-                stack.append((tag, (number, stack[-1][1]), *stack[-1][2:]))
-                if tag in ("svg", "math"):
-                    drawings += 1
+                push((tag, *stack[-1][1:]))
             continue
         if tag in BLOCK_TAGS:
             close_block()
@@ -192,30 +248,28 @@ def blocks_of(page: str) -> list[Block]:
             end = re.compile(rf"</{re.escape(tag)}\s*>?", re.I).search(page, at)
             at = size if end is None else end.end()
             continue
-        closes = [k for k in range(len(stack) - 1, 0, -1) if tag in CLOSED_BY.get(stack[k][0], ())]
-        for k in closes[:1]:
-            if not any(s[0] in BARRIERS for s in stack[k + 1 :]):
-                pop(k)
+        k = innermost(CLOSED_AT.get(tag, ()))
+        if k and innermost(BARRIERS) <= k:
+            pop(k)
         number += 1
         _, place, mark, inside, likely, link, fallback = stack[-1]
         unseen = tag in FALLBACK_TAGS
         never = False
         if tag not in ("html", "body", "main"):
-            never, named_likely = _named(m[3], tag, inside > 0)
+            never, named_likely = _named(attributes, tag, inside > 0)
             never |= tag in NEVER_TAGS or (tag == "header" and not inside)
             likely |= named_likely
-            if tag == "head" or HIDDEN.search(m[3]):
+            if tag == "head" or _hidden(attributes):
                 unseen = True
                 shut.add(number)
         if never:
             marks[number], mark = mark, number
         if tag in ("article", "main") and not never:
             articles[number], inside = (inside, mark), number
-        if len(stack) < DEPTH and (not m[3].endswith("/") or (tag in BLOCK_TAGS and tag not in FALLBACK_TAGS)):
+        if not closed or (tag in BLOCK_TAGS and tag not in FALLBACK_TAGS):
             if unseen:
                 above[number], fallback = fallback, number
-                drawings += tag in ("svg", "math")
-            stack.append((tag, (number, place), mark, inside, likely, link or tag == "a", fallback))
+            push((tag, (number, place) if len(stack) < DEPTH else place, mark, inside, likely, link or tag == "a", fallback))
     close_block()
     unread = {0: False}
     for k, outer in above.items():  # outer ones come first

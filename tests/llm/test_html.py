@@ -103,7 +103,49 @@ def test_classifier_and_neighbours_overrule_marks_and_articles():
     assert main_text(page, p).split("\n") == [LONG.strip()] * 2
 
 
+THREE = "<article><p {0}>one</p><p>two</p><p>three</p></article>"
+
+
+@pytest.mark.parametrize("attributes", [
+    'class="x""', "data-x=don't", 'data-title="The hidden valley"', 'title="a hidden gem"', 'data-css="a{display: none}"', 'class="prose hidden md:block"',
+    '"', "'", "= ' =", "a=b'c\"d", "x='", 'y="', "z=\"un > closed", "title='a > b'", "aria-hidden=false", 'style="color: red"', "/ / =x/", 'a="<p>" b', "<b",
+])
+def test_attributes_never_remove_text(attributes):
+    want = "one\ntwo\nthree"
+    got = main_text(THREE.format(attributes), P)
+    assert got == want or (" > " in attributes and got.endswith(want))  # the value without an end stops at the first sign
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="ab =/'\"-&;:hidden", max_size=20))
+def test_no_attribute_text_removes_what_follows(value):
+    for attributes in (f'data-x="{value.replace(chr(34), "")}"', f"title='{value.replace(chr(39), '')}'", "x" + value.replace("=", "")):
+        if "hidden" in attributes.split() or "hidden" in attributes.replace("/", " ").replace("'", " ").replace('"', " ").split():
+            continue
+        assert main_text(THREE.format(attributes), P) == "one\ntwo\nthree", attributes
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    ("<article><p>one</p><![CDATA[ x ]]><p>two</p></article>", "one\ntwo"), ("<article><![CDATA[<p>one</p><p>two</p></article>", "one\ntwo"),
+    ("<article><svg><![CDATA[ <p>drawn</p> ]]></svg><p>one</p></article>", "one"), ("<article><!--><p>one</p><!---><p>two</p></article>", "one\ntwo"),
+    ("<article><p hidden>no</p><p HIDDEN=''>no</p><p aria-hidden='True'>no</p><p style='x:y; display : none'>no</p><p>yes</p></article>", "yes"),
+    ("<article><p class=x/>one</p><a href=/b/>two</a></article>", "one\ntwo"), ("<article><p><svg><svg/></svg>one</p></article>", "one"),
+    ("<article><svg><svg></svg><p>one</p></article>", "one"),
+])
+def test_comments_and_hidden_elements(page, text):
+    assert main_text(page, P) == text
+
+
+def test_marks_and_hidden_parts_count_at_any_depth():
+    deep = "<div>" * 600
+    page = f"<article><p>first</p>{deep}<div hidden>no<p>no</p></div><p>deep</p><svg><text>no</text></svg>{'</div>' * 600}<p>last</p></article><nav>Menu</nav>"
+    assert main_text(page, P) == "first\ndeep\nlast"
+    page = f"<main>{deep}<nav><a href=x>Menu</a></nav><p>{LONG}</p>{'</div>' * 600}</main>"
+    assert main_text(page, P) == LONG.strip()
+
+
 def test_deep_and_long_pages_stay_linear():
+    assert blocks_of("<p>" + "<i>" * 30_000 + "x" + "</u>" * 30_000)[0].text == "x"
     deep = "<article>" + "<div><b>" * 20_000 + "in" + "<p>word</p>" * 20_000
     assert main_text(deep, P).count("word") == 20_000
     assert len(blocks_of("<p>x" * 50_000)) == 50_000
@@ -111,7 +153,7 @@ def test_deep_and_long_pages_stay_linear():
 
 def test_tables_with_nulls_repeats_and_no_rows(spark):
     rows = [(1, "u", "<article>x</article>"), (1, "u", "<article>x</article>"), (None, None, None)]
-    pages = spark.createDataFrame([(*r, 1) for r in rows], "page_id long, url string, html string, text int")
+    pages = spark.createDataFrame([(*r, 1, "x", "y") for r in rows], "page_id long, url string, html string, text int, n_chars string, label string")
     got = sorted((tuple(r) for r in extracted(pages, P).collect()), key=str)
     assert got == [(1, "u", "x", 1), (1, "u", "x", 1), (None, None, "", 0)]
     assert html.train(pages.limit(0), P) == [] and extracted(pages.limit(0), P).count() == 0
