@@ -64,7 +64,7 @@ CLOSED_BY = {
 CLOSED_AT = {t: [k for k, by in CLOSED_BY.items() if t in by] for t in frozenset().union(*CLOSED_BY.values())}
 SHAPE_TAGS = {"p": 0, "h1": 1, "h2": 1, "h3": 1, "h4": 1, "li": 2, "td": 3, "div": 4}
 
-#: Elements deeper than this share the place of the one around them, as browsers make them siblings; all else of them counts.
+#: For the distance of blocks, elements deeper than this are siblings, as browsers make them; all else of them counts.
 DEPTH = 512
 
 TAG = re.compile(r"<!--(?:-?>|.*?(?:--!?>|$))|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)", re.S)
@@ -252,7 +252,7 @@ def blocks_of(page: str) -> list[Block]:
         if k and innermost(BARRIERS) <= k:
             pop(k)
         number += 1
-        _, place, mark, inside, likely, link, fallback = stack[-1]
+        _, _, mark, inside, likely, link, fallback = stack[-1]
         unseen = tag in FALLBACK_TAGS
         never = False
         if tag not in ("html", "body", "main"):
@@ -269,7 +269,7 @@ def blocks_of(page: str) -> list[Block]:
         if not closed or (tag in BLOCK_TAGS and tag not in FALLBACK_TAGS):
             if unseen:
                 above[number], fallback = fallback, number
-            push((tag, (number, place) if len(stack) < DEPTH else place, mark, inside, likely, link or tag == "a", fallback))
+            push((tag, (number, stack[min(len(stack), DEPTH) - 1][1]), mark, inside, likely, link or tag == "a", fallback))
     close_block()
     unread = {0: False}
     for k, outer in above.items():  # outer ones come first
