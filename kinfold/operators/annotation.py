@@ -179,7 +179,32 @@ def term_scores(members: DataFrame, de: DataFrame, minimum: int = MIN_TERM_GENES
     )
 
 
-def random_sample(ids: DataFrame, key: str, n: int, seed: int) -> DataFrame:
-    """n rows without replacement; the seeded hash of the key makes a rerun pick the same."""
-    order = F.md5(F.concat_ws("|", F.col(key), F.lit(str(seed))))
-    return ids.orderBy(order, key).limit(n)
+def random_sample(ids: DataFrame, key: str, n: int, seed: int, last: int = 10_000) -> DataFrame:
+    """n rows without replacement: those with the smallest seeded hashes of their (unique) keys, so a rerun picks the same.
+
+    Counts by the first characters of the hash, at most 65,536 of them, tell up to where all rows are taken and in which range the
+    n-th one lies. That range is counted the same way until it holds at most ``last`` rows; only these are sorted.
+    """
+    rows = ids.withColumn("_order", F.md5(F.concat_ws("|", F.col(key), F.lit(str(seed)))))
+    before, prefix = 0, ""
+    while True:
+        width = len(prefix) + 4
+        counts = (
+            rows.filter(F.col("_order").startswith(prefix)).groupBy(F.substring("_order", 1, width).alias("prefix"))
+            .agg(F.count(F.lit(1)).alias("n")).orderBy("prefix").collect()
+        )
+        inside = None
+        for r in counts:
+            if before + r["n"] > n:
+                inside = r
+                break
+            before += r["n"]
+        if inside is None:  # only at the first look: there are no more than n rows
+            return ids
+        prefix = inside["prefix"]
+        if before == n or inside["n"] <= last or width >= 32:
+            break
+    taken = rows.filter(F.col("_order") < prefix)
+    if before < n:
+        taken = taken.unionByName(rows.filter(F.col("_order").startswith(prefix)).orderBy("_order", key).limit(n - before))
+    return taken.drop("_order")

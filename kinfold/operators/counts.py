@@ -14,26 +14,41 @@ from kinfold.functions.stats import two_sided_normal
 MIN_DISPERSION = 1e-8
 MIN_MEAN = 0.5
 HALVINGS = 60
+LEVELS = 7  # of bins, each eight times as wide as the one below; longer intervals share one bin per chromosome
 
 
 def count_features(alignments: DataFrame, features: DataFrame, key: str = "gene_id", width: int = 4096) -> DataFrame:
     """Reads per feature key: every overlapped feature counts, every alignment counts.
 
-    Interval join by bins of ``width``: both sides are spread over the bins they cover and
-    meet in equal (chrom, bin). A pair is kept only in the bin where its overlap begins, so
-    no pair appears twice. Coordinates are 1-based and closed.
+    Interval join by nested bins: widths grow eightfold from level to level, and an interval lies in the smallest bin that holds it whole.
+    Bins of two overlapping intervals are nested, so each side meets the bins around its own one, at most one per
+    level however long it is, and a pair meets once: in the larger bin of both. Coordinates are 1-based and closed.
     """
-    def bins(start: str, end: str) -> Column:
-        return F.explode(F.sequence(F.floor(F.col(start) / width), F.floor(F.col(end) / width))).alias("bin")
-
-    reads = alignments.select("sample", "chrom", "read_id", "hit_index", "start", "end", bins("start", "end"))
-    parts = features.select(
-        "chrom", F.col(key), F.col("start").alias("f_start"), F.col("end").alias("f_end"), bins("start", "end")
-    )
+    levels = range(LEVELS)
+
+    def binned(rows: DataFrame, start: str, end: str, enclosing: int | None) -> DataFrame:
+        """Rows at their own bin, or at the enclosing bins from ``enclosing`` levels above on."""
+        level = F.lit(LEVELS)
+        for k in reversed(levels):
+            size = width * 8**k
+            level = F.when(F.floor(F.col(start) / size) == F.floor(F.col(end) / size), F.lit(k)).otherwise(level)
+        sizes = F.array(*[F.lit(width * 8**k).cast("long") for k in levels])
+        if enclosing is None:
+            at = rows.withColumn("level", level)
+        else:
+            # A descending sequence is never made: above the last level there is none.
+            first = level + enclosing
+            at = rows.withColumn("level", F.explode(F.when(first <= LEVELS, F.sequence(first, F.lit(LEVELS)))))
+        return at.withColumn("bin", F.when(F.col("level") == LEVELS, F.lit(0)).otherwise(F.floor(F.col(start) / F.get(sizes, F.col("level")))))
+
+    reads = alignments.select("sample", "chrom", "read_id", "hit_index", "start", "end")
+    parts = features.select("chrom", F.col(key), F.col("start").alias("f_start"), F.col("end").alias("f_end"))
     overlap = (F.col("start") <= F.col("f_end")) & (F.col("f_start") <= F.col("end"))
-    begins_here = F.col("bin") == F.floor(F.greatest("start", "f_start") / width)
-    pairs = reads.join(parts, ["chrom", "bin"]).filter(overlap & begins_here)
-    once = pairs.groupBy("sample", key, "read_id", "hit_index").agg(F.count(F.lit(1)).alias("parts"))
+    where = ["chrom", "level", "bin"]
+    out = ["sample", key, "read_id", "hit_index"]
+    in_feature_bin = binned(reads, "start", "end", 0).join(binned(parts, "f_start", "f_end", None), where).filter(overlap).select(*out)
+    in_read_bin = binned(reads, "start", "end", None).join(binned(parts, "f_start", "f_end", 1), where).filter(overlap).select(*out)
+    once = in_feature_bin.unionByName(in_read_bin).groupBy(*out).agg(F.count(F.lit(1)).alias("parts"))
     return once.groupBy("sample", key).agg(F.count(F.lit(1)).alias("count"))
 
 

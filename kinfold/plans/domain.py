@@ -210,15 +210,17 @@ class Domain:
 
     @cached_property
     def alignments(self) -> DataFrame:
+        """Two events are the mates of a read; every fifth event hits a second place an hour later, every seventh covers a long stretch."""
         start = F.unix_seconds(F.to_timestamp("ts"))
-        return self.table("events").select(
-            F.lit("s1").alias("sample"),
-            F.col("event_type").alias("chrom"),
-            F.col("event_id").alias("read_id"),
-            F.lit(1).alias("hit_index"),
-            start.alias("start"),
-            (start + 100).alias("end"),
+        pair = F.floor(F.col("event_id") / 2)
+        length = F.when(F.col("event_id") % 7 == 0, 20_100).otherwise(100)
+        second = F.when(F.col("event_id") % 5 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+        rows = self.table("events").select(
+            F.concat(F.lit("s"), (pair % 3).cast("string")).alias("sample"), F.col("event_type").alias("chrom"), pair.alias("read_id"),
+            start.alias("first"), length.alias("length"), F.explode(second).alias("hit_index"),
         )
+        begin = F.col("first") + (F.col("hit_index") - 1) * 3600
+        return rows.select("sample", "chrom", "read_id", "hit_index", begin.alias("start"), (begin + F.col("length")).alias("end"))
 
     @cached_property
     def exons(self) -> DataFrame:

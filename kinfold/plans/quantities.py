@@ -28,13 +28,16 @@ def rows_with_factors(d: Domain) -> DataFrame:
 
 
 @query("count_features", """
-WITH a AS (SELECT event_id, event_type, CAST(floor(epoch(ts)) AS BIGINT) AS s FROM events),
-x AS (SELECT DISTINCT event_type, s // 3600 * 3600 AS h FROM a)
-SELECT x.event_type || '_' || (x.h // 7200) AS gene_id, count(DISTINCT a.event_id) AS count FROM a
-JOIN x ON a.event_type = x.event_type AND a.s <= x.h + 1799 AND x.h <= a.s + 100 GROUP BY 1
-""".replace("WITH a AS", "SELECT * FROM (WITH a AS") + ")")
+WITH e AS (SELECT event_id, event_type, CAST(floor(epoch(ts)) AS BIGINT) AS s,
+  CASE WHEN event_id % 7 = 0 THEN 20100 ELSE 100 END AS n FROM events),
+a AS (SELECT event_id // 2 AS read_id, event_type, 1 AS hit, s, s + n AS e FROM e UNION ALL
+  SELECT event_id // 2, event_type, 2, s + 3600, s + 3600 + n FROM e WHERE event_id % 5 = 0),
+x AS (SELECT DISTINCT event_type, s // 3600 * 3600 AS h FROM e)
+SELECT 's' || (a.read_id % 3) AS sample, x.event_type || '_' || (x.h // 7200) AS gene_id, count(DISTINCT (a.read_id, a.hit)) AS count FROM a
+JOIN x ON a.event_type = x.event_type AND a.s <= x.h + 1799 AND x.h <= a.e GROUP BY 1, 2
+""".replace("WITH e AS", "SELECT * FROM (WITH e AS") + ")")
 def _(d: Domain) -> DataFrame:
-    return counts.count_features(d.alignments, d.exons).select("gene_id", "count")
+    return counts.count_features(d.alignments, d.exons).select("sample", "gene_id", "count")
 
 
 @query("merge_counts", """

@@ -147,6 +147,13 @@ def _(d: Domain) -> DataFrame:
     return annotation.random_sample(d.annotation.select("gene"), "gene", 100, seed=7)
 
 
+@query("random_sample_share", """
+SELECT gene, species FROM annotation ORDER BY md5(gene || '|8'), gene LIMIT (SELECT count(*) // 10 FROM annotation)""", "annotation")
+def _(d: Domain) -> DataFrame:
+    genes = d.annotation.select("gene", "species")
+    return annotation.random_sample(genes, "gene", genes.count() // 10, seed=8, last=100)
+
+
 @query("tail_at_half_the_hits", """
 WITH t AS (SELECT p_brand AS term, count(*) AS n, count(*) FILTER (l_returnflag = 'R') AS k FROM lineitem
   JOIN part ON l_partkey = p_partkey GROUP BY 1),

@@ -140,6 +140,11 @@ def test_random_sample(spark):
     once, again = (sorted(r.gene for r in annotation.random_sample(ids, "gene", 40, 3).collect()) for _ in range(2))
     assert len(set(once)) == 40 and once == again
     assert once != sorted(r.gene for r in annotation.random_sample(ids, "gene", 40, 4).collect())
+    for n in (0, 7, 500, 1000, 2000):
+        df = spark.range(1000).select(F.concat(F.lit("g"), F.col("id").cast("string")).alias("gene"))
+        want = [r.gene for r in df.orderBy(F.md5(F.concat_ws("|", "gene", F.lit("5"))), "gene").limit(n).collect()]
+        for last in (1, 10_000):
+            assert sorted(r.gene for r in annotation.random_sample(df, "gene", n, 5, last).collect()) == sorted(want)
 
 
 def test_trimming_and_adapters(spark):

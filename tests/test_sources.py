@@ -122,16 +122,16 @@ def test_fasta_keeps_order_over_splits(spark, tmp_path):
     assert rows[0].header == "r0 gene:g0"
 
 
-@pytest.mark.parametrize("packed", [False, True])
-def test_fastq(spark, tmp_path, packed):
-    text = "".join(f"@r{i} x\nACGT{'A' * (i % 9)}\n+\n@+II{'!' * (i % 9)}\n" for i in range(300))
+@pytest.mark.parametrize(("packed", "end", "split"), [(False, "\n", 1500), (True, "\n", 1500), (False, "\r\n", 900), (False, "\n", 45)])
+def test_fastq(spark, tmp_path, packed, end, split):
+    text = "".join(f"@r{i} x\nACGT{'A' * (i % 9)}\n+\n@+II{'!' * (i % 9)}\n" for i in range(300)).replace("\n", end) + end
     if packed:
         with gzip.open(tmp_path / "m.fq.gz", "wt") as f:
             f.write(text)
     else:
-        put(tmp_path / "m.fq", text)
+        (tmp_path / "m.fq").write_bytes(text.encode())
     default = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
     try:
         rows = {r.read_id: r for r in sequences.read_fastq(spark, str(tmp_path / "m.fq*")).collect()}
     finally:
