@@ -153,6 +153,49 @@ def words_of(texts: Texts, gaps: Callable[[np.ndarray], np.ndarray] = white) ->
     return Words(start, end, row, sums)
 
 
+#: Scripts written without spaces: first and last code points. Each of their characters is a word of its own.
+UNSPACED = (
+    (0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF),
+    (0xF900, 0xFAFF), (0x20000, 0x323AF),
+)
+
+
+@lru_cache(maxsize=1)
+def _letter_classes() -> np.ndarray:
+    """By code point: 0 gap, 1 letter, digit or mark, 2 character of an unspaced script."""
+    import unicodedata
+
+    last = UNSPACED[-1][1] + 1
+    out = np.fromiter((unicodedata.category(chr(c))[0] in "LNM" for c in range(last)), np.uint8, last)
+    for a, b in UNSPACED:
+        out[a : b + 1] *= 2
+    return np.append(out, np.uint8(0))
+
+
+def letter_words(texts: Texts) -> Words:
+    """Words of letters and digits by Unicode classes; the hash of a word depends on its characters alone."""
+    data, offsets = texts
+    if not len(data) or data.max() < 128:
+        return words_of(texts, not_letters)
+    points = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), "<u4")
+    offsets = np.append(0, np.cumsum((data & 0xC0) != 0x80))[offsets]
+    classes = _letter_classes()
+    kind = classes[np.minimum(points, len(classes) - 1)]
+    n = len(points)
+    edge = np.zeros(n + 1, bool)
+    edge[offsets] = True
+    alone = kind == 2
+    inside = kind == 1
+    first, last = inside.copy(), inside.copy()
+    first[1:] &= ~inside[:-1] | edge[1:n]
+    last[:-1] &= ~inside[1:] | edge[1:n]
+    start, end = np.flatnonzero(first | alone), np.flatnonzero(last | alone) + 1
+    codes = splitmix((points.astype(np.uint64) + np.uint64(1)) * np.uint64(0x632BE59BD9B4E019))
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(codes * _powers_for(n)[0][:n], out=sums[1:])
+    return Words(start, end, np.searchsorted(offsets, start, "right") - 1, sums)
+
+
 def within(df: DataFrame, run: Callable, schema: str) -> DataFrame:
     """``run`` maps record batches of a partition to tables or batches of the schema's columns."""
 

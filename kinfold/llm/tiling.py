@@ -1,12 +1,14 @@
 """Benchmark decontamination by greedy string tiling.
 
 Seeds are the hashes of short word windows of the benchmark items, rolled over every document
-(Karp-Rabin). Seeds that a document shares with an item are joined into maximal matches, and
-the longest match that overlaps no earlier one is marked as a tile, again and again, until
-no match of the least length is left. Tiles may lie in any order, so passages that were reordered
+(Karp-Rabin). For a document and an item that share a seed, the longest match that overlaps no earlier one
+is marked as a tile, again and again, until no match of the least length is left. Its length is found by bisection: windows of
+a length are hashed on both sides from running sums, and only unmarked ones meet. A round costs the words of both sides,
+also where one word or phrase fills both. Tiles may lie in any order, so passages that were reordered
 still count. A document is contaminated by an item if tiles cover enough of the item's words.
 
-Words are letters and digits, lower-cased, so punctuation and layout play no part. An item
+Words are letters and digits of any script, lower-cased, so punctuation and layout play no part; in scripts
+without spaces each character is a word. An item
 with fewer words than a seed is its own seed; an item without words matches nothing.
 
 The benchmark is read in blocks of at most ``block_words`` words, and every block meets all documents, so that
@@ -19,7 +21,6 @@ Of equally long matches the one first in the item, then first in the document, i
 
 from __future__ import annotations
 
-import heapq
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
 from kinfold.llm.registry import query, table
-from kinfold.llm.text import Texts, free_name, not_letters, schema_with, splitmix, texts_of, within, words_of
+from kinfold.llm.text import Texts, free_name, letter_words, schema_with, splitmix, texts_of, within
 
 
 @dataclass
@@ -41,11 +42,12 @@ class TilingParams:
 
 @dataclass
 class Index:
-    """Seeds of one block of items: sorted hashes and, for each, the item and the word it begins at."""
+    """One block of items: their words, and by seed length the sorted hashes of seeds, each with an item that holds it."""
 
     ids: list
     lengths: np.ndarray
-    seeds: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]  # by seed length
+    words: list[np.ndarray]
+    seeds: dict[int, tuple[np.ndarray, np.ndarray]]
 
 
 def rolled(words: np.ndarray, k: int) -> np.ndarray:
@@ -60,52 +62,88 @@ def rolled(words: np.ndarray, k: int) -> np.ndarray:
 
 
 def index_of(ids: list, texts: Texts, k: int) -> Index:
-    words = words_of(texts, not_letters)
+    words = letter_words(texts)
     hashes, lengths = words.hashes(), words.counts(texts.rows())
     first = np.cumsum(lengths) - lengths
+    own = [hashes[a : a + n] for a, n in zip(first, lengths, strict=True)]
     found: dict[int, list] = {}
     for i, n in enumerate(lengths.tolist()):
         size = min(k, n)
         if size:
-            seeds = rolled(hashes[first[i] : first[i] + n], size)
-            found.setdefault(size, []).append((seeds, np.full(len(seeds), i), np.arange(len(seeds))))
+            seeds = np.unique(rolled(own[i], size))
+            found.setdefault(size, []).append((seeds, np.full(len(seeds), i)))
     ready = {}
     for size, parts in found.items():
-        seeds, item, at = (np.concatenate(x) for x in zip(*parts, strict=True))
+        seeds, item = (np.concatenate(x) for x in zip(*parts, strict=True))
         order = np.argsort(seeds, kind="stable")
-        ready[size] = (seeds[order], item[order], at[order])
-    return Index(ids, lengths, ready)
-
-
-def tiles(doc_at: np.ndarray, item_at: np.ndarray, k: int) -> list[tuple[int, int, int]]:
-    """(place in the document, place in the item, words) of the tiles, from all shared seeds of k words."""
-    order = np.lexsort((item_at, doc_at - item_at))
-    d, j = doc_at[order], item_at[order]
-    fresh = np.concatenate([[True], (np.diff(d - j) != 0) | (np.diff(j) != 1)])
-    begin = np.flatnonzero(fresh)
-    size = np.diff(np.append(begin, len(d))) + k - 1
-    queue = [(-int(n), int(b), int(a)) for a, b, n in zip(d[begin], j[begin], size, strict=True)]
-    heapq.heapify(queue)
-    doc_marked, item_marked, out = set(), set(), []
-    while queue:
-        n, b, a = heapq.heappop(queue)
-        n = -n
-        free = [b + t not in item_marked and a + t not in doc_marked for t in range(n)]
-        if all(free):
-            out.append((a, b, n))
-            doc_marked.update(range(a, a + n))
-            item_marked.update(range(b, b + n))
-            continue
-        t = 0  # a match that is partly marked goes back in its free pieces
-        while t < n:
-            if free[t]:
-                s = t
-                while t < n and free[t]:
-                    t += 1
-                if t - s >= k:
-                    heapq.heappush(queue, (-(t - s), b + s, a + s))
-            else:
-                t += 1
+        ready[size] = (seeds[order], item[order])
+    return Index(ids, lengths, own, ready)
+
+
+class Side:
+    """Words of a document or an item, the hash of any window of them, and which are still free."""
+
+    def __init__(self, words: np.ndarray, free: np.ndarray):
+        n = len(words)
+        steps = np.full(n + 1, _BASE, np.uint64)
+        steps[0] = 1
+        back = np.full(n + 1, _INVERSE, np.uint64)
+        back[0] = 1
+        self.back = np.cumprod(back, dtype=np.uint64)
+        self.sums = np.append(np.uint64(0), np.cumsum(splitmix(words) * np.cumprod(steps, dtype=np.uint64)[:n], dtype=np.uint64))
+        self.free = free
+        self.count()
+
+    def count(self) -> None:
+        self.taken = np.append(0, np.cumsum(~self.free))
+
+    def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """(places, hashes) of the windows of free words."""
+        at = np.flatnonzero(self.taken[size:] == self.taken[:-size])
+        return at, (self.sums[at + size] - self.sums[at]) * self.back[at]
+
+
+_BASE = 0x9E3779B97F4A7C15 | 1
+_INVERSE = pow(_BASE, -1, 1 << 64)
+
+
+def tiles(doc: np.ndarray, free: np.ndarray, item: np.ndarray, k: int) -> list[tuple[int, int, int]]:
+    """(place in the document, place in the item, words) of the tiles; only ``free`` words of the document count."""
+    d, j = Side(doc, free.copy()), Side(item, np.ones(len(item), bool))
+    out = []
+    most = min(len(doc), len(item))
+
+    def shared(size: int) -> bool:
+        return bool(np.isin(j.windows(size)[1], d.windows(size)[1]).any())
+
+    while most >= k and shared(k):
+        low, high = k, most  # a match of some length holds matches of all smaller ones
+        while low < high:
+            mid = (low + high + 1) // 2
+            low, high = (mid, high) if shared(mid) else (low, mid - 1)
+        item_at, item_hash = j.windows(low)
+        doc_at, doc_hash = d.windows(low)
+        met = np.isin(doc_hash, item_hash)
+        doc_at, doc_hash = doc_at[met], doc_hash[met]
+        order = np.lexsort((doc_at, doc_hash))
+        doc_at, doc_hash = doc_at[order], doc_hash[order]
+        begin, end = np.searchsorted(doc_hash, item_hash, "left"), np.searchsorted(doc_hash, item_hash, "right")
+        next_of: dict[int, int] = {}  # places of a window that were taken stay taken
+        for b, lo, hi in zip(item_at.tolist(), begin.tolist(), end.tolist(), strict=True):
+            if lo == hi or not j.free[b : b + low].all():
+                continue
+            at = next_of.get(lo, lo)
+            while at < hi and not d.free[doc_at[at] : doc_at[at] + low].all():
+                at += 1
+            next_of[lo] = at
+            if at < hi:
+                a = int(doc_at[at])
+                out.append((a, b, low))
+                d.free[a : a + low] = False
+                j.free[b : b + low] = False
+        d.count()
+        j.count()
+        most = low - 1
     return out
 
 
@@ -113,10 +151,10 @@ def matches(texts: Texts, index: Index, p: TilingParams) -> list[tuple[int, int,
     """(row, item, item words covered, tiles, longest tile) of all pairs that share a seed."""
     out = []
     for lo, part in texts.steps():
-        words = words_of(part, not_letters)
+        words = letter_words(part)
         hashes, rows = words.hashes(), words.row
-        first = np.searchsorted(rows, np.arange(part.rows()))
-        for k, (seeds, item, at) in index.seeds.items():
+        first = np.searchsorted(rows, np.arange(part.rows() + 1))
+        for k, (seeds, item) in index.seeds.items():
             if len(hashes) < k:
                 continue
             window = rolled(hashes, k)
@@ -124,21 +162,31 @@ def matches(texts: Texts, index: Index, p: TilingParams) -> list[tuple[int, int,
             sieve = np.zeros(1 << 16, bool)
             sieve[(seeds & np.uint64(0xFFFF)).astype(np.int64)] = True
             maybe = np.flatnonzero(same & sieve[(window & np.uint64(0xFFFF)).astype(np.int64)])
-            left, right = np.searchsorted(seeds, window[maybe], "left"), np.searchsorted(seeds, window[maybe], "right")
-            hit = right > left
-            maybe, left, count = maybe[hit], left[hit], (right - left)[hit]
+            maybe = maybe[np.isin(window[maybe], seeds)]
             if not len(maybe):
                 continue
+            # Each seed of a document once, with every item that holds it.
+            order = np.lexsort((window[maybe], rows[maybe]))
+            row, seed = rows[maybe][order], window[maybe][order]
+            fresh = np.concatenate([[True], (np.diff(row) != 0) | (seed[1:] != seed[:-1])])
+            row, seed = row[fresh], seed[fresh]
+            left, count = np.searchsorted(seeds, seed, "left"), np.searchsorted(seeds, seed, "right")
+            count = count - left
             which = np.repeat(left, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-            place = np.repeat(maybe, count)
-            row, its, begin = rows[place], item[which], at[which]
-            order = np.lexsort((its, row))
-            row, its, begin, place = row[order], its[order], begin[order], place[order]
-            starts = np.flatnonzero(np.concatenate([[True], (np.diff(row) != 0) | (np.diff(its) != 0)]))
-            for a, b in zip(starts, np.append(starts[1:], len(row)), strict=True):
-                got = tiles(place[a:b] - first[row[a]], begin[a:b], k)
-                covered = sum(t[2] for t in got)
-                out.append((lo + int(row[a]), int(its[a]), covered, len(got), max(t[2] for t in got)))
+            pairs = np.unique(np.stack([np.repeat(row, count), item[which]], axis=1), axis=0)
+            for r, i in pairs.tolist():
+                a, b = first[r], first[r + 1]
+                held = np.isin(window[a : b - k + 1], rolled(index.words[i], k))
+                cover = np.zeros(b - a + 1, np.int64)
+                at = np.flatnonzero(held)
+                np.add.at(cover, at, 1)
+                np.add.at(cover, at + k, -1)
+                free = np.cumsum(cover)[:-1] > 0
+                if free.sum() < p.coverage * index.lengths[i]:  # tiles cover no more than that
+                    continue
+                got = tiles(hashes[a:b], free, index.words[i], k)
+                if got:
+                    out.append((lo + r, i, sum(t[2] for t in got), len(got), max(t[2] for t in got)))
     return [m for m in out if m[2] >= p.coverage * index.lengths[m[1]]]
 
 
@@ -154,9 +202,10 @@ def benchmark_blocks(items: DataFrame, p: TilingParams) -> list[DataFrame]:
 
 def _indexes(items: DataFrame, p: TilingParams):
     for block in benchmark_blocks(items.select("item_id", "text"), p):
-        rows = block.toPandas().sort_values("item_id", kind="stable")
-        ids = [None if i != i or i is None else int(i) for i in rows["item_id"]]
-        yield index_of(ids, texts_of(pa.array(rows["text"].tolist(), pa.string()), "unicode"), p.seed_words)
+        rows = block.toArrow()
+        ids, texts = (rows.column(c).to_pylist() for c in (0, 1))
+        order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0))
+        yield index_of([ids[i] for i in order], texts_of(pa.array([texts[i] for i in order], pa.string()), "unicode"), p.seed_words)
 
 
 def contaminated(docs: DataFrame, items: DataFrame, p: TilingParams) -> DataFrame:

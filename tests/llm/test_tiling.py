@@ -75,3 +75,37 @@ def test_awkward_rows_and_empty_tables(spark, items):
     assert contaminated(empty(spark), items, TilingParams()).count() == 0
     assert contaminated(docs, items.limit(0), TilingParams()).count() == 0
     assert drop_contaminated(docs, items.limit(0), TilingParams()).count() == docs.count()
+
+
+def test_repetitive_texts_cost_their_words():
+    """A text of one word against an item of one word, and periods against periods."""
+    index = index_of([1, 2], texts_of(pa.array(["na " * 1000, "a b c d e f g " * 100])), 5)
+    got = matches(texts_of(pa.array(["na " * 200_000, "b c d e f g a " * 20_000])), index, TilingParams())
+    assert [(m[0], m[1], m[2], m[3]) for m in got] == [(0, 0, 1000, 1), (1, 1, 700, 1)]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.integers(1, 3), st.integers(0, 25), st.integers(1, 4), st.integers(1, 16))
+def test_periods_equal_plain_greedy_tiling(p, n, q, m):
+    doc, item = ["abc"[i % p] for i in range(n)], ["abcd"[i % q] for i in range(m)]
+    index = index_of([1], texts_of(pa.array([" ".join(item)]), "unicode"), 3)
+    got = matches(texts_of(pa.array([" ".join(doc)]), "unicode"), index, TilingParams(seed_words=3, coverage=0.0))
+    assert (got[0][2] if got else 0) == slow_tiles(doc, item, min(3, len(item)))
+
+
+@pytest.mark.parametrize(("text", "found"), [
+    ("\u201cone two\u201d three\u2014four, five six \u00abseven\u00bb eight nine\u00a0ten", True), ("One Two Three Four Five SIX seven eight nine ten", True),
+    ("one two three uno four five six siete eight nine", False), ("\u4ed6\u8bf4\u8fd9\u662f\u4e00\u4e2a\u5f88\u957f\u7684\u53e5\u5b50\u3002\u540e\u9762", True),
+])
+def test_typographic_and_unspaced_passages(text, found):
+    items = ["one two three four five six seven eight nine ten", "\u8fd9\u662f\u4e00\u4e2a\u5f88\u957f\u7684\u53e5\u5b50"]
+    index = index_of([1, 2], texts_of(pa.array(items), "unicode"), 5)
+    got = matches(texts_of(pa.array([text]), "unicode"), index, TilingParams())
+    assert bool(got) == found and all(m[2] == index.lengths[m[1]] for m in got)
+
+
+def test_large_ids_beside_null_ones_stay_exact(spark):
+    big = 9007199254740993
+    items = spark.createDataFrame([(big, SENTENCE), (None, "q w e r t")], "item_id long, text string")
+    docs = spark.createDataFrame([(big + 2, SENTENCE)], "doc_id long, text string")
+    assert [(r.doc_id, r.item_id) for r in contaminated(docs, items, TilingParams()).collect()] == [(big + 2, big)]
