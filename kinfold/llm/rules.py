@@ -1,10 +1,12 @@
 """Quality rules with risk-controlled thresholds.
 
-Rules flag a document whose statistic lies above a cutoff. Cutoffs are not set by hand: for every stratum and
+Rules flag a document whose statistic lies above a cutoff; a lower limit is the upper one of a complement or an inverse, and a
+two-sided rule is two of them. Cutoffs are not set by hand: for every stratum and
 rule, the lowest cutoff of a fixed grid is taken for which the labelled holdout proves, by the
 exact (Clopper-Pearson) binomial bound, that at most ``max_false`` of the good documents would
-be rejected. The error level is divided by the number of (stratum, rule, cutoff) tests (Bonferroni), so that
-all bounds hold together with probability 1 - ``error``; a stratum's risk is divided among its rules. A rule without a proven cutoff
+be rejected. The error level is divided by the number of (stratum, rule) pairs (Bonferroni); the cutoffs of a pair are tested from the
+highest one down, and the first one that is not proven ends the row, so a fixed sequence needs no further division. All bounds hold
+together with probability 1 - ``error``; a stratum's risk is divided among its rules. A rule without a proven cutoff
 in a stratum rejects nothing there.
 
 All of it is DataFrame expressions. Statistics of a text come from one row, never from an
@@ -17,6 +19,7 @@ extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -39,8 +42,11 @@ class RuleParams:
     grid: int = 24
 
 
-#: name -> (share per text, largest grid value); the grid is geometric down from it.
-RULES = {"symbols": 2.0, "repeats": 1.0, "dup_lines": 1.0, "long_words": 1.0}
+#: name -> largest grid value; the grid is geometric down from it.
+RULES = {
+    "symbols": 2.0, "repeats": 1.0, "dup_lines": 1.0, "long_words": 1.0,
+    "long_mean": 64.0, "short_mean": 1.0, "other_characters": 1.0, "open_lines": 1.0,
+}
 
 
 def words_of(text: Column) -> Column:
@@ -108,6 +114,8 @@ def statistics(docs: DataFrame, p: RuleParams) -> DataFrame:
         F.size("_lines").cast("long").alias("n_lines"),
         repeated_words(F.col("_words"), p.window).cast("long").alias("n_repeat_words"),
         F.size(F.filter("_words", lambda w: F.char_length(w) > 20)).cast("long").alias("n_long_words"),
+        F.char_length(F.regexp_replace(text, "[\\p{L}\\p{M}\\x20\\x09-\\x0D]+", "")).cast("long").alias("n_other_chars"),
+        F.size(F.filter("_lines", lambda x: ~x.rlike("[.!?:;\\u2026\\u3002\"')\\]][\\x20\\x09-\\x0D]*$"))).cast("long").alias("n_open_lines"),
     )
 
 
@@ -116,38 +124,71 @@ def base_failed(p: RuleParams) -> Column:
 
 
 def shares() -> dict[str, Column]:
-    """The rules' statistics as shares of words or lines."""
+    """The rules' statistics: shares of words, characters or lines, and the mean length of a word and its inverse."""
     words = F.greatest(F.col("n_words"), F.lit(1))
+    characters = F.greatest(F.col("word_chars"), F.lit(1))
     return {
         "symbols": F.col("n_symbols") / words,
         "repeats": F.col("n_repeat_words") / words,
         "dup_lines": F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)),
         "long_words": F.col("n_long_words") / words,
+        "long_mean": F.col("word_chars") / words,
+        "short_mean": F.col("n_words") / characters,
+        "other_characters": F.col("n_other_chars") / characters,
+        "open_lines": F.col("n_open_lines") / F.greatest(F.col("n_lines"), F.lit(1)),
     }
 
 
-def binomial_upper(k: int, n: int, error: float) -> float:
-    """Exact upper bound of a rate: the largest q for which k or fewer of n have probability ``error``."""
-    import math
+def binomial_below(k: int, n: int, q: float) -> float:
+    """Probability of at most k of n at rate q, by the continued fraction of the incomplete beta function.
 
-    if k >= n:
+    The number of steps grows with the root of n at most, and not with k.
+    """
+    if k >= n or q <= 0:
         return 1.0
+    if q >= 1:
+        return 0.0
+
+    def fraction(a: float, b: float, x: float) -> float:
+        """Lentz's algorithm; converges fast for x below (a + 1) / (a + b + 2)."""
+        tiny = 1e-300
+        c, d = 1.0, 1 / ((1 - (a + b) * x / (a + 1)) or tiny)
+        h = d
+        for m in range(1, 100_000):
+            for step in (
+                m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)),
+                -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1)),
+            ):
+                d = 1 / ((1 + step * d) or tiny)
+                c = (1 + step / c) or tiny
+                h *= c * d
+            if abs(c * d - 1) < 1e-15:
+                break
+        return h
+
+    a, b, x = n - k, k + 1, 1 - q
+    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log1p(-q) + b * math.log(q))
+    if x < (a + 1) / (a + b + 2):
+        return front * fraction(a, b, x) / a
+    return 1 - front * fraction(b, a, q) / b
 
-    def below(q: float) -> float:
-        logs = [
-            math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(q) + (n - i) * math.log1p(-q)
-            for i in range(k + 1)
-        ]
-        top = max(logs)
-        return math.exp(top) * sum(math.exp(x - top) for x in logs)
 
+def binomial_upper(k: int, n: int, error: float) -> float:
+    """Exact upper bound of a rate: the largest q for which k or fewer of n have probability ``error``."""
+    if k >= n:
+        return 1.0
     low, high = 0.0, 1.0
     for _ in range(60):
         mid = (low + high) / 2
-        low, high = (mid, high) if below(mid) > error else (low, mid)
+        low, high = (mid, high) if binomial_below(k, n, mid) > error else (low, mid)
     return high
 
 
+def proven(k: int, n: int, limit: float, error: float) -> bool:
+    """Whether the exact upper bound of a rate seen k times in n lies at the limit or below: one tail, no search."""
+    return k < limit * n and binomial_below(k, n, limit) <= error
+
+
 def grid_of(rule: str, p: RuleParams) -> list[float]:
     return [RULES[rule] * 0.75**i for i in range(p.grid)]
 
@@ -166,12 +207,12 @@ def calibrate(stats: DataFrame, labels: DataFrame, p: RuleParams) -> dict[str, d
     for rule, share in shares().items():
         counts += [F.sum((share > cut).cast("long")).alias(f"{rule}_{i}") for i, cut in enumerate(grid_of(rule, p))]
     rows = held.groupBy(F.coalesce("lang", F.lit("")).alias("stratum")).agg(*counts).collect()
-    tests = max(1, len(rows)) * len(RULES) * p.grid
+    tests = max(1, len(rows)) * len(RULES)  # the cutoffs of one rule in one stratum are a fixed sequence
     out: dict[str, dict[str, float]] = {rule: {} for rule in RULES}
     for r in rows:
         for rule in RULES:
             for i, cut in enumerate(grid_of(rule, p)):  # downwards: rejections only grow
-                if binomial_upper(r[f"{rule}_{i}"], r["n"], p.error / tests) > p.max_false / len(RULES):
+                if not proven(r[f"{rule}_{i}"], r["n"], p.max_false / len(RULES), p.error / tests):
                     break
                 out[rule][r["stratum"]] = cut
     return out

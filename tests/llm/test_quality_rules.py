@@ -51,6 +51,20 @@ def test_registered_query(spark):
     assert not any(r.kept and r.base_failed for r in rows)
 
 
+def test_tails_are_exact_and_take_no_time_on_many_labels():
+    import time
+    from fractions import Fraction
+
+    for k, n, q in [(0, 10, 0.3), (3, 50, 0.01), (3, 50, 0.5), (49, 50, 0.9), (25, 60, 0.42), (7, 400, 0.002), (1, 2, 1e-9)]:
+        exact = sum(math.comb(n, i) * Fraction(q) ** i * (1 - Fraction(q)) ** (n - i) for i in range(k + 1))
+        assert rules.binomial_below(k, n, q) == pytest.approx(float(exact), rel=1e-9)
+        for error in (0.2, 1e-3, 1e-6):
+            assert rules.proven(k, n, q, error) == (k < q * n and binomial_upper(k, n, error) <= q)
+    start = time.perf_counter()
+    assert rules.proven(49_000, 10_000_000, 0.005, 1e-5) and not rules.proven(49_950, 10_000_000, 0.005, 1e-5)
+    assert time.perf_counter() - start < 1
+
+
 @pytest.mark.parametrize(("k", "n"), [(0, 10), (3, 50), (20, 20), (7, 4000)])
 def test_binomial_bound_is_exact(k, n):
     q = binomial_upper(k, n, 0.01)
@@ -71,3 +85,15 @@ def test_cutoffs_reject_junk_within_the_proven_risk(spark):
     out = {r.doc_id: r for r in judged(stats, cutoffs, P).collect()}
     assert not any(out[i].kept for i in range(0, 3000, 10))
     assert sum(not out[i].kept for i in range(3000) if i % 10) <= 0.02 * 2700 and out[9000].kept
+
+
+def test_lower_and_two_sided_rules(spark):
+    texts = {
+        1: "Plain words make a good sentence here. " * 4, 2: "a b c d e f g h i j k l. " * 4, 3: "incomprehensibilities counterrevolutionaries " * 6,
+        4: "12 34 56 78 90 12 34 56 78 91. " * 3, 5: "no end mark on this line\nand none on this one\nor here",
+    }
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").withColumn("lang", F.lit("en"))
+    cut = {"long_mean": 12.0, "short_mean": 0.5, "other_characters": 0.5, "open_lines": 0.9, "repeats": 9.0}
+    cutoffs = {r: {"en": cut[r]} if r in cut else {} for r in rules.RULES}
+    got = {r.doc_id: set(r.rejected_by) for r in judged(statistics(df, P), cutoffs, P).collect()}
+    assert got == {1: set(), 2: {"short_mean"}, 3: {"long_mean", "open_lines"}, 4: {"other_characters"}, 5: {"open_lines"}}
