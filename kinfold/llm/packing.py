@@ -1,11 +1,11 @@
 """Best-fit packing of token sequences by bin completion.
 
 Only the histogram of piece lengths matters for a packing, and it has at most ``capacity``
-rows whatever the corpus, so the search runs on it: around the largest length left, fillings
-that no other filling dominates are tried, each as often as the counts allow; branches whose waste
-rules out fewer sequences than the incumbent are cut; the first incumbent is the best-fit
-solution. The search ends at the lower bound or after ``max_nodes`` branches with the best
-packing so far. What comes out is a list of (filling, times); the pieces of a length are numbered across
+rows whatever the corpus, so the search runs on it. Around the largest length left, fillings are enumerated in the order of
+their waste, by the sums that the other lengths can reach with their counts, and those that another one dominates are left out;
+a filling is used as often as the counts allow, or once. A branch whose lower bound, from waste and from large pieces, rules out
+fewer sequences than the incumbent is cut; the first incumbent is the best-fit solution. The search ends at the lower
+bound of all pieces or after ``max_nodes`` branches, with the best packing so far. What comes out is a list of (filling, times); the pieces of a length are numbered across
 the corpus, and a piece's number says in which repetition of which filling it stands.
 
 Defined cases: a null text is empty and gives one piece with the end id alone; null ids are
@@ -35,7 +35,7 @@ class PackingParams:
     capacity: int = 1024
     end_id: int = 2
     max_nodes: int = 4000
-    max_fillings: int = 24
+    max_fillings: int = 6  # branches of a node, those of least waste
 
 
 def default_params() -> PackingParams:
@@ -45,40 +45,58 @@ def default_params() -> PackingParams:
 
 
 def _fillings(lengths: list[int], counts: dict[int, int], room: int, limit: int) -> list[tuple[int, ...]]:
-    """Maximal fillings of ``room`` in descending order, undominated, least waste first."""
-    found: dict[tuple[int, ...], int] = {}
-    steps = 0
-
-    def grow(space: int, at: int, chosen: list[int]) -> None:
-        nonlocal steps
-        more = False
-        for i in range(at, len(lengths)):
-            n = lengths[i]
-            if n > space or counts[n] <= chosen.count(n):
-                continue
-            more = True
-            steps += 1
-            grow(space - n, i, [*chosen, n])
-            if len(found) >= 4 * limit or steps >= 40 * limit:
+    """Fillings of ``room`` by least waste, larger pieces first, undominated: at most ``limit`` of them."""
+    usable = [n for n in lengths if n <= room and counts[n] > 0]
+    full = (1 << (room + 1)) - 1
+    reach = [1] * (len(usable) + 1)  # bit s of reach[i]: sum s can be made of usable[i:]
+    for i in range(len(usable) - 1, -1, -1):
+        n, mask = usable[i], reach[i + 1]
+        left, step = min(counts[n], room // n), 1
+        while left > 0:
+            take = min(step, left)
+            mask |= (mask << (n * take)) & full
+            left, step = left - take, 2 * step
+        reach[i] = mask
+
+    def exact(i: int, rest: int):
+        """Ways to make a sum of usable[i:]."""
+        if rest == 0:
+            yield ()
+            return
+        while i < len(usable):
+            n = usable[i]
+            for c in range(min(counts[n], rest // n), 0, -1):
+                if reach[i + 1] >> (rest - n * c) & 1:
+                    for more in exact(i + 1, rest - n * c):
+                        yield (n,) * c + more
+            if not reach[i + 1] >> rest & 1:
                 return
-        if not more:
-            found.setdefault(tuple(chosen), space)
-
-    grow(room, 0, [])
-    have = np.array(sorted(n for n in lengths if counts[n] > 0))
-
-    def dominated(filling: tuple[int, ...], waste: int) -> bool:
-        """Two pieces of it could be replaced by one larger piece that still fits."""
-        for i in range(len(filling)):
-            for j in range(i + 1, len(filling)):
-                two = filling[i] + filling[j]
-                k = np.searchsorted(have, two)
-                if k < len(have) and have[k] <= two + waste and counts[int(have[k])] > filling.count(int(have[k])):
-                    return True
-        return False
-
-    free = [(w, f) for f, w in found.items() if not dominated(f, w)] or [(w, f) for f, w in found.items()]
-    return [f for _, f in sorted(free, key=lambda x: (x[0], [-n for n in x[1]]))[:limit]]
+            i += 1
+
+    out: list[tuple[int, ...]] = []
+    looked, sums = 0, reach[0]
+    while sums and len(out) < limit and looked < 4 * limit:
+        total = sums.bit_length() - 1
+        sums ^= 1 << total
+        for filling in exact(0, total):
+            looked += 1
+            if not _dominated(filling, room - total, counts, usable):
+                out.append(filling)
+            if len(out) >= limit or looked >= 4 * limit:
+                break
+    return out or [()]
+
+
+def _dominated(filling: tuple[int, ...], waste: int, counts: dict[int, int], usable: list[int]) -> bool:
+    """Whether one larger piece could stand in for one or two of its pieces, or one more piece still fits."""
+    if waste and usable and usable[-1] <= waste and any(n <= waste and counts[n] > filling.count(n) for n in reversed(usable)):
+        return True
+    groups = {*filling, *(a + b for k, a in enumerate(filling) for b in filling[k + 1 :])}
+    for total in groups:
+        for size in range(total + 1 if total in filling else total, total + waste + 1):
+            if counts.get(size, 0) > filling.count(size):
+                return True
+    return False
 
 
 def _apply(counts: dict[int, int], bin_: tuple[int, ...]) -> int:
@@ -107,14 +125,13 @@ def lower_bound(counts: dict[int, int], capacity: int) -> int:
     n = np.zeros(capacity + 1, np.int64)
     n[list(counts)] = list(counts.values())
     many, size = np.append(n[::-1].cumsum()[::-1], 0), np.append((n * np.arange(capacity + 1))[::-1].cumsum()[::-1], 0)
-    best = -(-int(size[0]) // capacity)
     half = capacity // 2 + 1
-    for k in range(1, half):
-        alone = int(many[capacity - k + 1])
-        large, large_size = int(many[half]) - alone, int(size[half] - size[capacity - k + 1])
-        small_size = int(size[k] - size[half])
-        best = max(best, alone + large + max(0, -(-(small_size - (large * capacity - large_size)) // capacity)))
-    return best
+    k = np.arange(1, half)
+    alone = many[capacity - k + 1]
+    large, large_size = many[half] - alone, size[half] - size[capacity - k + 1]
+    over = size[k] - size[half] - (large * capacity - large_size)
+    bounds = alone + large + np.maximum(0, -(-over // capacity))
+    return max(-(-int(size[0]) // capacity), int(bounds.max(initial=0)))
 
 
 def bin_completion(counts: dict[int, int], p: PackingParams) -> list[tuple[tuple[int, ...], int]]:
@@ -122,29 +139,33 @@ def bin_completion(counts: dict[int, int], p: PackingParams) -> list[tuple[tuple
     counts = {n: c for n, c in counts.items() if c}
     if not counts:
         return []
-    total = sum(n * c for n, c in counts.items())
     least = lower_bound(counts, p.capacity)
     best = best_fit(counts, p.capacity)
     used = sum(t for _, t in best)
-    stack = [(counts, [], 0, total)]
+    stack: list[tuple[dict[int, int], list, int]] = [(counts, [], 0)]
     nodes = 0
     while stack and used > least and nodes < p.max_nodes:
-        left, done, bins, rest = stack.pop()
-        if bins + -(-rest // p.capacity) >= used:
+        left, done, bins = stack.pop()
+        if bins + lower_bound(left, p.capacity) >= used:
             continue
-        if not rest:
+        lengths = sorted((n for n, c in left.items() if c), reverse=True)
+        if not lengths:
             best, used = done, bins
             continue
-        lengths = sorted((n for n, c in left.items() if c), reverse=True)
+        nodes += 1
         head = lengths[0]
         others = dict(left)
         others[head] -= 1
         branches = []
         for filling in _fillings(lengths, others, p.capacity - head, p.max_fillings):
-            nodes += 1
-            bin_, counts_after = (head, *filling), dict(left)
-            times = _apply(counts_after, bin_)
-            branches.append((counts_after, [*done, (bin_, times)], bins + times, rest - times * sum(bin_)))
+            bin_, after = (head, *filling), dict(left)
+            times = _apply(after, bin_)
+            branches.append((after, [*done, (bin_, times)], bins + times))
+            if times > 1:
+                once = dict(left)
+                for n in bin_:
+                    once[n] -= 1
+                branches.append((once, [*done, (bin_, 1)], bins + 1))
         stack += reversed(branches)
     return best
 

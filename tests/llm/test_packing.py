@@ -47,6 +47,18 @@ def test_many_pieces_come_near_the_lower_bound():
     assert lower_bound(counts, 1024) <= sum(t for _, t in plan) <= 1.002 * lower_bound(counts, 1024)
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_the_search_improves_on_best_fit_where_that_is_not_at_the_bound(seed):
+    lengths = np.random.default_rng(seed).integers(200, 701, 600)
+    counts = {int(n): int(c) for n, c in zip(*np.unique(lengths, return_counts=True), strict=True)}
+    plain, least = sum(t for _, t in best_fit(counts, 1024)), lower_bound(counts, 1024)
+    plan = bin_completion(counts, PackingParams(""))
+    used = sum(t for _, t in plan)
+    assert sorted(n for f, t in plan for n in f * t) == sorted(lengths.tolist()) and all(sum(f) <= 1024 for f, _ in plan)
+    assert used < plain or used == least
+    print(seed, plain, used, least)
+
+
 @pytest.fixture(scope="module")
 def tokenizer():
     from tokenizers import Tokenizer
