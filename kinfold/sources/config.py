@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kinfold.sources.tables import cells, parse_table
+
 # Column names of the two tables and property names of the hypotheses file.
 SPECIES_SCHEMA = (
     "species string, ploidy int, pep_fasta string, cDNA_fasta string, gen_fasta string, "
@@ -67,12 +69,21 @@ def all_hypothesis_species(hypotheses: Sequence[Hypothesis]) -> list[str]:
 
 
 def read_species(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.csv(path, sep="\t", header=True, schema=SPECIES_SCHEMA, nullValue="")
+    return parse_species(spark.read.text(path))
+
+
+def parse_species(lines: DataFrame) -> DataFrame:
+    """Lines of the species table; its header is skipped."""
+    return cells(lines, SPECIES_SCHEMA).filter(F.col("species") != "species")
 
 
 def read_samples(spark: SparkSession, path: str) -> DataFrame:
-    """Sample sheet; a repeated (sample, unit) is an error."""
-    samples = spark.read.csv(path, sep="\t", header=True, schema=SAMPLE_SCHEMA, nullValue="")
+    return parse_samples(spark.read.text(path))
+
+
+def parse_samples(lines: DataFrame) -> DataFrame:
+    """Sample sheet; its header is skipped, and a repeated (sample, unit) is an error."""
+    samples = cells(lines, SAMPLE_SCHEMA).filter(~((F.col("species") == "species") & (F.col("sample") == "sample")))
     twice = samples.groupBy("sample", "unit").count().filter("count > 1").limit(5).collect()
     if twice:
         raise ValueError(f"repeated sample and unit: {[(r['sample'], r['unit']) for r in twice]}")
@@ -80,8 +91,12 @@ def read_samples(spark: SparkSession, path: str) -> DataFrame:
 
 
 def hypotheses_frame(spark: SparkSession, path: str) -> DataFrame:
-    """The transposed file as one typed row per hypothesis."""
-    raw = spark.read.csv(path, sep="\t", header=True, nullValue="")
+    return parse_hypotheses(spark.read.text(path))
+
+
+def parse_hypotheses(lines: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """The transposed table as one typed row per hypothesis."""
+    raw = parse_table(lines, columns)
     tidy = (
         raw.unpivot([raw.columns[0]], raw.columns[1:], "hypothesis_id", "value")
         .withColumnRenamed(raw.columns[0], "property")
@@ -166,4 +181,8 @@ def sample_id():
 
 def natural_sort(df: DataFrame, name: str) -> DataFrame:
     """Order by the number inside a name, so that hypothesis_10 follows hypothesis_2."""
-    return df.orderBy(F.regexp_extract(name, r"(\d+)", 1).try_cast("long").asc_nulls_last(), name)
+    return df.orderBy(number_in(name).asc_nulls_last(), name)
+
+
+def number_in(name: str):
+    return F.regexp_extract(name, r"(\d+)", 1).try_cast("long")

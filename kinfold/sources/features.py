@@ -31,7 +31,14 @@ def attributes(text: Column) -> Column:
 def read_features(spark: SparkSession, path: str) -> DataFrame:
     if not path.endswith(SUFFIXES):
         raise ValueError(f"{path}: expected one of {', '.join(SUFFIXES)}")
-    rows = spark.read.csv(path, sep="\t", comment="#", schema=FEATURE_SCHEMA, quote="")
+    return parse_features(spark.read.text(path))
+
+
+def parse_features(lines: DataFrame) -> DataFrame:
+    """Feature lines of either dialect; comments and lines without a start are skipped. Quotes belong to the attributes."""
+    text = lines.filter(~F.col("value").startswith("#") & (F.trim("value") != ""))
+    row = F.from_csv("value", FEATURE_SCHEMA, {"sep": "\t", "quote": ""})
+    rows = text.select(row.alias("row")).select("row.*")
     return rows.filter(F.col("start").isNotNull()).withColumn("attributes", attributes(F.col("attribute_text"))).drop(
         "attribute_text"
     )

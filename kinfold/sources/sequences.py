@@ -12,12 +12,16 @@ from kinfold.functions.names import first_word
 
 
 def read_fasta(spark: SparkSession, glob: str | Sequence[str]) -> DataFrame:
+    """Records are cut by the reader at a line start of ">", so files stay splittable."""
+    return parse_fasta(spark.read.text(glob, lineSep="\n>").select("value", "_metadata.file_path", "_metadata.file_block_start"))
+
+
+def parse_fasta(chunks: DataFrame) -> DataFrame:
     """(file, ord, header, id, sequence): one row per record, wrapped lines joined.
 
-    Records are cut by the reader at a line start of ">", so files stay splittable. ``ord``
-    sorts the records of a file as they stand in it.
+    ``chunks`` has one record per row with the file and the start of its split; ``ord`` sorts the records of a file as they
+    stand in it.
     """
-    chunks = spark.read.text(glob, lineSep="\n>").select("value", "_metadata.file_path", "_metadata.file_block_start")
     text = F.regexp_replace("value", r"^>", "")
     parts = F.split(text, "\n", 2)
     header = F.regexp_replace(F.get(parts, F.lit(0)), r"\s+$", "")
@@ -35,17 +39,21 @@ def read_fasta(spark: SparkSession, glob: str | Sequence[str]) -> DataFrame:
 
 
 def read_fastq(spark: SparkSession, glob: str | Sequence[str]) -> DataFrame:
-    """(file, read_id, seq, qual) from 4-line records, plain or gz.
-
-    Records are cut inside their split: a line with "@" whose next but one has "+" is a record's first, because neither a sequence
-    nor the line before one starts with "+". Only the lines of records that cross the edge of a split are shuffled, a few per
-    split, and glued in the order of the file.
-    """
     lines = spark.read.text(glob).select(
         "value",
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
     )
+    return parse_fastq(lines)
+
+
+def parse_fastq(lines: DataFrame) -> DataFrame:
+    """(file, read_id, seq, qual) from 4-line records, plain or gz.
+
+    ``lines`` has value, file and block, the start of the split; a split's lines stand together in their order. Records are cut inside their split: a line with "@" whose next but one has "+" is a record's first, because neither a sequence
+    nor the line before one starts with "+". Only the lines of records that cross the edge of a split are shuffled, a few per
+    split, and glued in the order of the file.
+    """
     cut = lines.mapInArrow(_records_in_splits, "file string, head string, seq string, qual string, block long, place long")
     whole = F.col("place").isNull()
     place = Window.partitionBy("file").orderBy("block", "place")

@@ -1,4 +1,8 @@
-"""Tabular inputs: hits, id maps, orthogroups, annotation, counts, estimates, family p-values."""
+"""Tabular inputs: hits, id maps, orthogroups, annotation, counts, estimates, family p-values.
+
+Each ``read_*`` is a text scan followed by its ``parse_*``, which takes lines from anywhere: a column ``value`` and, where
+the name of a file means something, ``file_path``. Blank lines are skipped.
+"""
 
 from __future__ import annotations
 
@@ -22,20 +26,49 @@ TERMS = "Gene-Ontology-Term"
 QUALITY_CODE = "AHRD-Quality-Code"
 
 
+def cells(lines: DataFrame, schema: str) -> DataFrame:
+    """Tab-separated lines as typed columns, then the other columns of ``lines``; empty cells are null."""
+    others = [c for c in lines.columns if c != "value"]
+    row = F.from_csv("value", schema, {"sep": "\t"})
+    return lines.filter(F.trim("value") != "").select(row.alias("row"), *others).select("row.*", *others)
+
+
+def parse_table(lines: DataFrame, columns: Sequence[str] | None = None, comment: str | None = None) -> DataFrame:
+    """Lines under a header as text columns. The first line is the header unless its columns are given; repeats of it are skipped."""
+    lines = lines.filter(F.trim("value") != "")
+    if comment:
+        lines = lines.filter(~F.col("value").startswith(comment))
+    if columns is None:
+        first = lines.select("value").first()
+        if first is None:
+            raise ValueError("a table without a header")
+        header = first["value"]
+        columns = [c.strip().strip('"') for c in header.split("\t")]
+    bare = F.translate("value", '"', "")
+    return cells(lines.filter(bare != "\t".join(columns)), ", ".join(f"`{c}` string" for c in columns))
+
+
 def read_hits(spark: SparkSession, glob: str | Sequence[str]) -> DataFrame:
     """All tabular hit files as one table."""
-    return spark.read.csv(glob, sep="\t", schema=HIT_SCHEMA)
+    return parse_hits(spark.read.text(glob))
+
+
+def parse_hits(lines: DataFrame) -> DataFrame:
+    return cells(lines, HIT_SCHEMA)
 
 
 def read_id_map(spark: SparkSession, path: str, mode: str = "plain") -> DataFrame:
+    return parse_id_map(spark.read.text(path), mode)
+
+
+def parse_id_map(lines: DataFrame, mode: str = "plain") -> DataFrame:
     """``id: name`` lines.
 
     plain keeps the word after the id; full keeps the whole rest with reserved characters
     replaced; first_word keeps its first word, which must then be unique per species (the
     part of the id before "_"). Except in plain mode a repeated id is an error.
     """
-    lines = spark.read.text(path).filter(F.trim("value") != "")
-    split = lines.select(
+    split = lines.filter(F.trim("value") != "").select(
         F.trim(F.translate(F.substring_index("value", ": ", 1), "#", "")).alias("seqid"),
         F.rtrim(F.regexp_replace("value", r"^[^:]*: ", "")).alias("rest"),
     )
@@ -59,7 +92,7 @@ def _reject_repeats(df: DataFrame, by: list, what: str) -> None:
 
 def read_orthogroups(spark: SparkSession, path: str) -> DataFrame:
     """Wide orthogroup table; empty cells are missing."""
-    return spark.read.csv(path, sep="\t", header=True, nullValue="")
+    return parse_table(spark.read.text(path))
 
 
 def annotation_problems(columns: Sequence[str]) -> list[str]:
@@ -74,32 +107,40 @@ def read_annotation(spark: SparkSession, paths: Mapping[str, str], generated: bo
     """
     combined = None
     for species, path in paths.items():
-        reader = spark.read.options(sep="\t", header=True, nullValue="")
-        df = (reader.option("comment", "#") if generated else reader).csv(path)
-        missing = annotation_problems(df.columns)
-        if missing:
-            raise ValueError(f"annotation of {species} lacks {missing}")
-        df = (
-            df.drop(QUALITY_CODE)
-            .withColumnsRenamed({ACCESSION: "gene", TERMS: "terms"})
-            .withColumn("species", F.lit(species))
-        )
+        df = parse_annotation(spark.read.text(path), species, generated)
         combined = df if combined is None else combined.unionByName(df, allowMissingColumns=True)
     return combined
 
 
+def parse_annotation(lines: DataFrame, species: str, generated: bool = False, columns: Sequence[str] | None = None) -> DataFrame:
+    """One species' annotation table under the common schema."""
+    df = parse_table(lines, columns, "#" if generated else None)
+    missing = annotation_problems(df.columns)
+    if missing:
+        raise ValueError(f"annotation of {species} lacks {missing}")
+    return (
+        df.drop(QUALITY_CODE)
+        .withColumnsRenamed({ACCESSION: "gene", TERMS: "terms"})
+        .withColumn("species", F.lit(species))
+    )
+
+
 def species_of_path(path: str) -> str:
     """Species a per-species file is named after: the part before the first dot."""
     return posixpath.basename(path).split(".", 1)[0]
 
 
 def read_count_files(spark: SparkSession, glob: str | Sequence[str]) -> DataFrame:
+    return parse_count_files(spark.read.text(glob).select("value", "_metadata.file_path"))
+
+
+def parse_count_files(lines: DataFrame) -> DataFrame:
     """Per-sample count files as (sample, gene, chrom, start, end, strand, length, count).
 
     The comment line is skipped; the sample is named by the file.
     """
     schema = ", ".join(f"`{c}` string" for c in [*COUNT_KEYS, "count"])
-    rows = spark.read.csv(glob, sep="\t", comment="#", schema=schema).select("*", "_metadata.file_path")
+    rows = cells(lines.filter(~F.col("value").startswith("#")), schema)
     return rows.filter(F.col("Geneid") != COUNT_KEYS[0]).select(
         file_stem(F.col("file_path"), r"_counts\.[^/]*").alias("sample"),
         F.col("Geneid").alias("gene"),
@@ -113,9 +154,13 @@ def read_count_files(spark: SparkSession, glob: str | Sequence[str]) -> DataFram
 
 
 def read_quant(spark: SparkSession, glob: str | Sequence[str]) -> DataFrame:
+    return parse_quant(spark.read.text(glob).select("value", "_metadata.file_path"))
+
+
+def parse_quant(lines: DataFrame) -> DataFrame:
     """Per-sample transcript estimates; the sample is the folder that holds the file."""
-    rows = spark.read.csv(glob, sep="\t", header=True, schema=QUANT_SCHEMA).select("*", "_metadata.file_path")
-    return rows.select(
+    rows = cells(lines, QUANT_SCHEMA)
+    return rows.filter(F.col("target_id") != "target_id").select(
         F.regexp_extract("file_path", r"([^/]+)/[^/]+$", 1).alias("sample"),
         F.col("target_id").alias("transcript_id"),
         F.col("est_counts").alias("count"),
@@ -125,10 +170,14 @@ def read_quant(spark: SparkSession, glob: str | Sequence[str]) -> DataFrame:
 
 
 def read_family_pvalues(spark: SparkSession, path: str) -> DataFrame:
+    return parse_family_pvalues(spark.read.text(path))
+
+
+def parse_family_pvalues(lines: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """First two columns of the model fit's result: family and p-value."""
-    rows = spark.read.csv(path, sep="\t", header=True)
+    rows = parse_table(lines, columns)
     family, p = rows.columns[:2]
-    return rows.select(F.col(f"`{family}`").alias("hog"), F.col(f"`{p}`").cast("double").alias("pvalue"))
+    return rows.select(F.col(f"`{family}`").alias("hog"), F.col(f"`{p}`").try_cast("double").alias("pvalue"))
 
 
 def read_fit_rate(spark: SparkSession, path: str) -> float | None:
