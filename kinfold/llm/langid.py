@@ -5,8 +5,8 @@ n-gram of a language sets its bit in ``hashes`` slots; the bitwise AND of an n-g
 gives all languages that contain it at once. A text is decided by how many of its n-grams each
 language contains, after the number that false positives would give is taken off.
 
-Filters hold the n-grams whose share of a language's n-grams is at least ``min_share``; there
-are at most 1 / min_share of them per language and length, whatever the corpus, which bounds both
+Filters hold the n-grams whose share of a language's n-grams is at least ``min_share``. Rarer ones are mostly foreign words
+and slips: on held-out texts of one to ten words, filters of every n-gram seen decide worse (see the tests). There are at most 1 / min_share of them per language and length, whatever the corpus, which bounds both
 what reaches the driver and the filter. Shares come from all training documents; n-grams are
 counted within tasks before they are shuffled.
 
