@@ -54,17 +54,21 @@ def _byte_codes() -> np.ndarray:
 
 
 @lru_cache(maxsize=2)
-def _powers(n: int, base: int) -> np.ndarray:
-    steps = np.full(n, base, np.uint64)
+def _powers(base: int) -> np.ndarray:
+    """Powers of the base for the places of one step."""
+    steps = np.full(STEP_BYTES + 1, base, np.uint64)
     steps[0] = 1
     return np.cumprod(steps, dtype=np.uint64)
 
 
-def _powers_for(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = STEP_BYTES + 2
-    while size < n + 2:
-        size *= 2
-    return _powers(size, _BASE), _powers(size, _INVERSE)
+def _long_sum(data: np.ndarray) -> int:
+    """Bytes times powers of a word longer than a step, step by step."""
+    total, scale = 0, 1
+    for at in range(0, len(data), STEP_BYTES):
+        part = _byte_codes()[data[at : at + STEP_BYTES]]
+        total += scale * int((part * _powers(_BASE)[: len(part)]).sum(dtype=np.uint64))
+        scale = scale * pow(_BASE, len(part), 1 << 64) % (1 << 64)
+    return total % (1 << 64)
 
 
 class Texts(NamedTuple):
@@ -124,13 +128,26 @@ class Words(NamedTuple):
     start: np.ndarray
     end: np.ndarray
     row: np.ndarray
-    sums: np.ndarray
+    data: np.ndarray
 
     def hashes(self, first_bytes: int | None = None) -> np.ndarray:
-        """64-bit hash of each word, or of its first bytes."""
+        """64-bit hash of each word, or of its first bytes. Sums and powers start anew every step, so a long text takes no more room."""
         end = self.end if first_bytes is None else np.minimum(self.end, self.start + first_bytes)
-        inverse = _powers_for(len(self.sums))[1]
-        return splitmix((self.sums[end] - self.sums[self.start]) * inverse[self.start] + np.uint64(1))
+        out = np.zeros(len(self.start), np.uint64)
+        lo = 0
+        while lo < len(out):
+            a = int(self.start[lo])
+            hi = int(np.searchsorted(end, a + STEP_BYTES, "right"))
+            if hi <= lo:
+                out[lo] = _long_sum(self.data[a : end[lo]])
+                lo += 1
+                continue
+            part = self.data[a : end[hi - 1]]
+            sums = np.zeros(len(part) + 1, np.uint64)
+            np.cumsum(_byte_codes()[part] * _powers(_BASE)[: len(part)], out=sums[1:])
+            out[lo:hi] = (sums[end[lo:hi] - a] - sums[self.start[lo:hi] - a]) * _powers(_INVERSE)[self.start[lo:hi] - a]
+            lo = hi
+        return splitmix(out + np.uint64(1))
 
     def counts(self, rows: int) -> np.ndarray:
         return np.bincount(self.row, minlength=rows)
@@ -147,10 +164,8 @@ def words_of(texts: Texts, gaps: Callable[[np.ndarray], np.ndarray] = white) ->
     first[1:] &= ~inside[:-1] | edge[1:n]
     last[:-1] &= ~inside[1:] | edge[1:n]
     start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_byte_codes()[data] * _powers_for(n)[0][:n], out=sums[1:])
     row = np.searchsorted(offsets, start, "right") - 1
-    return Words(start, end, row, sums)
+    return Words(start, end, row, data)
 
 
 #: Scripts written without spaces: first and last code points. Each of their characters is a word of its own.

@@ -44,6 +44,15 @@ def test_a_text_beyond_a_step_is_read_whole():
     assert [words_of(p).counts(p.rows()).tolist() for _, p in t.steps()] == [[STEP_BYTES], [1]]
 
 
+def test_hashes_do_not_depend_on_steps():
+    long = "q" * (2 * STEP_BYTES + 3)
+    words = ["a", "bc", long, "bc", "d" * (STEP_BYTES - 1), "a", long + "r", long]
+    w = words_of(texts_of(pa.array([" ".join(words)])))
+    alone = [int(words_of(texts_of(pa.array([x]))).hashes()[0]) for x in words]
+    assert w.hashes().tolist() == alone and len(set(alone)) == len(set(words))
+    assert w.hashes(2).tolist() == [int(words_of(texts_of(pa.array([x[:2]]))).hashes()[0]) for x in words]
+
+
 def test_slices_and_lower_case():
     column = pa.array(["A", "BÉ c", None, "D"]).slice(1, 3)
     assert texts_of(column, "ascii").data.tobytes().decode() == "bÉ cd"
