@@ -50,7 +50,16 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 
 @lru_cache(maxsize=1)
 def _byte_codes() -> np.ndarray:
-    return splitmix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019))
+    return _point_codes(np.arange(256))
+
+
+def _point_codes(points: np.ndarray) -> np.ndarray:
+    return splitmix((points.astype(np.uint64) + np.uint64(1)) * np.uint64(0x632BE59BD9B4E019))
+
+
+def _codes(data: np.ndarray) -> np.ndarray:
+    """A 64-bit code per byte or code point; the same for ASCII in both."""
+    return _byte_codes()[data] if data.dtype == np.uint8 else _point_codes(data)
 
 
 @lru_cache(maxsize=2)
@@ -65,7 +74,7 @@ def _long_sum(data: np.ndarray) -> int:
     """Bytes times powers of a word longer than a step, step by step."""
     total, scale = 0, 1
     for at in range(0, len(data), STEP_BYTES):
-        part = _byte_codes()[data[at : at + STEP_BYTES]]
+        part = _codes(data[at : at + STEP_BYTES])
         total += scale * int((part * _powers(_BASE)[: len(part)]).sum(dtype=np.uint64))
         scale = scale * pow(_BASE, len(part), 1 << 64) % (1 << 64)
     return total % (1 << 64)
@@ -123,7 +132,7 @@ def not_letters(data: np.ndarray) -> np.ndarray:
 
 
 class Words(NamedTuple):
-    """Words in order; start and end are places in the bytes, row is the text's place."""
+    """Words in order; start and end are places in ``data``, bytes or code points, row is the text's place."""
 
     start: np.ndarray
     end: np.ndarray
@@ -144,7 +153,7 @@ class Words(NamedTuple):
                 continue
             part = self.data[a : end[hi - 1]]
             sums = np.zeros(len(part) + 1, np.uint64)
-            np.cumsum(_byte_codes()[part] * _powers(_BASE)[: len(part)], out=sums[1:])
+            np.cumsum(_codes(part) * _powers(_BASE)[: len(part)], out=sums[1:])
             out[lo:hi] = (sums[end[lo:hi] - a] - sums[self.start[lo:hi] - a]) * _powers(_INVERSE)[self.start[lo:hi] - a]
             lo = hi
         return splitmix(out + np.uint64(1))
@@ -205,10 +214,7 @@ def letter_words(texts: Texts) -> Words:
     first[1:] &= ~inside[:-1] | edge[1:n]
     last[:-1] &= ~inside[1:] | edge[1:n]
     start, end = np.flatnonzero(first | alone), np.flatnonzero(last | alone) + 1
-    codes = splitmix((points.astype(np.uint64) + np.uint64(1)) * np.uint64(0x632BE59BD9B4E019))
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(codes * _powers_for(n)[0][:n], out=sums[1:])
-    return Words(start, end, np.searchsorted(offsets, start, "right") - 1, sums)
+    return Words(start, end, np.searchsorted(offsets, start, "right") - 1, points)
 
 
 def within(df: DataFrame, run: Callable, schema: str) -> DataFrame:

@@ -4,7 +4,7 @@ import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from kinfold.llm.text import STEP_BYTES, not_letters, texts_of, words_of
+from kinfold.llm.text import STEP_BYTES, letter_words, not_letters, texts_of, words_of
 
 TEXT = st.lists(st.one_of(st.none(), st.text(alphabet="ab \t\n\x0b\x1cé漢.", max_size=40)), max_size=8)
 
@@ -50,6 +50,8 @@ def test_hashes_do_not_depend_on_steps():
     w = words_of(texts_of(pa.array([" ".join(words)])))
     alone = [int(words_of(texts_of(pa.array([x]))).hashes()[0]) for x in words]
     assert w.hashes().tolist() == alone and len(set(alone)) == len(set(words))
+    mixed = letter_words(texts_of(pa.array([" ".join(["é", *words, "漢字"])])))
+    assert mixed.hashes()[1:-2].tolist() == alone
     assert w.hashes(2).tolist() == [int(words_of(texts_of(pa.array([x[:2]]))).hashes()[0]) for x in words]
 
 
