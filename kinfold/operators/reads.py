@@ -157,48 +157,40 @@ def base_share(seq: Column, bases: str) -> Column:
     return 100.0 * kept / F.nullif(F.length(seq), F.lit(0))
 
 
-def length_distribution(reads: DataFrame) -> DataFrame:
-    return reads.groupBy("sample", F.length("seq").alias("seq_length")).agg(F.count(F.lit(1)).alias("n_reads"))
-
-
-def gc_distribution(reads: DataFrame) -> DataFrame:
-    """Reads per rounded GC percentage."""
-    share = F.floor(base_share(F.col("seq"), "GC") + 0.5).cast("int")
-    return reads.groupBy("sample", share.alias("gc_percent")).agg(F.count(F.lit(1)).alias("n_reads"))
-
+def read_qc(reads: DataFrame, stage: str = "raw") -> DataFrame:
+    """All per-read reports of a stage as (sample, stage, module, metric, value), from one scan of the reads.
 
-def n_content(reads: DataFrame) -> DataFrame:
-    """Percent of unknown bases over all bases of a sample."""
+    length, gc: reads per length and rounded GC percentage; n_content: percent of unknown bases over all bases of a sample;
+    duplication: how many distinct sequences occur once, twice, ... A read gives one small row per module, combined before the
+    shuffle; a digest stands for its sequence, and only digests are shuffled in number.
+    """
     upper = F.upper("seq")
-    unknown = F.sum(F.length(upper) - F.length(F.translate(upper, "N", "")))
-    return reads.groupBy("sample").agg((100.0 * unknown / F.sum(F.length("seq"))).alias("n_percent"))
-
-
-def duplication_levels(reads: DataFrame) -> DataFrame:
-    """How many distinct sequences occur once, twice, ...; a digest stands for the sequence."""
-    copies = reads.groupBy("sample", F.sha2("seq", 256).alias("digest")).agg(F.count(F.lit(1)).alias("copies"))
-    return copies.groupBy("sample", "copies").agg(F.count(F.lit(1)).alias("n_sequences"))
-
-
-def read_qc(reads: DataFrame, stage: str = "raw") -> DataFrame:
-    """All per-read reports of a stage as (sample, stage, module, metric, value)."""
+    unknown = F.length(upper) - F.length(F.translate(upper, "N", ""))
+    gc = F.floor(base_share(F.col("seq"), "GC") + 0.5).cast("int")
 
-    def tidy(df: DataFrame, module: str, metric: Column, value: str) -> DataFrame:
-        return df.select(
-            "sample", F.lit(stage).alias("stage"), F.lit(module).alias("module"),
-            metric.cast("string").alias("metric"), F.col(value).cast("double").alias("value"),
+    def item(module: str, metric: Column, part: Column, whole: Column) -> Column:
+        return F.struct(
+            F.lit(module).alias("module"), metric.cast("string").alias("metric"),
+            part.cast("double").alias("part"), whole.cast("double").alias("whole"),
         )
 
-    parts = [
-        tidy(length_distribution(reads), "length", F.col("seq_length"), "n_reads"),
-        tidy(gc_distribution(reads), "gc", F.col("gc_percent"), "n_reads"),
-        tidy(n_content(reads), "n_content", F.lit("percent"), "n_percent"),
-        tidy(duplication_levels(reads), "duplication", F.col("copies"), "n_sequences"),
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    one, none = F.lit(1), F.lit(None)
+    items = reads.select("sample", F.inline(F.array(
+        item("length", F.length("seq"), one, none),
+        item("gc", gc, one, none),
+        item("n_content", F.lit("percent"), 100.0 * unknown, F.length("seq")),
+        item("duplication", F.sha2("seq", 256), one, none),
+    )))
+    sums = [F.sum("part").alias("part"), F.sum("whole").alias("whole")]
+    counted = items.groupBy("sample", "module", "metric").agg(*sums)
+    copies = F.col("module") == "duplication"
+    levels = counted.select(
+        "sample", "module",
+        F.when(copies, F.col("part").cast("long").cast("string")).otherwise(F.col("metric")).alias("metric"),
+        F.when(copies, 1.0).otherwise(F.col("part")).alias("part"), "whole",
+    ).groupBy("sample", "module", "metric").agg(*sums)
+    value = F.when(F.col("module") == "n_content", F.try_divide("part", "whole")).otherwise(F.col("part"))
+    return levels.select("sample", F.lit(stage).alias("stage"), "module", "metric", value.alias("value"))
 
 
 def qc_summary(reads_by_stage: dict[str, DataFrame]) -> DataFrame:

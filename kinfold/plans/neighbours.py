@@ -218,24 +218,37 @@ def _(d: Domain) -> DataFrame:
     )
 
 
-@query("bitscore_normalise", """
-WITH lengths AS (SELECT 'q' || key AS seqid, species, 1 + CAST(round(price) AS BIGINT) % 997 AS n FROM genes),
-s AS (SELECT h.*, q.species AS qs, t.species AS ts, log10(q.n * t.n) AS x, log10(bitscore) AS y
-  FROM hits h JOIN lengths q ON h.qseqid = q.seqid JOIN lengths t ON h.sseqid = t.seqid)
-SELECT qs AS qspecies, ts AS sspecies, count(*) AS n_hits, round(regr_slope(y, x), 6) AS slope,
-  round(regr_intercept(y, x), 6) AS intercept FROM s GROUP BY 1, 2""".replace("WITH lengths AS", "SELECT * FROM (WITH lengths AS") + ")",
-       ("genes", "hits"))
-def _(d: Domain) -> DataFrame:
+SCORED = """SELECT h.*, q.species AS qs, t.species AS ts, log10(q.n * t.n) AS x, log10(bitscore) AS y FROM hits h
+JOIN lengths q ON h.qseqid = q.seqid JOIN lengths t ON h.sseqid = t.seqid"""
+fragment("lengths", "SELECT 'q' || key AS seqid, species, 1 + CAST(round(price) AS BIGINT) % 997 AS n FROM genes", "genes")
+fragment("scored_hits", SCORED, "hits", "lengths")
+
+
+def scored_hits(d: Domain) -> DataFrame:
     lengths = d.genes.select(
         F.concat(F.lit("q"), F.col("key").cast("string")).alias("seqid"), "species",
         (1 + F.round("price").cast("long") % 997).alias("seq_length"),
     )
-    scored = hits.bitscore_normalise(d.hits, lengths, ["qspecies", "sspecies"])
-    return scored.groupBy("qspecies", "sspecies").agg(
+    return hits.bitscore_normalise(d.hits, lengths, ["qspecies", "sspecies"])
+
+
+@query("bitscore_normalise", """
+SELECT qs AS qspecies, ts AS sspecies, count(*) AS n_hits, round(regr_slope(y, x), 6) AS slope,
+  round(regr_intercept(y, x), 6) AS intercept FROM scored_hits GROUP BY 1, 2""", "scored_hits")
+def _(d: Domain) -> DataFrame:
+    return scored_hits(d).groupBy("qspecies", "sspecies").agg(
         F.count(F.lit(1)).alias("n_hits"), r6(F.first("slope"), "slope"), r6(F.first("intercept"), "intercept")
     )
 
 
+@query("bitscore_normalised_hits", """
+SELECT qseqid, sseqid, qs AS qspecies, ts AS sspecies, bitscore, round(bitscore / pow(10, slope * x + intercept), 6) AS normalised
+FROM scored_hits JOIN (SELECT qs, ts, regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept FROM scored_hits GROUP BY 1, 2)
+USING (qs, ts)""", "scored_hits")
+def _(d: Domain) -> DataFrame:
+    return scored_hits(d).select("qseqid", "sseqid", "qspecies", "sspecies", "bitscore", r6("normalised"))
+
+
 @query("species_pair_orthology", """
 WITH p AS (SELECT DISTINCT a.species AS sa, b.species AS sb, a.gene AS ga, b.gene AS gb FROM hog_genes a
   JOIN hog_genes b ON a.hog = b.hog AND a.species <> b.species)
