@@ -1,24 +1,25 @@
-"""Language-model scoring: Katz backoff over word pairs, Good-Turing discounted, exactly normalised.
+"""Language-model scoring: Katz backoff of any order, Good-Turing discounted, exactly normalised.
 
-    P(w | h) = d(c) c(h w) / (c(h) + 1)      where the pair h w was seen in training
-             = a(h) P(w)                      elsewhere
+    P(w | h) = d(c) c(h w) / (c(h) + 1)      where h w was seen in training
+             = a(h) P(w | h')                elsewhere; h' is h without its first word
     P(w)     = d(c) c(w) / N for known words, the mass left by discounting for the unknown word
 
-d is Katz's Good-Turing discount for counts up to 5; a(h) shares out exactly the mass that the seen pairs of h
-leave, over the words not seen after h. The 1 in the denominator keeps that mass above zero when
-all counts of a history are large. A text begins after a begin mark and ends with one end token. Histories
-that training never saw leave the word to P(w).
+d is Katz's Good-Turing discount of the order for counts up to 5; a(h) shares out exactly the mass that the seen
+continuations of h leave, over the words not seen after h. The 1 in the denominator keeps that mass above zero when
+all counts of a history are large. A text begins after one begin mark and ends with one end token; at its beginning histories
+are as long as the text allows. Histories that training never saw leave the word to the shorter history.
 
-How it runs. A vocabulary or a table of pairs may be as large as the corpus, so nothing is broadcast:
+How it runs. A vocabulary or a table of n-grams may be as large as the corpus, so nothing is broadcast:
 1. Texts become token tables of bounded chunks (local word numbers, distinct word hashes).
 2. Chunks send their distinct words to word shards, which count them and answer with count and number.
-3. Chunks send all their pairs, with the counts of both words, to history shards; a history with more
-   tokens than half a shard is split by its next word. A pair that alone has as many is heavy: it is found
-   beforehand from the chunks' own counts, stays with its chunks' documents, and only its counts are summed.
-4. A history shard counts its pairs and returns partial sums per document. What depends on the
-   corpus-wide discounts is returned as counts: seen pairs by count, and unseen pairs by history.
-5. With the discounts known, chunks add up their documents.
-Packed arrays are shuffled instead of rows, so a pair costs a few bytes. Every step writes a table in the shared folder.
+3. Order by order, chunks send their distinct n-grams (number of the history, number of the word, times in training, probability
+   by the shorter history) to shards by history. A shard counts them and answers each chunk with the count and number of its n-grams
+   and, where one was never seen, with the sums that a(h) needs. An n-gram is one entry per chunk, however often it occurs.
+4. A history with more tokens than half a shard is split by its next word. Its sums are added up in a table and joined to
+   the chunks that ask for them.
+5. Chunks evaluate their own tokens, order by order, from the answers.
+Packed arrays are shuffled instead of rows, so an entry costs a few bytes. Every step writes a table in the shared folder.
+The driver sees one row of totals per order.
 
 Defined cases: null texts are empty (one end token); null ids count as empty text in the fold;
 repeated rows are learned and scored as often as they occur; an empty table gives an empty
@@ -27,7 +28,7 @@ result; extra columns are ignored. Without training rows all tokens are the unkn
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -46,17 +47,16 @@ from kinfold.llm.text import Texts, doc_hash, splitmix, texts_of, within, words_
 K = 5
 #: Hash of the end token, and the number that stands for the begin mark.
 END, BEGIN = np.uint64(0), np.int64((1 << 40) - 1)
-#: Stands for the begin mark among hashes of words, where heavy pairs are sought.
-BEGIN_HASH = np.uint64(2)
 
 
 @dataclass
 class KatzParams:
+    order: int = 2  # words of the longest n-gram
     mod: int = 7
     held_out: int = 2
     chunk_bytes: int = 6 << 20
     shard_words: int = 1 << 20  # distinct words of chunks that meet in a word shard
-    shard_pairs: int = 3 << 19  # tokens that meet in a history shard
+    shard_grams: int = 3 << 19  # tokens whose n-grams meet in a history shard
 
 
 def pack(a: np.ndarray) -> bytes:
@@ -199,7 +199,20 @@ def _ask(shards: int):
     return run
 
 
-ANSWER = "shard int, chunk long, counts binary, numbers binary, total long, kinds long, n array<long>"
+#: ``counts`` and ``numbers`` are aligned with what the chunk sent. ``back_*`` hold the sums of a(h) for histories of unseen n-grams,
+#: ``hot`` those histories whose sums lie in several shards, ``split`` this shard's part of such sums.
+ANSWER = (
+    "level int, shard int, chunk long, counts binary, numbers binary, back_at binary, back_n binary, back_p binary, hot array<long>, "
+    "total long, kinds long, n array<long>, split array<struct<h:long,s:array<double>>>"
+)
+ANSWER_KINDS = pa.schema([
+    ("level", pa.int32()), ("shard", pa.int32()), ("chunk", pa.int64()), ("counts", pa.binary()), ("numbers", pa.binary()),
+    ("back_at", pa.binary()), ("back_n", pa.binary()), ("back_p", pa.binary()), ("hot", pa.list_(pa.int64())),
+    ("total", pa.int64()), ("kinds", pa.int64()), ("n", pa.list_(pa.int64())),
+    ("split", pa.list_(pa.struct([("h", pa.int64()), ("s", pa.list_(pa.float64()))]))),
+])
+#: What a chunk reads of its answers; rows with ``h`` carry the added-up sums of one split history.
+REPLY = ["level", "shard", "chunk", "counts", "numbers", "back_at", "back_n", "back_p"]
 
 
 def _count_words(shards: int):
@@ -208,301 +221,233 @@ def _count_words(shards: int):
         chunks = rows.column("chunk").to_pylist()
         words = [np.cumsum(unpack(x, np.uint64), dtype=np.uint64) for x in rows.column("words").to_pylist()]
         counts = np.concatenate([unpack(x, np.uint32) for x in rows.column("counts").to_pylist()])
-        sizes = [len(w) for w in words]
         kinds, where = np.unique(np.concatenate(words), return_inverse=True)
         count = np.bincount(where, counts, len(kinds)).astype(np.int64)
-        cut = np.cumsum(sizes)[:-1]
-        answers = [(pack(count[w].astype(np.uint64)), pack((w * shards + shard).astype(np.uint64))) for w in np.split(where, cut)]
+        out = [
+            {"level": 1, "shard": shard, "chunk": chunk, "counts": pack(count[w]), "numbers": pack(w.astype(np.int64) * shards + shard)}
+            for chunk, w in zip(chunks, np.split(where, np.cumsum([len(w) for w in words])[:-1]), strict=True)
+        ]
         n = np.bincount(count[count <= K + 1], minlength=K + 2)
-        none = [None] * len(chunks)
-        return pa.table({
-            "shard": pa.array([shard] * (len(chunks) + 1), pa.int32()),
-            "chunk": pa.array([*chunks, None], pa.int64()),
-            "counts": pa.array([*(a for a, _ in answers), None], pa.binary()),
-            "numbers": pa.array([*(b for _, b in answers), None], pa.binary()),
-            "total": pa.array([*none, int(count.sum())], pa.int64()),
-            "kinds": pa.array([*none, int((count > 0).sum())], pa.int64()),
-            "n": pa.array([*none, n.tolist()], pa.list_(pa.int64())),
-        })
+        out.append({"level": 1, "shard": shard, "total": int(count.sum()), "kinds": int((count > 0).sum()), "n": n.tolist()})
+        return pa.Table.from_pylist(out, ANSWER_KINDS)
 
     return run
 
 
-# Heavy pairs ----------------------------------------------------------------------------
-
-
-def _local_pairs(lengths: np.ndarray, tokens: np.ndarray, n_words: int) -> np.ndarray:
-    """One number per token for the token and the one before it; ``n_words`` is the begin mark."""
-    before = np.empty_like(tokens)
-    before[1:] = tokens[:-1]
-    before[np.cumsum(lengths) - lengths] = n_words
-    return before * (n_words + 1) + tokens
-
-
-def _seek_heavy(share: float):
-    """Pairs with at least this share of their chunk's tokens."""
-
-    def run(batches):
-        for b in batches:
-            for lengths, words, tokens in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
-                lengths, tokens = unpack(lengths, np.uint32).astype(np.int64), unpack(tokens, np.uint32).astype(np.int64)
-                words = np.append(np.cumsum(unpack(words, np.uint64), dtype=np.uint64), BEGIN_HASH)
-                pairs, n = np.unique(_local_pairs(lengths, tokens, len(words) - 1), return_counts=True)
-                many = n >= share * len(tokens)
-                h, w = np.divmod(pairs[many], len(words))
-                yield pa.RecordBatch.from_arrays([pa.array(words[h].view(np.int64)), pa.array(words[w].view(np.int64)), pa.array(n[many])], names=["h", "w", "n"])
-
-    return run
-
-
-def _mark_heavy(heavy: np.ndarray):
-    """The chunks with the local numbers of the heavy pairs and of their histories."""
-
-    def find(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(words, hashes), len(words) - 1)
-        return np.where(words[at] == hashes, at, -1)
+# 3. Chunks ------------------------------------------------------------------------------
 
-    def run(batches):
-        for b in batches:
-            pairs, histories = [], []
-            for raw in b.column("words").to_pylist():
-                words = np.cumsum(unpack(raw, np.uint64), dtype=np.uint64)
-                h = np.where(heavy[0] == BEGIN_HASH, len(words), find(words, heavy[0]))
-                w = find(words, heavy[1])
-                pairs.append(pack(np.unique((h * (len(words) + 1) + w)[(h >= 0) & (w >= 0)])))
-                histories.append(pack(np.unique(h[h >= 0])))
-            yield pa.RecordBatch.from_arrays(
-                [*(b.column(k) for k in ("chunk", "ids", "train", "lengths", "tokens")), pa.array(pairs, pa.binary()), pa.array(histories, pa.binary())],
-                names=["chunk", "ids", "train", "lengths", "tokens", "heavy", "heavy_h"],
-            )
-
-    return run
-
-
-def heavy_pairs(tokens: DataFrame, total: int, hot: int) -> np.ndarray:
-    """Hashes (h, w) of all pairs with ``hot`` tokens or more, and of none with less than half.
-
-    What a pair has in chunks where it is below half of that share adds up to less than half of ``hot``.
-    """
-    if not total:
-        return np.zeros((2, 0), np.uint64)
-    found = within(tokens.select("lengths", "words", "tokens"), _seek_heavy(hot / (2 * total)), "h long, w long, n long")
-    rows = found.groupBy("h", "w").agg(F.sum("n").alias("n")).filter(F.col("n") >= hot / 2).select("h", "w").orderBy("h", "w").collect()
-    return np.array([[r["h"] for r in rows], [r["w"] for r in rows]], np.int64).view(np.uint64)
-
-
-# 3. Pairs -------------------------------------------------------------------------------
-
-PAIRS = (
-    "shard long, chunk long, ids array<long>, train binary, h binary, hc binary, hn binary, w binary, wc binary, run binary, "
-    "doc binary, base binary, known binary, lengths binary, split binary, heavy_doc binary, heavy_at binary, heavy_n binary, "
-    "heavy_h array<long>, heavy_w array<long>, heavy_hc array<long>, heavy_wc array<long>, heavy_c array<long>"
-)
-HEAVY = ["heavy_h", "heavy_w", "heavy_hc", "heavy_wc", "heavy_c"]
 
-
-def _send_pairs(words: Words, train_docs: int, shards: int, hot: int):
-    names = [x.strip().split()[0] for x in PAIRS.split(",")]
-    kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 15, *[pa.list_(pa.int64())] * 5]
-
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        empty = pa.table({n: pa.array([], t) for n, t in zip(names, kinds, strict=True)})
-        if not left.num_rows:
-            return empty
-        row = left.to_pylist()[0]
-        answers = sorted(right.select(["shard", "counts", "numbers"]).to_pylist(), key=lambda a: a["shard"])
-        count = np.concatenate([unpack(a["counts"], np.uint64) for a in answers]).astype(np.int64)
-        number = np.concatenate([unpack(a["numbers"], np.uint64) for a in answers]).astype(np.int64)
-        lengths = unpack(row["lengths"], np.uint32).astype(np.int64)
-        tokens = unpack(row["tokens"], np.uint32).astype(np.int64)
-        doc = np.repeat(np.arange(len(lengths)), lengths)
-        c = count[tokens]
-        base = np.bincount(doc, np.log10((c + 1) / (words.total + words.kinds + 1)), len(lengths))
-        known = np.bincount(doc, c > 0, len(lengths)).astype(np.int64)
-        # The begin mark is one more local word.
-        count, number = np.append(count, train_docs), np.append(number, BEGIN)
-        key = _local_pairs(lengths, tokens, len(count) - 1)
-        # Heavy pairs stay with the documents: times by pair and document, and the times in training by pair.
-        heavy = unpack(row["heavy"], np.int64)
-        heavy_doc = heavy_at = heavy_n = np.zeros(0, np.int64)
-        heavy_c = np.zeros(len(heavy), np.int64)
-        if len(heavy):
-            at = np.minimum(np.searchsorted(heavy, key), len(heavy) - 1)
-            mine = heavy[at] == key
-            by_doc, heavy_n = np.unique(at[mine] * len(lengths) + doc[mine], return_counts=True)
-            heavy_at, heavy_doc = np.divmod(by_doc, len(lengths))
-            learned = unpack(row["train"], np.uint8)[heavy_doc] > 0
-            heavy_c = np.bincount(heavy_at[learned], heavy_n[learned], len(heavy)).astype(np.int64)
-            key, doc = key[~mine], doc[~mine]
-        order = np.argsort(key, kind="stable")
-        h, w = np.divmod(key[order], len(count))
-        doc = doc[order]
-        flagged = np.zeros(len(count), np.uint8)
-        flagged[unpack(row["heavy_h"], np.int64)] = 1
-        pair = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (w[1:] != w[:-1])])[: len(h)])
-        run_ = np.diff(np.append(pair, len(h)))
-        h, w = h[pair], w[pair]
-        spread = splitmix(number.astype(np.uint64) + np.uint64(1))
-        parts = np.maximum(1, -(-count[h] // hot)).astype(np.uint64)
-        shard = ((spread[h] + (spread[w] % parts) * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(shards)).astype(np.int64)
-        by = np.argsort(shard, kind="stable")
-        shard, h, w, run_s, begin = shard[by], h[by], w[by], run_[by], pair[by]
-        total = np.cumsum(run_s)
-        doc = doc[np.repeat(begin - (total - run_s), run_s) + np.arange(len(doc))]
-        edge = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]])[: len(shard)])
+@dataclass
+class Model:
+    """What all tasks know: totals of the words, texts in training, shards, and the discounts of the orders counted so far."""
+
+    words: Words
+    begins: int
+    shards: int
+    hot: int
+    discounts: list[np.ndarray]  # of order 2 and up
+
+
+class Chunk:
+    """The tokens of one chunk with their histories of the current order and P by the order below."""
+
+    def __init__(self, row: dict, answers: pa.Table, model: Model):
+        self.model = model
+        self.lengths = unpack(row["lengths"], np.uint32).astype(np.int64)
+        self.tokens = unpack(row["tokens"], np.uint32).astype(np.int64)
+        self.learned = np.repeat(unpack(row["train"], np.uint8), self.lengths)
+        self.replies, self.sums = {}, {}
+        for a in answers.to_pylist():
+            if a["h"] is None:
+                self.replies.setdefault(a["level"], []).append(a)
+            else:
+                self.sums[a["level"], a["h"]] = a["s"]
+        count, number = self._joined(1, "counts"), self._joined(1, "numbers")
+        self.kinds = len(count)
+        self.count, self.number = count[self.tokens], number[self.tokens]
+        self.p = model.words.p(self.count)
+        self._histories(self.tokens, self.number, self.count, (self.kinds, BEGIN, model.begins))
+        for level in range(2, 2 + len(model.discounts)):
+            self._entries()
+            self._evaluate(level)
+        self._entries()
+
+    def _joined(self, level: int, column: str) -> np.ndarray:
+        rows = sorted(self.replies.get(level, []), key=lambda a: a["shard"])
+        return np.concatenate([np.zeros(0, np.int64), *[unpack(a[column], np.int64) for a in rows if a[column] is not None]])
+
+    def _histories(self, local: np.ndarray, number: np.ndarray, count: np.ndarray, at_begin: tuple):
+        """The n-gram that ends before a token is its history: local and global number, count in training."""
+        begin = np.cumsum(self.lengths) - self.lengths
         out = []
-        for a, z in zip(edge.tolist(), [] if not len(edge) else np.append(edge[1:], len(shard)).tolist(), strict=True):
-            new = np.flatnonzero(np.concatenate([[True], h[a + 1 : z] != h[a : z - 1]]))
-            mine = h[a:z][new]
-            docs = doc[total[a] - run_s[a] : total[z - 1]]
-            out.append((
-                int(shard[a]), row["chunk"], None, row["train"], pack(number[mine]), pack(count[mine]),
-                pack(np.diff(np.append(new, z - a)).astype(np.uint32)), pack(number[w[a:z]]), pack(count[w[a:z]]),
-                pack(run_s[a:z].astype(np.uint32)), pack(docs.astype(np.uint32)), None, None, None,
-                pack(flagged[mine]), *[None] * 8,
-            ))
-        # The documents themselves travel with the pairs, spread over shards of their own.
-        out.append((
-            shards + row["chunk"] % shards, row["chunk"], row["ids"], row["train"], *[None] * 7, pack(base), pack(known), row["lengths"], None,
-            pack(heavy_doc.astype(np.uint32)), pack(heavy_at.astype(np.uint32)), pack(heavy_n.astype(np.uint32)),
-            *(x.tolist() for x in (number[heavy // len(count)], number[heavy % len(count)], count[heavy // len(count)], count[heavy % len(count)], heavy_c)),
-        ))
-        columns = list(zip(*out, strict=True))
-        return pa.table({n: pa.array(list(v), t) for n, t, v in zip(names, kinds, columns, strict=True)})
+        for a, first in zip((local, number, count), at_begin, strict=True):
+            b = np.empty_like(a)
+            b[1:] = a[:-1]
+            b[begin] = first
+            out.append(b)
+        self.h_local, self.h, self.hc = out
+
+    def _entries(self):
+        """Distinct n-grams with a known history, ordered by shard, history and word."""
+        self.at = np.flatnonzero(self.hc > 0)
+        _, first, self.where = np.unique(self.h_local[self.at] * self.kinds + self.tokens[self.at], return_index=True, return_inverse=True)
+        self.times = np.bincount(self.where, self.learned[self.at], len(first)).astype(np.int64)
+        e = self.at[first]
+        shards = np.uint64(self.model.shards)
+        parts = (-(-self.hc[e] // self.model.hot)).astype(np.uint64)
+        h, w = (splitmix(x[e].astype(np.uint64) + np.uint64(1)) for x in (self.h, self.number))
+        shard = ((h + (w % parts) * np.uint64(0x9E3779B97F4A7C15)) % shards).astype(np.int64)
+        by = np.argsort(shard, kind="stable")
+        self.e, self.shard, self.times = e[by], shard[by], self.times[by]
+        rank = np.empty(len(by), np.int64)
+        rank[by] = np.arange(len(by))
+        self.where = rank[self.where]
+        h = self.h[self.e]
+        new = np.concatenate([[True], (h[1:] != h[:-1]) | (self.shard[1:] != self.shard[:-1])])[: len(h)]
+        self.asked = np.cumsum(new) - 1  # number of the asked (shard, history)
+        self.begins_history = np.flatnonzero(new)
+
+    def sent(self, chunk: int, level: int):
+        """One row of packed entries per shard."""
+        e, n = self.e, self.times
+        edge = np.flatnonzero(np.concatenate([[True], self.shard[1:] != self.shard[:-1]])[: len(e)])
+        lower = np.where(n > 0, self.count[e], 0) if level == 2 else np.where(n > 0, self.p[e], 0.0)
+        for a, z in zip(edge.tolist(), np.append(edge[1:], len(e)).tolist() if len(edge) else [], strict=True):
+            lo, hi = np.searchsorted(self.begins_history, [a, z])
+            new = self.begins_history[lo:hi]
+            yield {
+                "shard": int(self.shard[a]), "chunk": chunk, "h": pack(self.h[e[new]]), "hc": pack(self.hc[e[new]]),
+                "hn": pack(np.diff(np.append(new, z)).astype(np.uint32)), "w": pack(self.number[e[a:z]]),
+                "times": pack(n[a:z].astype(np.uint32)), "lower": pack(lower[a:z]),
+            }
+
+    def _evaluate(self, level: int):
+        """P by this order from its answers; then the n-grams of this order are the histories of the next."""
+        d = self.model.discounts[level - 2]
+        c, hc = self._joined(level, "counts"), self.hc[self.e]
+        kept = np.ones((len(self.begins_history), 2))  # discounted mass and lower-order mass of the seen continuations
+        weights = np.append(d[1:] * np.arange(1, K + 1), 1.0)
+        of_shard = self.shard[self.begins_history]
+        for a in self.replies.get(level, []):
+            at = unpack(a["back_at"], np.uint32) + np.searchsorted(of_shard, a["shard"])
+            kept[at, 0] = weights @ unpack(a["back_n"], np.int64).reshape(K + 1, -1)
+            kept[at, 1] = unpack(a["back_p"], np.float64)
+        first = self.e[self.begins_history]
+        for i in np.flatnonzero(self.hc[first] > self.model.hot).tolist():
+            s = self.sums.get((level, int(self.h[first[i]])))  # absent if all its n-grams here were seen
+            if s is not None:
+                kept[i] = weights @ np.array(s[: K + 1]), s[K + 1]
+        mass = kept[self.asked]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            back = (1 - mass[:, 0] / (hc + 1.0)) / (1 - mass[:, 1])
+        value = np.where(c > 0, d[np.where(c <= K, c, 0)] * c / (hc + 1.0), back * self.p[self.e])
+        self.p[self.at] = value[self.where]
+        number = self._joined(level, "numbers")
+        local, numbers, counts = np.zeros((3, len(self.tokens)), np.int64)
+        if len(number):
+            local[self.at], numbers[self.at] = self.where, number[self.where]
+        counts[self.at] = c[self.where]
+        self._histories(local, numbers, counts, (0, 0, 0))
+
+
+ASK = "shard int, chunk long, h binary, hc binary, hn binary, w binary, times binary, lower binary"
+ASK_KINDS = pa.schema([("shard", pa.int32()), ("chunk", pa.int64()), *[(k, pa.binary()) for k in ("h", "hc", "hn", "w", "times", "lower")]])
+
+
+def _ask_grams(level: int, model: Model):
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        rows = left.to_pylist()
+        return pa.Table.from_pylist([x for r in rows for x in Chunk(r, right, model).sent(r["chunk"], level)], ASK_KINDS)
 
     return run
 
 
 # 4. Histories ---------------------------------------------------------------------------
 
-PARTIAL = (
-    "chunk long, ids array<long>, base binary, known binary, lengths binary, doc binary, sums binary, seen binary, un_doc binary, un_h binary, "
-    "un_n binary, h binary, hc binary, hr binary, hbig binary, hp binary, n array<long>, heavy_doc binary, heavy_at binary, heavy_n binary, "
-    "heavy_h array<long>, heavy_w array<long>, heavy_hc array<long>, heavy_wc array<long>, heavy_c array<long>"
-)
-
-
-def _count_pairs(words: Words, hot: int):
-    names = [x.strip().split()[0] for x in PARTIAL.split(",")]
-    kinds = [pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 14, pa.list_(pa.int64()), *[pa.binary()] * 3, *[pa.list_(pa.int64())] * 5]
 
+def _count_grams(level: int, model: Model, last: bool):
     def run(rows: pa.Table) -> pa.Table:
-        out = []
-        pairs = []
-        for r in rows.to_pylist():
-            if r["ids"] is not None:
-                out.append((r["chunk"], r["ids"], r["base"], r["known"], r["lengths"], *[None] * 12, *(r[k] for k in ("heavy_doc", "heavy_at", "heavy_n", *HEAVY))))
-            else:
-                pairs.append(r)
-        if pairs:
-            h_of, hc_of = [], []
-            flagged = np.concatenate([np.repeat(unpack(r["split"], np.uint8), unpack(r["hn"], np.uint32)) for r in pairs])
-            for r in pairs:
-                times = unpack(r["hn"], np.uint32)
-                h_of.append(np.repeat(unpack(r["h"], np.int64), times))
-                hc_of.append(np.repeat(unpack(r["hc"], np.int64), times))
-            sizes = np.array([len(x) for x in h_of])
-            w = np.concatenate([unpack(r["w"], np.int64) for r in pairs])
-            wc = np.concatenate([unpack(r["wc"], np.int64) for r in pairs])
-            length = np.concatenate([unpack(r["run"], np.uint32) for r in pairs]).astype(np.int64)
-            doc = [unpack(r["doc"], np.uint32).astype(np.int64) for r in pairs]
-            learned = np.concatenate([unpack(r["train"], np.uint8)[d] for r, d in zip(pairs, doc, strict=True)]).astype(np.int64)
-            docs = np.concatenate(doc)
-            begin = np.cumsum(length) - length
-            in_train = np.add.reduceat(learned, begin)
-            histories, first, h = np.unique(np.concatenate(h_of), return_index=True, return_inverse=True)
-            h_count = np.concatenate(hc_of)[first]
-            kind, at, where = np.unique((h.astype(np.int64) << 40) | w, return_index=True, return_inverse=True)
-            c = np.bincount(where, in_train, len(kind)).astype(np.int64)
-            pw = words.p(wc[at])
-            kind_h = h[at]
-            seen = c > 0
-            n_h = len(histories)
-            by_r = np.stack([np.bincount(kind_h[c == r], minlength=n_h) for r in range(1, K + 1)])
-            big = np.bincount(kind_h, np.where(c > K, c, 0), n_h)
-            p_sum = np.bincount(kind_h, np.where(seen, pw, 0.0), n_h)
-            with np.errstate(divide="ignore"):
-                value = np.where(seen, np.log10(np.maximum(c, 1)) - np.log10(h_count[kind_h] + 1.0), np.log10(pw))
-            # Per occurrence, chunk by chunk.
-            occurrence = np.repeat(where, length)
-            ends = np.cumsum([len(d) for d in doc])
-            for r, d, end in zip(pairs, doc, ends.tolist(), strict=True):
-                o = occurrence[end - len(d) : end]
-                some, local = np.unique(d, return_inverse=True)
-                sums = np.bincount(local, value[o], len(some))
-                rank = np.where(c[o] <= K, c[o], 0)
-                by_rank = np.bincount(local * (K + 1) + rank, minlength=len(some) * (K + 1)).reshape(-1, K + 1)[:, 1:]
-                lost = np.flatnonzero(~seen[o] & (h_count[kind_h[o]] > 0))
-                key, times = np.unique(kind_h[o[lost]].astype(np.int64) << 32 | d[lost], return_counts=True)
-                asked, un_h = np.unique(key >> 32, return_inverse=True)
-                out.append((
-                    r["chunk"], None, None, None, None, pack(some), pack(sums), pack(by_rank.astype(np.uint32).ravel()),
-                    pack(key & 0xFFFFFFFF), pack(un_h), pack(times), pack(histories[asked]), pack(h_count[asked]),
-                    pack(by_r[:, asked].ravel()), pack(big[asked]), pack(p_sum[asked]), None, *[None] * 8,
-                ))
-            split = np.flatnonzero((h_count > hot) | (flagged[first] > 0))
-            n = np.bincount(c[seen & (c <= K + 1)], minlength=K + 2)
-            out.append((
-                None, *[None] * 10, pack(histories[split]), pack(h_count[split]), pack(by_r[:, split].ravel()), pack(big[split]),
-                pack(p_sum[split]), n.tolist(), *[None] * 8,
-            ))
-        columns = list(zip(*out, strict=True))
-        return pa.table({n: pa.array(list(v), t) for n, t, v in zip(names, kinds, columns, strict=True)})
+        parts = rows.to_pylist()
+        shard = parts[0]["shard"]
+
+        def joined(column, kind):
+            return np.concatenate([unpack(r[column], kind) for r in parts])
+
+        asked, hn, times = joined("h", np.int64), joined("hn", np.uint32), joined("times", np.uint32)
+        lower = model.words.p(joined("lower", np.int64)) if level == 2 else joined("lower", np.float64)
+        histories, first, of_asked = np.unique(asked, return_index=True, return_inverse=True)
+        hc = joined("hc", np.int64)[first]
+        asked_of = np.repeat(np.arange(len(asked)), hn)
+        key = of_asked[asked_of].astype(np.int64) << 40 | joined("w", np.int64)
+        kind, where = np.unique(key, return_inverse=True)
+        c = np.bincount(where, times, len(kind)).astype(np.int64)
+        low = np.zeros(len(kind))
+        low[where[times > 0]] = lower[times > 0]
+        h = kind >> 40
+        n_h = len(histories)
+        sums = np.stack([*[np.bincount(h[c == r], minlength=n_h) for r in range(1, K + 1)], np.bincount(h, np.where(c > K, c, 0), n_h)]).astype(np.int64)
+        p_sum = np.bincount(h, low, n_h)
+        split = hc > model.hot
+        out, z, hz = [], 0, 0
+        for r in parts:
+            here = unpack(r["hn"], np.uint32)
+            a, ha = z, hz
+            z, hz = a + int(here.sum()), ha + len(here)
+            missing = np.unique(asked_of[a:z][c[where[a:z]] == 0])
+            of = of_asked[missing]
+            own = ~split[of]
+            out.append({
+                "level": level, "shard": shard, "chunk": r["chunk"], "counts": pack(c[where[a:z]]),
+                "numbers": None if last else pack(where[a:z].astype(np.int64) * model.shards + shard),
+                "back_at": pack((missing[own] - ha).astype(np.uint32)), "back_n": pack(sums[:, of[own]].ravel()), "back_p": pack(p_sum[of[own]]),
+                "hot": histories[of[~own]].tolist(),
+            })
+        n = np.bincount(c[(c > 0) & (c <= K + 1)], minlength=K + 2)
+        parted = [{"h": int(histories[i]), "s": [*sums[:, i].astype(float).tolist(), float(p_sum[i])]} for i in np.flatnonzero(split).tolist()]
+        out.append({"level": level, "shard": shard, "n": n.tolist(), "split": parted})
+        return pa.Table.from_pylist(out, ANSWER_KINDS)
 
     return run
 
 
+def replies(answers: DataFrame) -> DataFrame:
+    """Answers by chunk, and for every chunk the sums of the split histories it asked for."""
+    own = answers.filter(F.col("chunk").isNotNull())
+    wanted = own.select("level", "chunk", F.explode("hot").alias("h")).distinct()
+    parts = answers.filter(F.col("chunk").isNull()).select(F.explode("split").alias("x")).select("x.h", "x.s")
+    sums = parts.groupBy("h").agg(F.array(*[F.sum(F.col("s")[i]) for i in range(K + 2)]).alias("s"))
+    plain = own.select(*REPLY, F.lit(None).cast("long").alias("h"), F.lit(None).cast("array<double>").alias("s"))
+    return plain.unionByName(wanted.join(sums, "h"), allowMissingColumns=True)
+
+
 # 5. Documents ---------------------------------------------------------------------------
 
 SCORES = "doc_id long, n_tokens long, n_known long, base_score double, score double"
 
 
-def _add_up(discount: np.ndarray, hot: dict, heavy: dict):
-    drop = np.log10(discount[1:])
+def _add_up(model: Model):
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = []
+        for row in left.to_pylist():
+            x = Chunk(row, right, model)
+            doc = np.repeat(np.arange(len(x.lengths)), x.lengths)
+            base = np.log10((x.count + 1) / (model.words.total + model.words.kinds + 1))
+            out.append(pa.table({
+                "doc_id": pa.array(row["ids"], pa.int64()),
+                "n_tokens": pa.array(x.lengths),
+                "n_known": pa.array(np.bincount(doc, x.count > 0, len(x.lengths)).astype(np.int64)),
+                "base_score": pa.array(np.bincount(doc, base, len(x.lengths))),
+                "score": pa.array(np.bincount(doc, np.log10(x.p), len(x.lengths))),
+            }))
+        return pa.concat_tables(out)
 
-    def heavy_value(h: int, w: int) -> float:
-        c, hc, p = heavy[h, w]
-        if c:
-            return np.log10(c) - np.log10(hc + 1.0) + (drop[c - 1] if c <= K else 0.0)
-        if not hc:
-            return np.log10(p)
-        by_r, big, p_sum = hot[h]
-        kept = ((discount[1:] * np.arange(1, K + 1)) @ by_r + big) / (hc + 1.0)
-        return np.log10(p) + np.log10(1 - kept) - np.log10(1 - p_sum)
+    return run
 
-    def run(rows: pa.Table) -> pa.Table:
-        parts = rows.to_pylist()
-        docs = next(r for r in parts if r["ids"] is not None)
-        score = np.zeros(len(docs["ids"]))
-        if docs["heavy_h"]:
-            value = np.array([heavy_value(*x) for x in zip(docs["heavy_h"], docs["heavy_w"], strict=True)])
-            at, n = unpack(docs["heavy_at"], np.uint32), unpack(docs["heavy_n"], np.uint32)
-            score += np.bincount(unpack(docs["heavy_doc"], np.uint32), value[at] * n, len(score))
-        for r in parts:
-            if r["ids"] is not None:
-                continue
-            by_rank = unpack(r["seen"], np.uint32).reshape(-1, K)
-            score[unpack(r["doc"], np.int64)] += unpack(r["sums"], np.float64) + by_rank @ drop
-            h = unpack(r["h"], np.int64)
-            if not len(h):
-                continue
-            by_r = unpack(r["hr"], np.int64).reshape(K, -1).astype(float)
-            big, p_sum = unpack(r["hbig"], np.float64).copy(), unpack(r["hp"], np.float64).copy()
-            for i, number in enumerate(h.tolist()):
-                if number in hot:  # its pairs lie in several shards
-                    by_r[:, i], big[i], p_sum[i] = hot[number]
-            kept = ((discount[1:] * np.arange(1, K + 1)) @ by_r + big) / (unpack(r["hc"], np.int64) + 1.0)
-            back = np.log10(1 - kept) - np.log10(1 - p_sum)
-            score += np.bincount(unpack(r["un_doc"], np.int64), back[unpack(r["un_h"], np.int64)] * unpack(r["un_n"], np.int64), len(score))
-        return pa.table({
-            "doc_id": pa.array(docs["ids"], pa.int64()),
-            "n_tokens": pa.array(unpack(docs["lengths"], np.uint32).astype(np.int64)),
-            "n_known": pa.array(unpack(docs["known"], np.int64)),
-            "base_score": pa.array(unpack(docs["base"], np.float64)),
-            "score": pa.array(score),
-        })
 
-    return run
+def _counts_of_counts(answers: DataFrame):
+    sums = [F.sum(k).alias(k) for k in ("total", "kinds")] + [F.sum(F.col("n")[r]).alias(f"n{r}") for r in range(K + 2)]
+    row = answers.filter(F.col("chunk").isNull()).agg(*sums).first()
+    return row, np.array([row[f"n{r}"] or 0 for r in range(K + 2)], float)
 
 
 def scored(docs: DataFrame, p: KatzParams) -> DataFrame:
@@ -515,51 +460,21 @@ def scored(docs: DataFrame, p: KatzParams) -> DataFrame:
     word_shards = 1 << (max(least, (size["words"] or 0) // p.shard_words) - 1).bit_length()
     asked = within(tokens.select("chunk", "words", "counts"), _ask(word_shards), "shard int, chunk long, words binary, counts binary")
     answers = written(asked.groupBy("shard").applyInArrow(_count_words(word_shards), ANSWER), "words", "none")
-    stats = (
-        answers.filter(F.col("chunk").isNull())
-        .agg(F.sum("total").alias("total"), F.sum("kinds").alias("kinds"), *[F.sum(F.col("n")[r]).alias(f"n{r}") for r in range(K + 2)])
-        .first()
-    )
-    words = Words.of(stats["total"] or 0, stats["kinds"] or 0, np.array([stats[f"n{r}"] or 0 for r in range(K + 2)], float))
+    row, n = _counts_of_counts(answers)
     ends = docs.select(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("crc"))
-    train_docs = ends.filter(F.col("crc") % p.mod != p.held_out).count()
-    shards = max(least, (size["tokens"] or 0) // p.shard_pairs)
+    begins = ends.filter(F.col("crc") % p.mod != p.held_out).count()
+    shards = max(least, (size["tokens"] or 0) // p.shard_grams)
     hot = max(1, (size["tokens"] or 0) // (2 * shards))
-    heavy = heavy_pairs(tokens, size["tokens"] or 0, hot)
-    marked = "chunk long, ids array<long>, train binary, lengths binary, tokens binary, heavy binary, heavy_h binary"
-    sent = (
-        within(tokens.select("chunk", "ids", "train", "lengths", "tokens", "words"), _mark_heavy(heavy), marked)
-        .groupBy("chunk")
-        .cogroup(answers.filter(F.col("chunk").isNotNull()).select("shard", "chunk", "counts", "numbers").groupBy("chunk"))
-        .applyInArrow(_send_pairs(words, train_docs, shards, hot), PAIRS)
-    )
-    partial = written(sent.groupBy("shard").applyInArrow(_count_pairs(words, hot), PARTIAL), "pairs", "none")
-    # One row per shard; histories in it are those above half a shard's tokens, at most two per shard in all, and
-    # those of heavy pairs; there are at most four heavy pairs per shard.
-    n, split = np.zeros(K + 2), {}
-    for r in partial.filter(F.col("n").isNotNull()).select("h", "hr", "hbig", "hp", "n").toLocalIterator():
-        n += np.array(r["n"])
-        h = unpack(r["h"], np.int64)
-        by_r = unpack(r["hr"], np.int64).reshape(K, -1)
-        for i, (number, big, p_sum) in enumerate(zip(h.tolist(), unpack(r["hbig"], np.float64), unpack(r["hp"], np.float64), strict=True)):
-            old = split.get(number, (np.zeros(K), 0.0, 0.0))
-            split[number] = (old[0] + by_r[:, i], old[1] + big, old[2] + p_sum)
-    sums = {}
-    if heavy.shape[1]:
-        each = partial.filter(F.col("ids").isNotNull()).select(F.explode(F.arrays_zip(*HEAVY)).alias("x")).select("x.*")
-        for r in each.groupBy("heavy_h", "heavy_w").agg(F.sum("heavy_c").alias("c"), F.max("heavy_hc").alias("hc"), F.max("heavy_wc").alias("wc")).collect():
-            c, number = r["c"], r["heavy_h"]
-            p_w = float(words.p(np.array([r["wc"]]))[0])
-            sums[number, r["heavy_w"]] = (c, r["hc"], p_w)
-            by_r, big, p_sum = split.get(number, (np.zeros(K), 0.0, 0.0))
-            if c:
-                by_r, big, p_sum = by_r + (np.arange(1, K + 1) == c), big + (c if c > K else 0), p_sum + p_w
-                if c <= K + 1:
-                    n[c] += 1
-            split[number] = (by_r, big, p_sum)
-    kept = partial.filter(F.col("chunk").isNotNull()).drop("n", "heavy_hc", "heavy_wc", "heavy_c")
-    out = kept.groupBy("chunk").applyInArrow(_add_up(discounts(n), split, sums), SCORES)
-    return out.withColumn("train_tokens", F.lit(words.total).cast("long"))
+    model = Model(Words.of(row["total"] or 0, row["kinds"] or 0, n), begins, shards, hot, [])
+    own = tokens.select("chunk", "ids", "train", "lengths", "tokens")
+    heard = replies(answers)
+    for level in range(2, p.order + 1):
+        sent = own.drop("ids").groupBy("chunk").cogroup(heard.groupBy("chunk")).applyInArrow(_ask_grams(level, model), ASK)
+        answers = written(sent.groupBy("shard").applyInArrow(_count_grams(level, model, level == p.order), ANSWER), "grams", "none")
+        model = replace(model, discounts=[*model.discounts, discounts(_counts_of_counts(answers)[1])])
+        heard = heard.unionByName(replies(answers))
+    out = own.groupBy("chunk").cogroup(heard.groupBy("chunk")).applyInArrow(_add_up(model), SCORES)
+    return out.withColumn("train_tokens", F.lit(model.words.total).cast("long"))
 
 
 @query("op4_katz")

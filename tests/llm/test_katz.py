@@ -1,6 +1,7 @@
 """The packed shuffles against one dictionary."""
 
 import collections
+import functools
 import math
 import zlib
 
@@ -17,47 +18,59 @@ def brute(rows, p):
     for i, t in rows:
         learned = zlib.crc32(str(i).encode() if i is not None else b"") % p.mod != p.held_out
         docs.append((i, [*(t or "").encode().lower().split(), None], learned))
-    one, two, begins = collections.Counter(), collections.Counter(), 0
+
+    def grams(words, k):
+        words = ["begin", *words]
+        return [tuple(words[i - k + 1 : i + 1]) for i in range(max(1, k - 1), len(words))]
+
+    seen = {k: collections.Counter() for k in range(1, p.order + 1)}
+    begins = 0
     for _, words, learned in docs:
         if learned:
             begins += 1
-            one.update(words)
-            two.update(zip(["begin", *words[:-1]], words, strict=True))
-    total = sum(one.values())
+            for k, c in seen.items():
+                c.update(grams(words, k))
+    total = sum(seen[1].values())
 
     def by_count(c):
         return np.array([0] + [sum(v == r for v in c.values()) for r in range(1, K + 2)], float)
 
-    d1, d2 = discounts(by_count(one)), discounts(by_count(two))
-    lost = sum((1 - d1[c]) * c for c in one.values() if c <= K) / total if total else 0
+    d = {k: discounts(by_count(c)) for k, c in seen.items()}
+    cut = {k: (lambda c, k=k: (d[k][c] if c <= K else 1) * c) for k in seen}
+    lost = sum(c - cut[1](c) for c in seen[1].values()) / total if total else 0
     unknown = max(lost, 1 / (total + 1)) if total else 1.0
+    after = collections.defaultdict(list)
+    for k in range(2, p.order + 1):
+        for g in seen[k]:
+            after[g[:-1]].append(g[-1])
+
+    def times(h):
+        return begins if h == ("begin",) else seen[len(h)][h]
+
+    @functools.cache
+    def back(h):
+        if h not in after:
+            return 1.0
+        kept = sum(cut[len(h) + 1](seen[len(h) + 1][(*h, w)]) for w in after[h]) / (times(h) + 1)
+        return (1 - kept) / (1 - sum(prob((*h[1:], w)) for w in after[h]))
+
+    @functools.cache
+    def prob(g):
+        k, c = len(g), seen[len(g)][g]
+        if k == 1:
+            return (1 - unknown) / (1 - lost) * cut[1](c) / total if c else unknown
+        return cut[k](c) / (times(g[:-1]) + 1) if c else back(g[:-1]) * prob(g[1:])
 
-    def p1(w):
-        c = one[w]
-        return (1 - unknown) / (1 - lost) * (d1[c] if c <= K else 1) * c / total if c else unknown
-
-    seen = collections.defaultdict(list)
-    for (h, w), c in two.items():
-        seen[h].append((w, c))
-    count = dict(one) | {"begin": begins}
-    back = {}
-    for h, after in seen.items():
-        kept = sum((d2[c] if c <= K else 1) * c for _, c in after) / (count[h] + 1)
-        back[h] = (1 - kept) / (1 - sum(p1(w) for w, _ in after))
     out = []
     for i, words, _ in docs:
-        base = score = known = 0
-        for h, w in zip(["begin", *words[:-1]], words, strict=True):
-            base += math.log10((one[w] + 1) / (total + len(one) + 1))
-            known += one[w] > 0
-            c = two[h, w]
-            score += math.log10((d2[c] if c <= K else 1) * c / (count[h] + 1) if c else back.get(h, 1) * p1(w))
+        full = ["begin", *words]
+        base = sum(math.log10((seen[1][w,] + 1) / (total + len(seen[1]) + 1)) for w in words)
+        known = sum(seen[1][w,] > 0 for w in words)
+        score = sum(math.log10(prob(tuple(full[max(0, j - p.order + 1) : j + 1]))) for j in range(1, len(full)))
         out.append((i, len(words), known, total, base, score))
     # Exactly normalised: over known words and the unknown one.
-    for h in list(seen)[:20]:
-        mass = sum((d2[c] if c <= K else 1) * c / (count[h] + 1) for _, c in seen[h])
-        after = {w for w, _ in seen[h]}
-        assert mass + back[h] * (sum(p1(w) for w in one if w not in after) + unknown) == pytest.approx(1)
+    for h in list(after)[:10] + list(after)[-10:]:
+        assert sum(prob((*h, *g)) for g in seen[1]) + prob((*h, b"never seen")) == pytest.approx(1)
     return out
 
 
@@ -71,39 +84,35 @@ def same(df, rows, p):
 
 
 @needs_data
-def test_equals_brute_force_with_many_shards_and_split_histories(spark):
-    p = KatzParams(chunk_bytes=20_000, shard_words=500, shard_pairs=2_000)
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_equals_brute_force_with_many_shards_and_split_histories(spark, order):
+    p = KatzParams(order=order, chunk_bytes=20_000, shard_words=500, shard_grams=2_000)
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     same(scored(docs, p), [(r.doc_id, r.text) for r in docs.collect()], p)
 
 
-def test_heavy_pairs_reach_no_history_shard(spark, monkeypatch):
+@pytest.mark.parametrize("order", [2, 3])
+def test_a_frequent_pair_is_one_entry_per_chunk(spark, monkeypatch, order):
     hot_line = "la la la " * 30
     rows = [(i, f"{hot_line} word{i % 17} la word{i % 5} tail") for i in range(200)]
-    rows += [(i, "held only " * 40) for i in range(200, 2000) if zlib.crc32(str(i).encode()) % 7 == 2]
+    rows += [(i, "held only la " * 40) for i in range(200, 2000) if zlib.crc32(str(i).encode()) % 7 == 2]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    p = KatzParams(chunk_bytes=4_000, shard_words=500, shard_pairs=1_000)
+    p = KatzParams(order=order, chunk_bytes=4_000, shard_words=500, shard_grams=1_000)
     folder = {}
     kept = katz.written
-    monkeypatch.setattr(katz, "written", lambda df, name, *rest: folder.setdefault(name, kept(df, name, *rest)))
+    monkeypatch.setattr(katz, "written", lambda df, name, *rest: folder.setdefault((name, len(folder)), kept(df, name, *rest)))
     same(scored(docs, p), rows, p)
-    tokens = sum(r.n_tokens for r in folder["tokens"].collect())
-    shards = max(16, tokens // p.shard_pairs)
-    heavy = [r for r in folder["pairs"].filter("ids is not null").collect() if r["heavy_h"]]
-    assert heavy and tokens // (2 * shards) < sum(int(unpack(r["heavy_n"], np.uint32).sum()) for r in heavy)
-
-
-def test_heavy_pairs_are_all_found(spark):
-    rows = [(i, "x y " * (200 if i < 3 else 1) + " ".join(f"w{i}v{j}" for j in range(60))) for i in range(60)]
-    tokens = katz.tokenised(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), KatzParams(chunk_bytes=2_000))
-    total = sum(r.n_tokens for r in tokens.collect())
-    assert katz.heavy_pairs(tokens, total, 500).shape[1] == 2  # x y, y x
-    assert katz.heavy_pairs(tokens, total, 2 * total).shape[1] == 0
+    answers = [f.filter("chunk is not null").collect() for (name, _), f in folder.items() if name == "grams"]
+    assert len(answers) == order - 1
+    tokens = sum(r.n_tokens for r in folder["tokens", 0].collect())
+    assert all(sum(len(unpack(r["counts"], np.int64)) for r in a) < tokens / 5 for a in answers)
+    assert any(r["hot"] for r in answers[0])  # la is split by its next word, and some of its pairs are unseen
 
 
-def test_awkward_rows(spark):
+@pytest.mark.parametrize("order", [2, 3])
+def test_awkward_rows(spark, order):
     rows = [(r[0], r[1]) for r in awkward_rows()]
-    same(scored(clashing(awkward(spark)), KatzParams(chunk_bytes=1000)), rows, KatzParams())
+    same(scored(clashing(awkward(spark)), KatzParams(order=order, chunk_bytes=1000)), rows, KatzParams(order=order))
 
 
 def test_empty_table_and_no_training_rows(spark):
