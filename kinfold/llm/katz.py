@@ -51,7 +51,7 @@ END, BEGIN = np.uint64(0), np.int64((1 << 40) - 1)
 
 @dataclass
 class KatzParams:
-    order: int = 2  # words of the longest n-gram
+    order: int = 3  # words of the longest n-gram
     mod: int = 7
     held_out: int = 2
     chunk_bytes: int = 6 << 20
