@@ -22,28 +22,54 @@ QUALITY_OFFSET = 33
 SEED_LENGTH = 16
 SEED_MISMATCHES = 2
 CLIP_SCORE = 10.0
+PIECE = 1 << 17  # places searched at a time
 
 
 def qualities(qual: Column) -> Column:
     return F.transform(F.split(qual, ""), lambda c: F.ascii(c) - QUALITY_OFFSET)
 
 
-def _codes(texts: pd.Series):
-    """Code points of a batch in one array, and the length of each text; missing texts are empty."""
+def _codes(texts: list[str]):
+    """Code points of some texts in one array, and the length of each text."""
     import numpy as np
 
-    filled = texts.fillna("").tolist()
-    sizes = np.fromiter(map(len, filled), np.int64, len(filled))
-    return np.frombuffer("".join(filled).encode("utf-32-le"), np.uint32).astype(np.int64), sizes
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    return np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).astype(np.int64), sizes
 
 
-def _first_in_row(hits, sizes):
-    """Place inside its text of the first hit; texts without one keep their length."""
+def _first_places(columns: list[pd.Series], beyond: int, found) -> pd.Series:
+    """Place of the first hit in each text of the first column; texts without one keep their length.
+
+    Texts are cut into pieces of at most ``PIECE`` places, each seen with the ``beyond`` characters after it, and a few pieces are
+    searched at a time, so that memory follows neither the batch nor the longest text. ``found`` takes the pieces of each column
+    and returns the places of the hits in them, written one after the other. Missing texts are empty.
+    """
     import numpy as np
 
-    rows, first = np.unique(np.repeat(np.arange(len(sizes)), sizes)[hits], return_index=True)
-    out = sizes.copy()
-    out[rows] = hits[first] - (np.cumsum(sizes) - sizes)[rows]
+    texts = [column.fillna("").tolist() for column in columns]
+    out = np.fromiter(map(len, texts[0]), np.int64, len(texts[0]))
+
+    def search(pieces: list[tuple[int, int]]) -> None:
+        if not pieces:
+            return
+        rows, starts = (np.array(x) for x in zip(*pieces))
+        cut = [[column[row][start : start + PIECE + beyond] for row, start in pieces] for column in texts]
+        ends = np.cumsum(np.fromiter(map(len, cut[0]), np.int64, len(pieces)))
+        hits = found(*cut)
+        piece = np.searchsorted(ends, hits, side="right")
+        place = hits - np.concatenate(([0], ends))[piece]
+        own = place < PIECE
+        np.minimum.at(out, rows[piece[own]], starts[piece[own]] + place[own])
+
+    waiting, held = [], 0
+    for row, size in enumerate(out.tolist()):
+        for start in range(0, size, PIECE):
+            waiting.append((row, start))
+            held += min(size - start, PIECE)
+            if held >= PIECE:
+                search(waiting)
+                waiting, held = [], 0
+    search(waiting)
     return pd.Series(out)
 
 
@@ -57,23 +83,26 @@ def read_quality_trim(
 ) -> DataFrame:
     """Cut before the first window whose mean quality is too low; drop reads left too short.
 
-    Window sums are differences of one running sum over all qualities of an Arrow batch. A read without
+    Window sums are differences of one running sum over the qualities of some reads. A read without
     qualities is not cut.
     """
     lowest = quality * window
     offset = QUALITY_OFFSET
 
-    @F.pandas_udf("int")
-    def kept_length(quals: pd.Series) -> pd.Series:
+    def low_windows(quals: list[str]):
         import numpy as np
 
         codes, sizes = _codes(quals)
         if len(codes) < window:
-            return pd.Series(sizes)
+            return np.zeros(0, np.int64)
         sums = np.concatenate(([0], np.cumsum(codes - offset)))
         ends = np.repeat(np.cumsum(sizes), sizes)[: len(codes) - window + 1]
         inside = np.arange(len(ends)) + window <= ends
-        return _first_in_row(np.flatnonzero(inside & (sums[window:] - sums[:-window] < lowest)), sizes)
+        return np.flatnonzero(inside & (sums[window:] - sums[:-window] < lowest))
+
+    @F.pandas_udf("int")
+    def kept_length(quals: pd.Series) -> pd.Series:
+        return _first_places([quals], window - 1, low_windows)
 
     keep = F.when(F.col("qual").isNull(), F.length("seq")).otherwise(kept_length("qual"))
     return _cut(computed_once(reads, _keep=keep).filter(F.col("_keep") >= min_length), "_keep").drop("_keep")
@@ -86,15 +115,14 @@ def adapter_clip(
 
     The whole adapter is laid against every place of the read: a matching base scores log10(4), a
     mismatch costs a tenth of its quality, and ``threshold`` must be reached (by a short adapter: its own full
-    score). At most ``mismatches`` of the first 16 bases may differ. Adapters are a short settings list; one
-    batch of reads is compared at a time, base by base of the adapter. A missing sequence stays missing.
+    score). At most ``mismatches`` of the first 16 bases may differ. Adapters are a short settings list; some
+    reads are compared at a time, base by base of the adapter. A missing sequence stays missing.
     """
     base = math.log10(4)
     offset = QUALITY_OFFSET
     settings = [(a, min(threshold, base * len(a)) - 1e-9) for a in adapters if a]
 
-    @F.pandas_udf("int")
-    def first_adapter(seqs: pd.Series, quals: pd.Series) -> pd.Series:
+    def adapter_places(seqs: list[str], quals: list[str]):
         import numpy as np
 
         codes, sizes = _codes(seqs)
@@ -116,7 +144,13 @@ def adapter_clip(
                 if j < SEED_LENGTH:
                     wrong[place] += ~same
             hit |= (score >= needed) & (wrong <= mismatches)
-        return _first_in_row(np.flatnonzero(hit), sizes)
+        return np.flatnonzero(hit)
+
+    longest = max((len(a) for a, _ in settings), default=1)
+
+    @F.pandas_udf("int")
+    def first_adapter(seqs: pd.Series, quals: pd.Series) -> pd.Series:
+        return _first_places([seqs, quals], longest - 1, adapter_places)
 
     clipped = computed_once(reads, _cut=F.when(F.col("seq").isNotNull(), first_adapter("seq", "qual")))
     return _cut(clipped.withColumn("clipped", F.col("_cut") < F.length("seq")), "_cut").drop("_cut")

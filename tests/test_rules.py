@@ -1,6 +1,9 @@
+import random
 from fractions import Fraction
 from math import comb, erfc, sqrt
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -170,6 +173,24 @@ def test_trimming_and_adapters(spark):
     assert {r.read_id: len(r.seq) for r in reads.adapter_clip(short, [adapter, "TTTTT"]).collect()} == {"r": 2, "q": 6}
 
 
+def test_reads_are_searched_in_pieces_of_bounded_size(monkeypatch):
+    """Hits on either side of an edge between pieces, and no array longer than a piece and what is seen beyond it."""
+    monkeypatch.setattr(reads, "PIECE", 8)
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("ab") for _ in range(rng.randrange(60))) for _ in range(300)] + [None, "", "a" * 500 + "bab"]
+    longest = []
+
+    def found(pieces):
+        joined = "".join(pieces)
+        longest.append(len(joined))
+        ends = np.repeat(np.cumsum([len(p) for p in pieces]), [len(p) for p in pieces])
+        return np.array([i for i in range(len(joined)) if joined[i : i + 3] == "bab" and i + 3 <= ends[i]], dtype=np.int64)
+
+    got = reads._first_places([pd.Series(texts, dtype=object)], 2, found).tolist()
+    assert got == [len(t or "") if "bab" not in (t or "") else t.index("bab") for t in texts]
+    assert max(longest) <= 2 * (8 + 2 * 8)
+
+
 def test_trimming_passes_reads_without_qualities(spark):
     rows = [("s", "a", 1, "A" * 50, None), ("s", "b", 1, None, None), ("s", "c", 1, "A" * 50, "I" * 45 + "!" * 5), ("s", "d", 1, "", ""), ("s", "e", 1, "A" * 60, "I" * 60)]
     df = spark.createDataFrame(rows, "sample string, read_id string, mate int, seq string, qual string")
