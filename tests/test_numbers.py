@@ -154,3 +154,18 @@ def test_clusters_of_two_cliques(spark):
     df = spark.createDataFrame(edges, "a string, b string, weight double")
     got = {r.node: r.cluster for r in clustering.mcl_cluster(df, inflation=2.0).collect()}
     assert got == {**dict.fromkeys("abcd", "a"), **dict.fromkeys("wxyz", "w")}
+
+
+def test_small_and_large_components_give_the_same_clusters(spark, monkeypatch):
+    """A path, a star, a ring and two cliques with a bridge: as matrices, by joins, and some each way."""
+    edges = [(f"p{i}", f"p{i + 1}", 1.0 + i % 3) for i in range(9)] + [("s0", f"s{i}", 2.0 + i) for i in range(1, 6)]
+    edges += [(f"r{i}", f"r{(i + 1) % 5}", 1.0 + 0.1 * i) for i in range(5)] + [("p0", "p0", 9.0), ("n0", "n1", None), ("s0", "n0", None)]
+    edges += [(f"{g}{i}", f"{g}{j}", 1.0 + i) for g in "xy" for i in range(4) for j in range(i)] + [("x0", "y0", 0.1)]
+    df = spark.createDataFrame(edges, "a string, b string, weight double")
+    found = []
+    for small, chunk in ((64, 1 << 15), (64, 4), (5, 8), (0, 8)):
+        monkeypatch.setattr(clustering, "SMALL", small)
+        monkeypatch.setattr(clustering, "CHUNK_EDGES", chunk)
+        found.append(sorted(map(tuple, clustering.mcl_cluster(df).collect())))
+    assert found[1:] == found[:1] * 3 and len(found[0]) == 29
+    assert clustering.mcl_cluster(df.limit(0)).count() == 0
