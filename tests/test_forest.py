@@ -233,3 +233,33 @@ def test_empty_table(spark):
     assert forest.leaf_extremes(none).collect() == [] and forest.leaves_under(none).collect() == []
     assert forest.farthest_node(none).collect() == [] and forest.collapse(none, F.lit(True)).collect() == []
     assert forest.midpoint_outgroup(none).collect() == [] and forest.tree_splits(none).collect() == []
+
+
+def test_trees_kept_together_give_the_same_rows_without_shuffles(spark):
+    rng = random.Random(11)
+    rows = []
+    for t in range(6):
+        parents = [None] + [rng.randrange(max(0, i - 4), i) for i in range(1, 40)]
+        order, kids = [], {i: [j for j, p in enumerate(parents) if p == i] for i in range(40)}
+        stack = [0]
+        while stack:
+            i = stack.pop()
+            order.append(i)
+            stack += reversed(kids[i])
+        place = {i: k for k, i in enumerate(order)}
+        up = [None if parents[i] is None else place[parents[i]] for i in order]
+        rows += Tree(up, [0.0 if p is None else float(rng.randrange(1, 9)) for p in up]).rows(f"t{t}")
+    nodes = spark.createDataFrame(rows, SCHEMA)
+    works = [forest.tree_paths, forest.leaves_under, forest.leaf_extremes, forest.farthest_node, forest.midpoint_outgroup]
+    want = [sorted(map(tuple, work(nodes).collect())) for work in works]
+    with session.kept_together(spark, "tree_id", 3):
+        kept = session.cut_lineage(nodes)
+        assert [sorted(map(tuple, work(kept).collect())) for work in works] == want
+        joined = kept.join(forest.tree_paths(kept), forest.KEY).groupBy(*forest.KEY).count()
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert not session.is_kept_together()
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"

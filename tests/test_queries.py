@@ -6,7 +6,7 @@ import pytest
 from oracle import compare, duck
 
 import __spark_entry__ as contract
-from kinfold.plans import catalog
+from kinfold.plans import catalog, trees
 
 FOLDER = "/root/testdata/sf0.001"
 ORACLES = dict(catalog.ORACLES)
@@ -38,3 +38,11 @@ def test_entry_has_rows_and_sound_values(spark):
         for s in ("AFRICA", "AMERICA", "ASIA", "EUROPE"):
             assert 0 <= r[f"{s}_sigDE"] <= r[f"{s}_total"]
         assert all(r[c] is None or 0 <= r[c] <= 1 for c in ("oaes_hyper", "cafe_pvalue", "tea_value"))
+
+
+@pytest.mark.parametrize("name", ["monophyly", "prune"])
+def test_trees_of_long_texts_are_worked_on_apart(spark, con, monkeypatch, name):
+    monkeypatch.setattr(trees, "LONG_TEXT", 400)
+    monkeypatch.setattr(trees, "BUCKET_TEXT", 4000)
+    status, *_, detail = compare(spark, con, name, contract.queries()[name], ORACLES[name], FOLDER)
+    assert status == "ok", detail

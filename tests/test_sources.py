@@ -197,3 +197,11 @@ def test_sinks(spark, tmp_path):
     assert spark.read.csv(str(tmp_path / "fam"), sep="\t", header=True).columns == ["hog", "gene"]
     sinks.write_results({"sets": sets}, str(tmp_path / "out"))
     assert spark.read.parquet(str(tmp_path / "out" / "sets")).count() == 3
+
+
+def test_nodes_leave_the_parser_in_small_frames(spark, monkeypatch):
+    texts = spark.createDataFrame([(f"t{i}", f"((a:1,b:2):1,c{i}:3);") for i in range(20)], "tree_id string, newick string").coalesce(1)
+    want = sorted(map(str, newick.parse_newick(texts).collect()))
+    monkeypatch.setattr(newick, "FRAME_NODES", 7)
+    frames = newick.parse_newick(texts)
+    assert sorted(map(str, frames.collect())) == want and len(want) == 100
