@@ -261,5 +261,7 @@ def test_trees_kept_together_give_the_same_rows_without_shuffles(spark):
             assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
         finally:
             spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        none, measured = session.cut_measured(kept.filter("node_id < 0").groupBy("name").agg(F.max("tree_id").alias("tree_id")), rows=F.count("*"))
+        assert measured == {"rows": 0} and none.count() == 0
     assert not session.is_kept_together()
     assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
