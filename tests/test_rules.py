@@ -122,6 +122,40 @@ def test_first_seen_order(spark):
     assert [r.gene for r in hits.extended_genes(touching, members, 2).orderBy("rank").collect()] == list("gd")
 
 
+MEMBERS = "hypothesis int, hog string, gene string"
+
+
+def test_hits_meet_families_once_per_end(spark):
+    found = spark.range(97).selectExpr(
+        "concat('q', id % 9) qseqid", "concat('q', id % 11) sseqid", "id * 1e-9 evalue", "50.0 bitscore", "90.0 pident")
+    id_map = spark.createDataFrame([(f"q{i}", f"g{i}") for i in range(10)], "seqid string, name string")
+    members = spark.createDataFrame([(h, "h", f"g{i}") for h in (1, 2) for i in range(3)], MEMBERS)
+    plan = hits.hits_touching(found, id_map, members)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Range (0, 97") == 1  # the hits are read and dealt once, not once per end
+    assert plan.count("Exchange hashpartitioning(qseqid") == plan.count("Exchange hashpartitioning(sseqid") == 2
+    assert "Broadcast" not in plan  # every sequence has a row there
+
+
+def test_hits_touching_with_missing_and_repeated_names(spark):
+    pairs = [("q1", "q2"), ("q2", "q1"), ("q1", "q1"), ("q3", "q2"), ("q5", "q6"), ("q9", "q1"), ("q4", None), (None, "q4"), ("q4", "q4"), ("q1", "q2")]
+    found = [(q, s, i * 1e-9, 50.0, 90.0) for i, (q, s) in enumerate(pairs)]
+    names = [("q1", "a"), ("q2", "b"), ("q2", "x"), ("q2", "b"), ("q3", None), ("q4", "d"), ("q5", "e"), ("q6", "a"), (None, "a")]
+    members = [(1, "h", "a"), (1, "h", "b"), (2, "h", "a"), (1, "k", "b"), (1, "h", "a"), (1, None, "d"), (1, "h", None), (1, "m", "z")]
+    want = []
+    for q, s, *_ in found:
+        for qn in [n for i, n in names if i == q and q is not None] or [None]:
+            for sn in [n for i, n in names if i == s and s is not None] or [None]:
+                mine = {m[:2] for m in members if qn is not None and m[2] == qn}
+                other = {m[:2] for m in members if sn is not None and m[2] == sn}
+                want += [(*f, q, s, qn, sn) for f in [*mine, *(f for f in other if f not in mine or f[1] is None)]]
+    touching = hits.hits_touching(
+        spark.createDataFrame(found, "qseqid string, sseqid string, evalue double, bitscore double, pident double"),
+        spark.createDataFrame(names, "seqid string, name string"), spark.createDataFrame(members, MEMBERS))
+    columns = ["hypothesis", "hog", "qseqid", "sseqid", "qseqid_name", "sseqid_name"]
+    assert touching.columns == [*columns[:4], "evalue", "bitscore", "pident", *columns[4:]]
+    assert sorted(map(str, touching.select(columns).collect())) == sorted(map(str, spark.createDataFrame(want, touching.select(columns).schema).collect()))
+
+
 def test_isoforms(spark):
     seqs = spark.createDataFrame(
         [("f", 1, "a gene:G", "AAAAA"), ("f", 2, "b gene:G", "CCCCC"), ("f", 3, "c gene:G", "AAA"), ("f", 4, "x gene:G1 locus:L1", "A"),
