@@ -1,5 +1,6 @@
 import random
 from fractions import Fraction
+from functools import partial
 from math import comb, erfc, sqrt
 
 import numpy as np
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from kinfold.functions import names, order, stats
 from kinfold.operators import annotation, expansion, expression, hits, isoforms, orthogroups, reads, scoring
+from kinfold.plans import catalog
 from kinfold.sources.config import Hypothesis
 
 
@@ -156,6 +158,33 @@ def test_hits_touching_with_missing_and_repeated_names(spark):
     assert sorted(map(str, touching.select(columns).collect())) == sorted(map(str, spark.createDataFrame(want, touching.select(columns).schema).collect()))
 
 
+@pytest.mark.parametrize("heavy", [2, 1 << 20])
+def test_first_seen_genes_ranks_each_value_once(spark, tmp_path, monkeypatch, heavy):
+    tables = {
+        "region": spark.sql("select 0 r_regionkey, 'ASIA' r_name union all select 1, 'MIDDLE EAST'"),
+        "nation": spark.range(2).selectExpr("id n_nationkey", "id n_regionkey"),
+        "customer": spark.range(2).selectExpr("id c_custkey", "id c_nationkey"),
+        "orders": spark.range(40).selectExpr(
+            "id o_orderkey", "if(id % 20 < 12, 0, 1) o_custkey", "'F' o_orderstatus", "'1-URGENT' o_orderpriority", "100.0 + id o_totalprice"),
+        "lineitem": spark.range(60).selectExpr(
+            "id % 20 l_orderkey", "2 + id % 3 l_partkey", "id % 7 l_linenumber", "1.0 l_quantity", "0.05 l_discount", "300.0 + id l_extendedprice"),
+    }
+    for name, rows in tables.items():
+        rows.write.parquet(f"{tmp_path}/{name}.parquet")
+    ranked = []
+    monkeypatch.setattr(hits, "full_rank", partial(order.full_rank, heavy=heavy))
+    monkeypatch.setattr(order, "cut_lineage", lambda df: ranked.append(df) or df)
+    got = catalog.QUERIES["first_seen_genes"](spark, str(tmp_path)).collect()
+    assert dict(ranked[0].dtypes).keys() == {"hypothesis", "hog", "gene", "evalue", "bitscore", "pident", "qseqid", "sseqid", "side"}
+    assert not any(t.startswith("struct") for _, t in ranked[0].dtypes)  # the key of the minimum is not kept beside its parts
+    places = {}
+    for r in got:
+        places.setdefault((r.hypothesis, r.hog), []).append((r.place, r.gene))
+    # own hits come first, by falling score
+    assert {k: [g for _, g in sorted(v)[:20]] for k, v in places.items()} == {
+        (4, f"HOG{f}"): [f"g{i}" for i in range(20 * f + 19, 20 * f - 1, -1)] for f in (0, 1)}
+
+
 def test_isoforms(spark):
     seqs = spark.createDataFrame(
         [("f", 1, "a gene:G", "AAAAA"), ("f", 2, "b gene:G", "CCCCC"), ("f", 3, "c gene:G", "AAA"), ("f", 4, "x gene:G1 locus:L1", "A"),
